@@ -95,14 +95,15 @@ def monthly_disbursements(transactions: DataFrame, loans: DataFrame, customers:
     """
     per_loan = (
         transactions.where("txn_type = 'DISBURSEMENT' and loan_id is not null")
-        .groupBy("loan_id", F.date_format("txn_date", "yyyy-MM").alias("month"))
+        .groupBy("loan_id", F.trunc("txn_date", "month").alias("first_day"))
         .agg(F.sum("amount").alias("amount"))
     )
     return (
         per_loan.join(loans.select("loan_id", "customer_id"), "loan_id")
         .join(customers.select("customer_id", "city"), "customer_id")
-        .groupBy("month", "city")
+        .groupBy("first_day", "city")
         .agg(F.sum("amount").alias("total_disbursed"), F.count(F.lit(1)).alias("loans_disbursed"))
+        .select(F.date_format("first_day", "yyyy-MM").alias("month"), "city", "total_disbursed", "loans_disbursed")
     )
 
 

@@ -5,7 +5,7 @@ Instalment ``n`` of a loan falls in the n-th calendar month after disbursement,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.loans import emi
 
@@ -17,22 +17,44 @@ def _first_month() -> Column:
     return F.add_months(F.trunc("disbursed_at", "month"), 1)
 
 
+def _emi() -> Column:
+    return emi(F.col("loan_amount"), F.col("interest_rate"), F.col("tenure_months")).cast("decimal(14,2)")
+
+
 def instalment_calendar(loans: DataFrame, due_day: int = 5) -> DataFrame:
     """One row per loan and instalment: ``(loan_id, instalment_no, due_date, emi)``, whole tenure."""
-    months = F.sequence(F.lit(1), F.col("tenure_months"))
+    per_loan = loans.where("disbursed_at is not null and tenure_months >= 1").select(
+        "loan_id", "tenure_months", _first_month().alias("first_month"),
+        _emi().alias("emi"))
+    numbered = per_loan.select(
+        "loan_id", "first_month", "emi", F.explode(F.sequence(F.lit(1), F.col("tenure_months"))).alias("instalment_no"))
+    due_date = F.date_add(F.add_months("first_month", F.col("instalment_no") - 1), due_day - 1)
+    return numbered.select("loan_id", "instalment_no", due_date.alias("due_date"), "emi")
+
+
+def due_by_month(loans: DataFrame) -> DataFrame:
+    """Instalments and amount due per calendar month, without a row per instalment.
+
+    A loan adds its instalment in its first month and takes it back after its last; the running sum
+    over calendar months (some thousands of rows, whatever the number of loans) is what is due.
+    """
+    per_loan = loans.where("disbursed_at is not null and tenure_months >= 1").select(
+        _first_month().alias("first_month"), "tenure_months", _emi().alias("emi"))
+
+    def step(month: Column, sign: int) -> Column:
+        return F.struct(month.alias("month"), F.lit(sign).alias("n"), (F.col("emi") * sign).alias("amount"))
+
+    steps = per_loan.select(F.inline(F.array(
+        step(F.col("first_month"), 1), step(F.add_months("first_month", F.col("tenure_months")), -1))))
+    changes = steps.groupBy("month").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+    span = changes.agg(F.min("month").alias("a"), F.max("month").alias("b")).where("a is not null")
+    months = span.select(F.explode(F.expr("sequence(a, b, interval 1 month)")).alias("month"))
+    running = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        loans.where("disbursed_at is not null and tenure_months >= 1")
-        .select(
-            "loan_id",
-            _first_month().alias("first_month"),
-            emi(F.col("loan_amount"), F.col("interest_rate"), F.col("tenure_months")).alias("emi"),
-            F.explode(months).alias("instalment_no"),
-        )
+        months.join(changes, "month", "left")
         .select(
-            "loan_id", "instalment_no",
-            F.date_add(F.add_months("first_month", F.col("instalment_no") - 1), due_day - 1).alias("due_date"),
-            "emi",
-        )
+            "month", F.sum("n").over(running).alias("instalments"), F.sum("amount").over(running).alias("amount_due"))
+        .where("instalments > 0")
     )
 
 

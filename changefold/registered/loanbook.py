@@ -264,15 +264,25 @@ def emi_amount(b: Book) -> DataFrame:
     return b.loans.select("loan_id", amount.alias("emi"))
 
 
-@query(f"""
+_DUE_BY_MONTH = f"""
 with due as (select cast({_EMI} as decimal(14,2)) emi,
     cast(date_trunc('month', disbursed_at) as date) m, unnest(range(1, tenure_months + 1)) n
   from f_loans where disbursed_at is not null)
 select strftime(m + to_months(cast(n as integer)), '%Y-%m') due_month, count(*) instalments,
-  cast(sum(emi) as double) amount_due from due group by 1""")
+  cast(sum(emi) as double) amount_due from due group by 1"""
+
+
+@query(_DUE_BY_MONTH)
+def due_by_month(b: Book) -> DataFrame:
+    return instalments.due_by_month(b.loans).select(
+        F.date_format("month", "yyyy-MM").alias("due_month"), "instalments", "amount_due")
+
+
+@query(_DUE_BY_MONTH)
 def instalment_calendar(b: Book) -> DataFrame:
-    return instalments.instalment_calendar(b.loans).groupBy(F.date_format("due_date", "yyyy-MM").alias("due_month")).agg(
-        F.count(F.lit(1)).alias("instalments"), F.sum(F.col("emi").cast("decimal(14,2)")).alias("amount_due"))
+    per_day = instalments.instalment_calendar(b.loans).groupBy("due_date").agg(
+        F.count(F.lit(1)).alias("instalments"), F.sum("emi").alias("amount_due"))
+    return per_day.select(F.date_format("due_date", "yyyy-MM").alias("due_month"), "instalments", "amount_due")
 
 
 _MISSED = f"""

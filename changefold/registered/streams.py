@@ -40,7 +40,7 @@ def _messages(b: Book) -> DataFrame:
 def _land(b: Book, root: str) -> str:
     start_landing(
         _messages(b), "user_events", f"{root}/landing", f"{root}/checkpoints/landing", interval=None,
-        gather_hours=True,
+        tasks_per_hour=2,
     ).awaitTermination()
     return f"{root}/landing/user_events"
 
@@ -160,16 +160,22 @@ def stream_quarantine(b: Book) -> DataFrame:
 
 @query(f"""
 with t as (select *, coalesce({TXN_OK}, false) ok from f_txns where op <> 'd')
-select count(distinct case when ok then txn_id end) valid_rows,
-  count(distinct case when not ok then txn_id end) rejected_ids from t""")
+select case when ok then 'valid' else 'rejected' end outcome, count(distinct txn_id) ids,
+  case when ok then count(distinct txn_id) end row_count from t group by ok""")
 def stream_split(b: Book) -> DataFrame:
     """Rules first: each id with any valid copy comes out valid exactly once."""
     root = scratch(b.spark, "split")
     start_split(
         _transactions(b, root), ["txn_id"], TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    valid, rejected = split_outputs(b.spark, f"{root}/out")
-    return valid.agg(F.count(F.lit(1)).alias("valid_rows")).crossJoin(
-        rejected.agg(F.countDistinct("txn_id").alias("rejected_ids")))
+    outputs = zip(("valid", "rejected"), split_outputs(b.spark, f"{root}/out"))
+    counts = [
+        rows.agg(F.countDistinct("txn_id").alias("ids"), F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("outcome"), "ids", "row_count")
+        for name, rows in outputs
+    ]
+    # Rejected copies that agree in every column share their stand-in offset, so only ids are comparable.
+    return counts[0].unionByName(counts[1]).select(
+        "outcome", "ids", F.when(F.col("outcome") == "valid", F.col("row_count")).alias("row_count"))
 
 
 @query()

@@ -27,7 +27,7 @@ def bronze_rows(lines: DataFrame) -> DataFrame:
     return parsed.select(
         "event",
         F.when(F.col("event").isNull(), F.col("value")).alias("_corrupt_record"),
-        *(_get("event", name, t).alias(name) for name, t in _LIFTED.items()),
+        *(variant_field("event", name, t).alias(name) for name, t in _LIFTED.items()),
         *partitions,
         F.current_timestamp().alias("_ingest_ts"),
         "_source_file",
@@ -59,9 +59,13 @@ def discover_schema(bronze: DataFrame) -> StructType:
     return parse_seen(bronze.agg(seen_schema()).first()[0])
 
 
-def _get(column: str, name: str, data_type: str) -> Column:
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(F.col(column), f"$['{quoted}']", data_type)
+def variant_field(column: str, name: str, data_type: str) -> Column:
+    """One top-level field, NULL where it is absent or does not fit. Paths know no escapes, only two quotes."""
+    if "'" in name and '"' in name:
+        field = F.element_at(F.col(column).cast("map<string,variant>"), F.lit(name))
+        return F.try_variant_get(field, "$", data_type)
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(F.col(column), f"$[{quote}{name}{quote}]", data_type)
 
 
 def project(bronze: DataFrame, schema: StructType, hints: StructType | None = None) -> DataFrame:
@@ -73,7 +77,7 @@ def project(bronze: DataFrame, schema: StructType, hints: StructType | None = No
     known.update({f.name: f.dataType for f in hints.fields} if hints else {})
     beside = [c for c in bronze.columns if c not in ("event", "_corrupt_record")]
     return bronze.select(
-        *(_get("event", name, t.simpleString()).alias(name) for name, t in known.items() if name not in beside),
+        *(variant_field("event", name, t.simpleString()).alias(name) for name, t in known.items() if name not in beside),
         *beside,
     )
 

@@ -88,18 +88,19 @@ def start_landing(
     checkpoint: str,
     interval: str | None = "30 seconds",
     max_records: int = 1_000_000,
-    gather_hours: bool = False,
+    tasks_per_hour: int | None = None,
 ) -> StreamingQuery:
     """Write one table's events below ``root/table``.
 
     A file closes after ``max_records`` events or at the end of an ``interval`` batch, whichever is
-    first; ``interval=None`` drains what is there and stops. ``gather_hours`` suits a backlog that
-    spans many hours: it clusters each batch by hour with a rebalance, which splits a large hour
-    over several tasks, where a plain repartition would pile it on one.
+    first; ``interval=None`` drains what is there and stops. Without ``tasks_per_hour`` nothing
+    is shuffled and every task writes the hours it holds. A backlog spanning many hours would leave
+    a file per task and hour; ``tasks_per_hour`` then gathers each hour in that many tasks, salted
+    by a hash of the event so that an hour with most of the events is split evenly too.
     """
     lines = landing_lines(events).where(F.col("table") == table).drop("table")
-    if gather_hours:
-        lines = lines.hint("rebalance", *(F.col(c) for c in PARTITIONS))
+    if tasks_per_hour:
+        lines = lines.repartition(*PARTITIONS, F.pmod(F.xxhash64("value"), F.lit(tasks_per_hour)))
     return _write(lines, f"{root}/{table}", checkpoint, interval, max_records)
 
 

@@ -27,7 +27,8 @@ def publish(df: DataFrame, root: str, layer: str, name: str, comment: str = "",
     spark.sql(
         f"create or replace view `{layer}`.`{name}` comment '{note}' "
         f"as select * from parquet.`{store.path(version)}`")
-    store.remove(*(f"v={v}" for v in store.committed()[:-keep]))
+    for old in store.committed()[:-keep]:
+        store.remove(old)
     return spark.read.parquet(store.path(version)).count()
 
 

@@ -1,4 +1,4 @@
-"""Numbered output folders ``v=N`` that count once their job has committed.
+"""Numbered output folders ``cf_version=N`` that count once their job has committed.
 
 Spark writes ``_SUCCESS`` as the last act of a write job, so a folder without it is an attempt
 that died; the next attempt takes the same number and overwrites it.
@@ -6,7 +6,10 @@ that died; the next attempt takes the same number and overwrites it.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
+
+
+PREFIX = "cf_version="
 
 
 class VersionedDir:
@@ -15,7 +18,7 @@ class VersionedDir:
         self.root = root.rstrip("/")
 
     def path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
+        return f"{self.root}/{PREFIX}{version}"
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -27,7 +30,7 @@ class VersionedDir:
         if not fs.exists(Path(self.root)):
             return []
         names = (status.getPath().getName() for status in fs.listStatus(Path(self.root)))
-        return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+        return sorted(int(n.removeprefix(PREFIX)) for n in names if n.startswith(PREFIX))
 
     def committed(self) -> list[int]:
         Path, fs = self._fs()
@@ -40,16 +43,20 @@ class VersionedDir:
                 return version
         return None
 
+    def parts(self, version: int) -> list[str]:
+        """Names of the folders inside a version."""
+        Path, fs = self._fs()
+        return [s.getPath().getName() for s in fs.listStatus(Path(self.path(version))) if s.isDirectory()]
+
     def write_note(self, version: int, text: str) -> None:
         """Commit a one-line text as a version."""
-        line = self.spark.createDataFrame([(text,)], "value string").coalesce(1)
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
         line.write.mode("overwrite").text(self.path(version))
 
     def read_note(self, version: int) -> str:
         return self.spark.read.text(self.path(version)).first().value
 
-    def remove(self, *names: str) -> None:
-        """Delete folders below the root (superseded versions)."""
+    def remove(self, version: int, part: str = "") -> None:
+        """Delete a superseded version, or one folder of it."""
         Path, fs = self._fs()
-        for name in names:
-            fs.delete(Path(f"{self.root}/{name}"), True)
+        fs.delete(Path(f"{self.path(version)}/{part}".rstrip("/")), True)

@@ -22,9 +22,11 @@ from pyspark.sql.types import StructField, StructType
 from ..operators.fold import DELETES, IS_DELETE, fold_latest, published, usable
 from ..operators.rules import RuleSet
 from ..schemas import METADATA_COLUMNS, SEQUENCE
+from ..sources.bronze import variant_field
 from ..sources.registry import widen
-from ..sources.versions import VersionedDir
+from ..sources.versions import PREFIX, VersionedDir
 
+_BUCKET = "cf_bucket"
 _EMPTY = {"buckets": {}, "schema": None, "event_schema": None, "applied": {}, "first_quarantine": 1}
 
 
@@ -55,6 +57,7 @@ class Scd1Target:
         self.buckets = buckets
         self.tombstone_retention = tombstone_retention
         self._manifests = VersionedDir(spark, f"{self.root}/manifest")
+        self._states = VersionedDir(spark, f"{self.root}/state")
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -73,10 +76,10 @@ class Scd1Target:
         """Events no batch could use, in their own columns, with the rules they broke."""
         latest, manifest = self._manifests.latest(), self._manifest()
         rows = self.spark.read.parquet(f"{self.root}/quarantine").where(
-            F.col("v").between(manifest["first_quarantine"], latest))
+            F.col("cf_version").between(manifest["first_quarantine"], latest))
         fields = _schema(manifest["event_schema"]).fields
         return rows.select(
-            *(F.try_variant_get("event", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in fields),
+            *(variant_field("event", f.name, f.dataType.simpleString()).alias(f.name) for f in fields),
             "_failed_rules", F.col("_failed_rules")[0].alias("_quarantine_reason"), "_quarantined_at",
         )
 
@@ -113,11 +116,11 @@ class Scd1Target:
         spark = events.sparkSession
         version = (self._manifests.latest() or 0) + 1
         good = self._set_aside(events, version)
-        folded = self._fold(good).withColumn("bucket", self._bucket()).persist(StorageLevel.MEMORY_AND_DISK)
+        folded = self._fold(good).withColumn(_BUCKET, self._bucket()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            facts = folded.groupBy("bucket").agg(F.max(self.sequence[0]).alias("newest")).collect()  # <= buckets rows
-            touched = {str(r.bucket) for r in facts}
-            columns = StructType([f for f in folded.schema.fields if f.name != "bucket"])
+            facts = folded.groupBy(_BUCKET).agg(F.max(self.sequence[0]).alias("newest")).collect()  # <= buckets rows
+            touched = {str(r[_BUCKET]) for r in facts}
+            columns = StructType([f for f in folded.schema.fields if f.name != _BUCKET])
             old = _schema(manifest["schema"])
             schema = widen(old, columns)
             grown = {f.name: f.dataType for f in schema.fields}
@@ -125,23 +128,26 @@ class Scd1Target:
             prior = {b: v for b, v in manifest["buckets"].items() if b in reread}
             merged = folded
             if prior:
-                stored = self._read_buckets(spark, manifest, prior).withColumn("bucket", self._bucket())
+                stored = self._read_buckets(spark, manifest, prior).withColumn(_BUCKET, self._bucket())
                 both = _conform(stored, schema).unionByName(_conform(folded, schema))
-                merged = self._fold(both.repartition("bucket"), "bucket")
+                merged = self._fold(both.repartition(_BUCKET), _BUCKET)
             elif touched:
-                merged = self._fold(folded.repartition("bucket"), "bucket")
+                merged = self._fold(folded.repartition(_BUCKET), _BUCKET)
             if self.tombstone_retention is not None and facts:
                 horizon = max(r.newest for r in facts) - self.tombstone_retention
                 merged = merged.where(~F.col(IS_DELETE) | (F.col(self.sequence[0]) >= horizon))
+            buckets = manifest["buckets"]
             if touched:
-                merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/state/v={version}")
-            written = {b: version for b in reread | touched} if touched else {}
+                merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._states.path(version))
+                kept = {b: v for b, v in buckets.items() if b not in reread | touched}
+                names = (name.split("=") for name in self._states.parts(version))
+                buckets = {**kept, **{n[1]: version for n in names if n[0] == _BUCKET}}
         finally:
             folded.unpersist()
         event_schema = widen(_schema(manifest["event_schema"]), events.schema)
         self._manifests.write_note(version, json.dumps({
             "bucket_count": self.buckets,
-            "buckets": {**manifest["buckets"], **written},
+            "buckets": buckets,
             "schema": schema.json(),
             "event_schema": event_schema.json(),
             "applied": applied,
@@ -159,7 +165,7 @@ class Scd1Target:
         bad = checked.where(F.size("_failed_rules") > 0).select(
             F.to_variant_object(F.struct(*events.columns)).alias("event"),
             "_failed_rules", F.current_timestamp().alias("_quarantined_at"))
-        bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/v={version}")
+        bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{PREFIX}{version}")
         hidden = [c for c in self.except_columns if c not in self.sequence]
         return checked.where(F.size("_failed_rules") == 0).drop("_failed_rules", *hidden)
 
@@ -168,10 +174,10 @@ class Scd1Target:
         versions = self._manifests.committed()
         notes = {v: json.loads(self._manifests.read_note(v))["buckets"] for v in versions}
         needed = {item for v in versions[-keep:] for item in notes[v].items()}
-        state = VersionedDir(self.spark, f"{self.root}/state")
-        stale = {item for v in versions[:-keep] for item in notes[v].items()} - needed
-        state.remove(*(f"v={version}/bucket={bucket}" for bucket, version in sorted(stale)))
-        self._manifests.remove(*(f"v={v}" for v in versions[:-keep]))
+        for bucket, version in {item for v in versions[:-keep] for item in notes[v].items()} - needed:
+            self._states.remove(version, f"{_BUCKET}={bucket}")
+        for version in versions[:-keep]:
+            self._manifests.remove(version)
 
     # -- helpers ---------------------------------------------------------------------------------
 
@@ -192,13 +198,12 @@ class Scd1Target:
         return manifest
 
     def _read_buckets(self, spark: SparkSession, manifest: dict, buckets: dict[str, int]) -> DataFrame:
-        """The named buckets at their versions. One frame per version that is still in use."""
+        """The named buckets, each at its version."""
         schema = _schema(manifest["schema"])
         if not buckets:
             return spark.createDataFrame([], schema)
-        paths = [f"{self.root}/state/v={v}/bucket={b}" for b, v in sorted(buckets.items())]
-        reader = spark.read.schema(schema).option("basePath", f"{self.root}/state")
-        return reader.option("ignoreMissingFiles", "false").parquet(*paths).select(*schema.fieldNames())
+        paths = [f"{self._states.path(v)}/{_BUCKET}={b}" for b, v in sorted(buckets.items())]
+        return spark.read.schema(schema).parquet(*paths)
 
 
 def _schema(text: str | None) -> StructType:
@@ -206,7 +211,7 @@ def _schema(text: str | None) -> StructType:
 
 
 def _conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` (and ``bucket``) in its types: added ones NULL, grown ones converted by name."""
+    """Columns of ``schema`` and the bucket, in its types: added ones NULL, grown ones converted by name."""
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def column(f: StructField) -> Column:
@@ -217,4 +222,4 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
         boxed = F.to_variant_object(F.struct(F.col(f.name).alias("v")))
         return F.try_variant_get(boxed, "$.v", f.dataType.simpleString()).alias(f.name)
 
-    return df.select(*(column(f) for f in schema.fields), "bucket")
+    return df.select(*(column(f) for f in schema.fields), _BUCKET)
