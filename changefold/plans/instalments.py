@@ -21,13 +21,16 @@ def _emi() -> Column:
     return emi(F.col("loan_amount"), F.col("interest_rate"), F.col("tenure_months")).cast("decimal(14,2)")
 
 
-def instalment_calendar(loans: DataFrame, due_day: int = 5) -> DataFrame:
-    """One row per loan and instalment: ``(loan_id, instalment_no, due_date, emi)``, whole tenure."""
+def instalment_calendar(loans: DataFrame, due_day: int = 5, until: Column | None = None) -> DataFrame:
+    """One row per loan and instalment: ``(loan_id, instalment_no, due_date, emi)``.
+
+    The whole tenure, or what falls due up to and including ``until``; later rows are then never made.
+    """
+    count = F.col("tenure_months") if until is None else _months_due(until, due_day)
     per_loan = loans.where("disbursed_at is not null and tenure_months >= 1").select(
-        "loan_id", "tenure_months", _first_month().alias("first_month"),
-        _emi().alias("emi"))
-    numbered = per_loan.select(
-        "loan_id", "first_month", "emi", F.explode(F.sequence(F.lit(1), F.col("tenure_months"))).alias("instalment_no"))
+        "loan_id", count.alias("n"), _first_month().alias("first_month"), _emi().alias("emi"))
+    numbered = per_loan.where("n >= 1").select(
+        "loan_id", "first_month", "emi", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("instalment_no"))
     due_date = F.date_add(F.add_months("first_month", F.col("instalment_no") - 1), due_day - 1)
     return numbered.select("loan_id", "instalment_no", due_date.alias("due_date"), "emi")
 
@@ -95,8 +98,7 @@ def missed_instalments(loans: DataFrame, transactions: DataFrame, as_of: Column,
 
 def missed_calendar(loans: DataFrame, transactions: DataFrame, as_of: Column, due_day: int = 5) -> DataFrame:
     """The missed instalments themselves: calendar rows due by ``as_of`` without a payment in their month."""
-    calendar = instalment_calendar(loans, due_day).where(F.col("due_date") <= as_of)
     return (
-        calendar.withColumn("month", F.trunc("due_date", "month"))
+        instalment_calendar(loans, due_day, until=as_of).withColumn("month", F.trunc("due_date", "month"))
         .join(paid_months(transactions), ["loan_id", "month"], "left_anti").drop("month")
     )

@@ -24,7 +24,7 @@ from .cdc import SCD1_SQL
 _STEPS = 5
 
 
-def _messages(b: Book) -> DataFrame:
+def event_messages(b: Book) -> DataFrame:
     """The event table as a stream of change messages in the transport's shape."""
     events = b.spark.readStream.schema(b.table("events").schema).parquet(f"{b.sf_dir}/events*.parquet")
     op = F.expr("case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end")
@@ -37,22 +37,22 @@ def _messages(b: Book) -> DataFrame:
         moment.alias("timestamp"), value.cast("binary").alias("value"))
 
 
-def _land(b: Book, root: str) -> str:
+def land_events(b: Book, root: str) -> str:
     start_landing(
-        _messages(b), "user_events", f"{root}/landing", f"{root}/checkpoints/landing", interval=None,
+        event_messages(b), "user_events", f"{root}/landing", f"{root}/checkpoints/landing", interval=None,
         tasks_per_hour=2,
     ).awaitTermination()
     return f"{root}/landing/user_events"
 
 
-def _ingest(b: Book, root: str, landing: str) -> SchemaRegistry:
+def ingest_events(b: Book, root: str, landing: str) -> SchemaRegistry:
     registry = SchemaRegistry(b.spark, f"{root}/checkpoints/schema")
     started = start_bronze(b.spark, landing, f"{root}/bronze", f"{root}/checkpoints/bronze")
     drain_bronze(b.spark, registry, started, f"{root}/bronze")
     return registry
 
 
-def _pieces(b: Book, df: DataFrame, path: str) -> DataFrame:
+def in_pieces(b: Book, df: DataFrame, path: str) -> DataFrame:
     """Write a frame as files and stream them back in about five micro-batches."""
     rows = df.count()
     df.write.option("maxRecordsPerFile", max(1, math.ceil(rows / _STEPS))).parquet(path)
@@ -67,7 +67,7 @@ select cast(strftime(ts, '%Y') as int) "year", cast(strftime(ts, '%m') as int) "
   cast(strftime(ts, '%d') as int) "day", cast(strftime(ts, '%H') as int) "hour", count(*) events
 from events group by all""")
 def landing_partitions(b: Book) -> DataFrame:
-    landed = b.spark.read.text(_land(b, scratch(b.spark, "landing")))
+    landed = b.spark.read.text(land_events(b, scratch(b.spark, "landing")))
     return landed.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -75,9 +75,9 @@ def landing_partitions(b: Book) -> DataFrame:
 select case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end __op, event_type, count(*) events,
   count(distinct event_id) offsets, cast(sum(cast(value as decimal(18,2))) as double) total, min(epoch_us(ts) // 1000) first_ms
 from events group by all""")
-def bronze_ingest(b: Book) -> DataFrame:
+def bronzeingest_events(b: Book) -> DataFrame:
     root = scratch(b.spark, "bronze")
-    registry = _ingest(b, root, _land(b, root))
+    registry = ingest_events(b, root, land_events(b, root))
     rows = project(bronze_events(read_bronze(b.spark, f"{root}/bronze")), registry.load())
     return rows.groupBy("__op", "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.countDistinct("_kafka_offset").alias("offsets"),
@@ -89,7 +89,7 @@ select case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end
 from events group by 1""")
 def bronze_op_distribution(b: Book) -> DataFrame:
     root = scratch(b.spark, "ops")
-    _ingest(b, root, _land(b, root))
+    ingest_events(b, root, land_events(b, root))
     return op_distribution(bronze_events(read_bronze(b.spark, f"{root}/bronze")))
 
 
@@ -111,15 +111,15 @@ def schema_evolution(b: Book) -> DataFrame:
     landing = f"{root}/landing"
     for drop in (old, new):
         drop.write.mode("append").text(landing)
-        registry = _ingest(b, root, landing)
+        registry = ingest_events(b, root, landing)
     rows = project(bronze_events(read_bronze(b.spark, f"{root}/bronze")), registry.load())
     return rows.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"), F.count("channel").alias("with_channel"),
         F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"))
 
 
-def _follow(b: Book, root: str, buckets: int = 16) -> Scd1Target:
-    feed = _pieces(b, b._project(CHANGEFEED), f"{root}/feed")
+def follow_feed(b: Book, root: str, buckets: int = 16) -> Scd1Target:
+    feed = in_pieces(b, b._project(CHANGEFEED), f"{root}/feed")
     target = Scd1Target(b.spark, f"{root}/target", ["user_id"], ("ts", "event_id"), "op = 'd'", buckets=buckets)
     target.follow(feed, f"{root}/checkpoint").awaitTermination()
     return target
@@ -127,7 +127,7 @@ def _follow(b: Book, root: str, buckets: int = 16) -> Scd1Target:
 
 @query(SCD1_SQL)
 def scd1_incremental(b: Book) -> DataFrame:
-    target = _follow(b, scratch(b.spark, "scd1"))
+    target = follow_feed(b, scratch(b.spark, "scd1"))
     return target.current().select("user_id", "event_id", "event_type", "value")
 
 
@@ -139,11 +139,11 @@ def scd1_full_refresh(b: Book) -> DataFrame:
     return target.current().select("user_id", "event_id", "event_type", "value")
 
 
-def _transactions(b: Book, root: str) -> DataFrame:
+def transaction_stream(b: Book, root: str) -> DataFrame:
     """The transactions as a change stream; a hash of the row stands in for its offset."""
     rows = b.transactions.withColumnsRenamed({"op": "__op"}).withColumn(
         "_kafka_offset", F.xxhash64(*[c if c != "op" else "__op" for c in TXN_ORDER], "txn_id"))
-    return _pieces(b, rows, f"{root}/transactions")
+    return in_pieces(b, rows, f"{root}/transactions")
 
 
 @query(f"""
@@ -152,7 +152,7 @@ select 'rejected' outcome, count(*) row_count, count(distinct txn_id) ids from t
 def stream_quarantine(b: Book) -> DataFrame:
     root = scratch(b.spark, "quarantine")
     start_quarantine(
-        _transactions(b, root), TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        transaction_stream(b, root), TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return b.spark.read.parquet(f"{root}/out").agg(
         F.count(F.lit(1)).alias("row_count"), F.countDistinct("txn_id").alias("ids")
     ).select(F.lit("rejected").alias("outcome"), "row_count", "ids")
@@ -166,7 +166,7 @@ def stream_split(b: Book) -> DataFrame:
     """Rules first: each id with any valid copy comes out valid exactly once."""
     root = scratch(b.spark, "split")
     start_split(
-        _transactions(b, root), ["txn_id"], TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        transaction_stream(b, root), ["txn_id"], TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     outputs = zip(("valid", "rejected"), split_outputs(b.spark, f"{root}/out"))
     counts = [
         rows.agg(F.countDistinct("txn_id").alias("ids"), F.count(F.lit(1)).alias("row_count"))
@@ -184,6 +184,6 @@ def stream_valid(b: Book) -> DataFrame:
     root = scratch(b.spark, "valid")
     columns = ("txn_id", "loan_id", "amount", "txn_type", "txn_date")
     start_valid(
-        _transactions(b, root), ["txn_id"], columns, TXN_RULES, f"{root}/out", f"{root}/checkpoint",
+        transaction_stream(b, root), ["txn_id"], columns, TXN_RULES, f"{root}/out", f"{root}/checkpoint",
     ).awaitTermination()
     return b.spark.read.parquet(f"{root}/out")

@@ -7,6 +7,7 @@ is the one for a live broker. Offsets are committed by the query's checkpoint af
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,31 +42,63 @@ def route(events: DataFrame) -> DataFrame:
 
 def parse_object(text: Column) -> Column:
     """A JSON object as VARIANT; NULL for anything else, malformed text included."""
-    event = F.try_parse_json(text)
-    return F.when(F.try_variant_get(event, "$", "map<string,variant>").isNotNull(), event)
+    return F.try_parse_json(F.when(F.ltrim(text).startswith("{"), text))
+
+
+def _text(value: Column) -> Column:
+    """Message bytes as text on one line, NULL unless UTF-8. Line breaks in JSON are only layout."""
+    raw = F.try_validate_utf8(value.cast("string"))
+    return F.when(raw.contains("\n") | raw.contains("\r"), F.translate(raw, "\r\n", "  ")).otherwise(raw)
+
+
+def _parsed(events: DataFrame) -> DataFrame:
+    return events.withColumn("text", _text(F.col("value"))).withColumn("event", parse_object(F.col("text")))
 
 
 def decode(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into events with their parsed ``event`` and dead letters with their raw ``value``."""
-    text = F.try_validate_utf8(F.col("value").cast("string"))
-    parsed = events.withColumn("event", parse_object(text))
+    parsed = _parsed(events).drop("text")
     return parsed.where("event is not null"), parsed.where("event is null").drop("event")
 
 
-def enrich(decoded: DataFrame) -> Column:
-    """The event as JSON text with transport columns added (replacing any of the same name)."""
+def _enriched() -> Column:
+    """The event as JSON text with the transport columns added, replacing any of the same name.
+
+    They are appended to the text as it came, which keeps every other field to the letter; only an
+    event that mentions one of the names is taken apart and written anew.
+    """
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     values = dict(zip(TRANSPORT_COLUMNS, (stamp, F.col("offset"), F.col("topic"))))
+    text = F.rtrim("text")
+    added = F.to_json(F.struct(*(v.alias(k) for k, v in values.items())))
+    comma = F.when(text.rlike(r"^\s*\{\s*\}$"), "").otherwise(",")
+    spliced = F.concat(F.substr(text, F.lit(1), F.length(text) - 1), comma, F.substr(added, F.lit(2)))
+
     own = F.map_filter(F.col("event").cast("map<string,variant>"), lambda k, _: ~k.isin(*TRANSPORT_COLUMNS))
-    added = F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v.cast("variant"))))
-    return F.to_json(F.map_concat(own, added))
+    more = F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v.cast("variant"))))
+    mentions = reduce(Column.__or__, (F.col("text").contains(f'"{c}"') for c in TRANSPORT_COLUMNS))
+    return F.when(mentions, F.to_json(F.map_concat(own, more))).otherwise(spliced)
 
 
 def landing_lines(events: DataFrame) -> DataFrame:
-    """``(table, value, year, month, day, hour)``: one JSON line per event, split by UTC arrival hour."""
-    good, _ = decode(route(events))
+    """``(table, value, year, month, day, hour)``: one JSON line per event, split by UTC arrival hour.
+
+    Exploding an array of one line, or NULL for a dead letter, drops the latter; a plain filter would
+    be pushed below the parser and parse every message twice.
+    """
+    line = F.when(F.col("event").isNotNull(), F.array(_enriched()))
     parts = [F.date_format(F.col("timestamp"), p).alias(name) for name, p in PARTITIONS.items()]
-    return good.select("table", enrich(good).alias("value"), *parts)
+    return _parsed(route(events)).select("table", F.explode(line).alias("value"), *parts)
+
+
+def read_landing(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """Landed lines of one table; ``since`` (``YYYY-MM-DD HH``, UTC) prunes to the folders from that hour on."""
+    lines = spark.read.text(path)
+    if since is None:
+        return lines
+    day, hour = since.split(" ")
+    bound = F.struct(*(F.lit(int(x)).alias(c) for c, x in zip(PARTITIONS, (*day.split("-"), hour))))
+    return lines.where(F.struct(*PARTITIONS) >= bound)
 
 
 def _write(lines: DataFrame, path: str, checkpoint: str, interval: str | None, max_records: int) -> StreamingQuery:

@@ -27,14 +27,22 @@ def _start(
     return writer.start()
 
 
-def _dedup(rows: DataFrame, keys: Sequence[str], within: str | None) -> DataFrame:
+def _dedup(rows: DataFrame, keys: Sequence[str], within: str | None, spread: int | None) -> DataFrame:
     """First copy seen. All keys ever seen are state, so it lives on disk (RocksDB), not on the heap;
-    ``within`` bounds it by forgetting keys that much event time ago."""
+    ``within`` bounds it by forgetting keys that much event time ago.
+
+    A stream has no map-side dedup, so all copies of a key would meet in one task. ``spread`` first
+    drops copies within that many salted shares of each key, in parallel; the second step then gets
+    at most one copy per share. It keeps a second set of keys as state; None does without.
+    """
     rows.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
-    if within is None:
-        return rows.dropDuplicates(list(keys))
-    timed = rows.withColumn("_event_time", F.timestamp_millis("__ts_ms")).withWatermark("_event_time", within)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    if within is not None:
+        timed = rows.withColumn("_event_time", F.timestamp_millis("__ts_ms")).withWatermark("_event_time", within)
+        return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    if spread:
+        share = F.pmod(F.xxhash64("_kafka_offset"), F.lit(spread))
+        rows = rows.withColumn("_share", share).dropDuplicates([*keys, "_share"]).drop("_share")
+    return rows.dropDuplicates(list(keys))
 
 
 def start_valid(
@@ -45,10 +53,11 @@ def start_valid(
     path: str,
     checkpoint: str,
     within: str | None = None,
+    spread: int | None = 8,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Valid facts: non-deletes, first copy per key, then the rules."""
-    rows = rules.valid(_dedup(live(events), keys, within))
+    rows = rules.valid(_dedup(live(events), keys, within, spread))
     return _start(rows.select(*columns), path, checkpoint, interval)
 
 
@@ -72,6 +81,7 @@ def start_split(
     path: str,
     checkpoint: str,
     within: str | None = None,
+    spread: int | None = 8,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Both outputs from one read of the feed, as partitions ``_valid=true|false`` of one sink.
@@ -82,7 +92,7 @@ def start_split(
     failed = rules.failures()
     checked = live(events).withColumn("_failed_rules", failed).withColumn("_valid", F.size("_failed_rules") == 0)
     copy = F.when(~F.col("_valid"), F.col("_kafka_offset"))
-    rows = _dedup(checked.withColumn("_copy", copy), [*keys, "_valid", "_copy"], within).drop("_copy")
+    rows = _dedup(checked.withColumn("_copy", copy), [*keys, "_valid", "_copy"], within, spread).drop("_copy")
     return _start(rows, path, checkpoint, interval, by=["_valid"])
 
 
