@@ -34,9 +34,10 @@ GOLD = {
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each layer lives below one shared root."""
+    """Where each layer lives below one shared root; ``views`` also offers gold in the catalog."""
 
     root: str
+    views: bool = True
 
     def landing(self) -> str:
         return f"{self.root}/landing"
@@ -130,7 +131,7 @@ def build_gold(spark: SparkSession, layout: Layout, as_of: Column | None = None,
         "npa_watchlist": gold.npa_watchlist(loans, customers, as_of),
     }
     for name, frame in frames.items():
-        publish(frame, layout.root, "gold", name, GOLD[name])
+        publish(frame, layout.root, "gold", name, GOLD[name], view=layout.views)
 
 
 def refresh(

@@ -19,10 +19,13 @@ _BAND = """case when credit_score >= 800 then '800+ Excellent' when credit_score
 
 # -- gold -----------------------------------------------------------------------------------------
 
-@query(f"""
+PORTFOLIO_SQL = f"""
 select loan_type, status, count(loan_id) loan_count, cast(sum(loan_amount) as double) total_exposure,
   {avg_2('loan_amount')} avg_loan_amount, {avg_2('interest_rate')} avg_interest_rate
-from s_loans group by loan_type, status""")
+from s_loans group by loan_type, status"""
+
+
+@query(PORTFOLIO_SQL)
 def portfolio_summary(b: Book) -> DataFrame:
     return gold.portfolio_summary(b.silver_loans)
 

@@ -9,17 +9,20 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.fold import op_distribution
+from ..operators.fold import live, op_distribution
 from ..operators.rules import TXN_RULES
+from ..plans.refresh import Layout, land, refresh
 from ..session import scratch
 from ..sources.bronze import bronze_events, project, read_bronze
 from ..sources.landing import start_landing
 from ..sources.registry import SchemaRegistry
+from ..sources.tables import current_table
 from ..streaming.facts import split_outputs, start_quarantine, start_split, start_valid
 from ..streaming.ingest import drain_bronze, start_bronze
 from ..streaming.scd1 import Scd1Target
-from .book import CHANGEFEED, TXN_OK, TXN_ORDER, Book, query
+from .book import AS_OF, CHANGEFEED, CUSTOMERS, LOANS, TRANSACTIONS, TXN_OK, TXN_ORDER, Book, query
 from .cdc import SCD1_SQL
+from .loanbook import PORTFOLIO_SQL
 
 _STEPS = 5
 
@@ -178,12 +181,63 @@ def stream_split(b: Book) -> DataFrame:
         "outcome", "ids", F.when(F.col("outcome") == "valid", F.col("row_count")).alias("row_count"))
 
 
-@query()
+@query(f"""
+with per_id as (select txn_id, bool_and(coalesce({TXN_OK}, false)) always, bool_or(coalesce({TXN_OK}, false)) ever
+  from f_txns where op <> 'd' group by txn_id)
+select case when always then 'always valid' when ever then 'sometimes valid' else 'never valid' end copies,
+  count(*) ids, case when always then count(*) when not ever then 0 end passed
+from per_id group by always, ever""")
 def stream_valid(b: Book) -> DataFrame:
-    """First copy seen, then the rules: which copy that is depends on the feed's order, so rows only."""
+    """First copy seen, then the rules. Which copy comes first is up to the feed where copies disagree, so
+    only ids whose copies agree have a certain outcome."""
     root = scratch(b.spark, "valid")
     columns = ("txn_id", "loan_id", "amount", "txn_type", "txn_date")
     start_valid(
         transaction_stream(b, root), ["txn_id"], columns, TXN_RULES, f"{root}/out", f"{root}/checkpoint",
     ).awaitTermination()
-    return b.spark.read.parquet(f"{root}/out")
+    passed = b.spark.read.parquet(f"{root}/out").groupBy("txn_id").agg(F.count(F.lit(1)).alias("n"))
+    ok = TXN_RULES.passes()
+    per_id = live(b.transactions, "op").groupBy("txn_id").agg(F.bool_and(ok).alias("always"), F.bool_or(ok).alias("ever"))
+    copies = F.when(F.col("always"), "always valid").when(F.col("ever"), "sometimes valid").otherwise("never valid")
+    counted = per_id.join(passed, "txn_id", "left").groupBy(copies.alias("copies")).agg(
+        F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("n"), F.lit(0)).alias("passed"))
+    return counted.withColumn("passed", F.when(F.col("copies") != "sometimes valid", F.col("passed")))
+
+
+def book_messages(b: Book) -> DataFrame:
+    """The loan book as a stream of change messages of three topics, all in one landing hour."""
+    def stream(name: str) -> DataFrame:
+        return b.spark.readStream.schema(b.table(name).schema).parquet(f"{b.sf_dir}/{name}*.parquet")
+
+    def message(table: str, rows: DataFrame, offset: str, op, **encoded) -> DataFrame:
+        row = rows.withColumn("_offset", F.expr(offset)).withColumns(encoded)
+        columns = [c for c in row.columns if c not in ("_offset", "op")]
+        value = F.to_json(F.struct(
+            *columns, op.alias("__op"), F.lit(1).alias("__ts_ms"), F.lit(table).alias("__table")))
+        return row.select(
+            F.lit(f"bank.public.{table}").alias("topic"), F.col("_offset").alias("offset"),
+            F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"), value.cast("binary").alias("value"))
+
+    static = {t: b.table(t) for t in ("nation", "region")}
+    customers = b.spark.sql(CUSTOMERS, customer=stream("customer"), **static)
+    loans = b.spark.sql(LOANS, orders=stream("orders"))
+    transactions = b.spark.sql(TRANSACTIONS, lineitem=stream("lineitem"))
+    created = F.lit("c")
+    return (
+        message("customers", customers, "xxhash64(customer_id)", created)
+        .unionByName(message(
+            "loans", loans, "xxhash64(loan_id)", created,
+            disbursed_at=F.unix_millis(F.col("disbursed_at").cast("timestamp"))))
+        .unionByName(message(
+            "transactions", transactions, "xxhash64(txn_id, l_partkey, l_suppkey)", F.col("op"),
+            txn_date=F.unix_date("txn_date")))
+    )
+
+
+@query(PORTFOLIO_SQL)
+def refresh_portfolio(b: Book) -> DataFrame:
+    """The whole way: change messages, landing, bronze, silver folds, gold, read back as published."""
+    layout = Layout(scratch(b.spark, "refresh"), views=False)
+    land(book_messages(b), layout, tasks_per_hour=8)
+    refresh(b.spark, layout, as_of=b.as_of)
+    return current_table(b.spark, layout.root, "gold", "portfolio_summary")
