@@ -28,8 +28,9 @@ _STEPS = 5
 
 
 def event_messages(b: Book) -> DataFrame:
-    """The event table as a stream of change messages in the transport's shape."""
+    """The event table as a stream of change messages, spread by offset like a topic with partitions."""
     events = b.spark.readStream.schema(b.table("events").schema).parquet(f"{b.sf_dir}/events*.parquet")
+    events = events.repartition("event_id")
     op = F.expr("case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end")
     moment = F.col("ts").cast("timestamp")
     value = F.to_json(F.struct(
@@ -210,7 +211,7 @@ def book_messages(b: Book) -> DataFrame:
         return b.spark.readStream.schema(b.table(name).schema).parquet(f"{b.sf_dir}/{name}*.parquet")
 
     def message(table: str, rows: DataFrame, offset: str, op, **encoded) -> DataFrame:
-        row = rows.withColumn("_offset", F.expr(offset)).withColumns(encoded)
+        row = rows.withColumn("_offset", F.expr(offset)).repartition("_offset").withColumns(encoded)
         columns = [c for c in row.columns if c not in ("_offset", "op")]
         value = F.to_json(F.struct(
             *columns, op.alias("__op"), F.lit(1).alias("__ts_ms"), F.lit(table).alias("__table")))

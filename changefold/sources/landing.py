@@ -55,10 +55,21 @@ def _parsed(events: DataFrame) -> DataFrame:
     return events.withColumn("text", _text(F.col("value"))).withColumn("event", parse_object(F.col("text")))
 
 
+def _keep(condition: Column, value: str | Column) -> Column:
+    """Generator: one row with ``value`` where the condition holds, else none.
+
+    A filter on a parsed event would be pushed below the parser and parse every message twice.
+    """
+    return F.explode(F.when(condition, F.array(value)))
+
+
 def decode(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into events with their parsed ``event`` and dead letters with their raw ``value``."""
-    parsed = _parsed(events).drop("text")
-    return parsed.where("event is not null"), parsed.where("event is null").drop("event")
+    parsed, event = _parsed(events), F.col("event")
+    others = [c for c in events.columns if c != "value"]
+    good = parsed.select(*events.columns, _keep(event.isNotNull(), event).alias("event"))
+    dead = parsed.select(*others, _keep(event.isNull(), F.col("value")).alias("value"))
+    return good, dead
 
 
 def _enriched() -> Column:
@@ -81,14 +92,10 @@ def _enriched() -> Column:
 
 
 def landing_lines(events: DataFrame) -> DataFrame:
-    """``(table, value, year, month, day, hour)``: one JSON line per event, split by UTC arrival hour.
-
-    Exploding an array of one line, or NULL for a dead letter, drops the latter; a plain filter would
-    be pushed below the parser and parse every message twice.
-    """
-    line = F.when(F.col("event").isNotNull(), F.array(_enriched()))
+    """``(table, value, year, month, day, hour)``: one JSON line per event, split by UTC arrival hour."""
+    line = _keep(F.col("event").isNotNull(), _enriched())
     parts = [F.date_format(F.col("timestamp"), p).alias(name) for name, p in PARTITIONS.items()]
-    return _parsed(route(events)).select("table", F.explode(line).alias("value"), *parts)
+    return _parsed(route(events)).select("table", line.alias("value"), *parts)
 
 
 def read_landing(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
@@ -131,7 +138,7 @@ def start_landing(
     a file per task and hour; ``tasks_per_hour`` then gathers each hour in that many tasks, salted
     by a hash of the event so that an hour with most of the events is split evenly too.
     """
-    lines = landing_lines(events).where(F.col("table") == table).drop("table")
+    lines = landing_lines(events.where(table_of(F.col("topic")) == table)).drop("table")
     if tasks_per_hour:
         lines = lines.repartition(*PARTITIONS, F.pmod(F.xxhash64("value"), F.lit(tasks_per_hour)))
     return _write(lines, f"{root}/{table}", checkpoint, interval, max_records)
