@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.reconcile import layer_counts, require_ok
 from ..operators.rules import TXN_RULES
@@ -69,8 +70,18 @@ def land(events: DataFrame, layout: Layout, tables: Iterable[str] = tuple(TABLES
         for t in tables
     ]
     queries.append(start_dead_letters(events, layout.landing(), layout.checkpoint("landing/dead_letters"), None))
-    for query in queries:
-        query.awaitTermination()
+    _finish(queries)
+
+
+def _finish(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for drain-and-stop queries; when one fails, stop the others and raise."""
+    queries = list(queries)
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def ingest(spark: SparkSession, layout: Layout) -> None:
@@ -79,6 +90,7 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
         t: start_bronze(spark, f"{layout.landing()}/{t}", layout.bronze(t), layout.checkpoint(f"bronze/{t}"))
         for t in TABLES
     }
+    _finish(started.values())
     for table, query in started.items():
         drain_bronze(spark, layout.registry(spark, table), query, layout.bronze(table))
 
@@ -107,8 +119,16 @@ def build_silver(spark: SparkSession, layout: Layout, unit: str = "ms", buckets:
             transactions, TXN_RULES, layout.silver("transactions_quarantine"),
             layout.checkpoint("silver/transactions_quarantine")),
     ]
-    for query in queries:
-        query.awaitTermination()
+    _finish(queries)
+
+
+def rebuild_silver(spark: SparkSession, layout: Layout, unit: str = "ms", buckets: int = 32) -> None:
+    """Full refresh of the folded tables from all of bronze, whatever their streams have seen."""
+    targets = {
+        CUSTOMERS: layout.customers(spark, buckets=buckets), LOANS: layout.loans(spark, buckets=buckets)}
+    for table, target in targets.items():
+        read = batch_reader(table, layout.registry(spark, table.name), unit)
+        target.full_refresh(read(read_bronze(spark, layout.bronze(table.name))))
 
 
 def silver_tables(spark: SparkSession, layout: Layout, buckets: int = 32) -> dict[str, DataFrame]:

@@ -29,7 +29,7 @@ METADATA_COLUMNS = (
 SEQUENCE = ("__ts_ms", "_kafka_offset")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Table:
     """One source relation.
 

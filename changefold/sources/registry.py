@@ -6,12 +6,18 @@ import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (
-    ArrayType, DataType, DecimalType, DoubleType, LongType, NullType, StringType, StructField, StructType,
+    ArrayType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType, ShortType,
+    StringType, StructField, StructType,
 )
 
 from .versions import VersionedDir
 
 
+# Digits a value of each whole-number type can have, narrowest first.
+_WHOLE = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+_REAL = (FloatType, DoubleType)
+
+
 def widen(a: StructType, b: StructType) -> StructType:
     """Least schema holding both: columns are only added, types only grow. Order of merging is free."""
     merged = {f.name: f.dataType for f in a.fields}
@@ -29,10 +35,12 @@ def _widen_type(a: DataType, b: DataType) -> DataType:
         return widen(a, b)
     if isinstance(a, ArrayType) and isinstance(b, ArrayType):
         return ArrayType(_widen_type(a.elementType, b.elementType))
-    numbers = (LongType, DecimalType, DoubleType)
+    numbers = (*_WHOLE, *_REAL, DecimalType)
     if isinstance(a, numbers) and isinstance(b, numbers):
-        if isinstance(a, DoubleType) or isinstance(b, DoubleType):
+        if isinstance(a, _REAL) or isinstance(b, _REAL):
             return DoubleType()
+        if type(a) in _WHOLE and type(b) in _WHOLE:
+            return max(a, b, key=lambda t: _WHOLE[type(t)])
         (ia, sa), (ib, sb) = _digits(a), _digits(b)
         whole, scale = max(ia, ib), max(sa, sb)
         return DecimalType(whole + scale, scale) if whole + scale <= 38 else DoubleType()
@@ -40,7 +48,7 @@ def _widen_type(a: DataType, b: DataType) -> DataType:
 
 
 def _digits(t: DataType) -> tuple[int, int]:
-    return (19, 0) if isinstance(t, LongType) else (t.precision - t.scale, t.scale)
+    return (t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else (_WHOLE[type(t)], 0)
 
 
 class SchemaRegistry:

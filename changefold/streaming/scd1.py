@@ -43,9 +43,13 @@ class Scd1Target:
         except_columns: Sequence[str] = METADATA_COLUMNS,
         buckets: int = 32,
         tombstone_retention: int | None = None,
+        vacuum_every: int | None = 50,
+        keep: int = 10,
     ):
         """``tombstone_retention`` drops deletes that many sequence units behind the newest event of a
-        batch; a key then revived by an even older late event stays revived."""
+        batch; a key then revived by an even older late event stays revived. Every ``vacuum_every``
+        commits, versions only manifests older than the ``keep`` newest need are deleted; a reader
+        must be done within that many commits."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
@@ -56,6 +60,8 @@ class Scd1Target:
         self.except_columns = list(except_columns)
         self.buckets = buckets
         self.tombstone_retention = tombstone_retention
+        self.vacuum_every = vacuum_every
+        self.keep = keep
         self._manifests = VersionedDir(spark, f"{self.root}/manifest")
         self._states = VersionedDir(spark, f"{self.root}/state")
 
@@ -153,6 +159,8 @@ class Scd1Target:
             "applied": applied,
             "first_quarantine": manifest["first_quarantine"],
         }))
+        if self.vacuum_every and version % self.vacuum_every == 0:
+            self.vacuum()
 
     def _set_aside(self, events: DataFrame, version: int) -> DataFrame:
         """Write unusable events to quarantine; return the others, without columns state never shows."""
@@ -169,9 +177,9 @@ class Scd1Target:
         hidden = [c for c in self.except_columns if c not in self.sequence]
         return checked.where(F.size("_failed_rules") == 0).drop("_failed_rules", *hidden)
 
-    def vacuum(self, keep: int = 2) -> None:
+    def vacuum(self, keep: int | None = None) -> None:
         """Delete bucket versions that only manifests older than the ``keep`` newest refer to."""
-        versions = self._manifests.committed()
+        versions, keep = self._manifests.committed(), keep or self.keep
         notes = {v: json.loads(self._manifests.read_note(v))["buckets"] for v in versions}
         needed = {item for v in versions[-keep:] for item in notes[v].items()}
         for bucket, version in {item for v in versions[:-keep] for item in notes[v].items()} - needed:
