@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -62,14 +63,21 @@ class Layout:
         return loans_target(spark, self.silver("loans"), **options)
 
 
-def land(events: DataFrame, layout: Layout, tables: Iterable[str] = tuple(TABLES), **options) -> None:
-    """Drain a stream of change topics into landing files, all tables at once, dead letters apart."""
+def land(events: DataFrame | Mapping[str, DataFrame], layout: Layout, **options) -> None:
+    """Drain change topics into landing files, all tables at once, dead letters apart.
+
+    One stream per table reads each topic for its own table only; a single stream of all topics is
+    read by every table's query.
+    """
+    streams = dict(events) if isinstance(events, Mapping) else dict.fromkeys(TABLES, events)
+    everything = reduce(DataFrame.unionByName, streams.values()) if isinstance(events, Mapping) else events
     queries = [
         start_landing(
-            events, t, layout.landing(), layout.checkpoint(f"landing/{t}"), interval=None, **options)
-        for t in tables
+            stream, t, layout.landing(), layout.checkpoint(f"landing/{t}"), interval=None, **options)
+        for t, stream in streams.items()
     ]
-    queries.append(start_dead_letters(events, layout.landing(), layout.checkpoint("landing/dead_letters"), None))
+    queries.append(
+        start_dead_letters(everything, layout.landing(), layout.checkpoint("landing/dead_letters"), None))
     _finish(queries)
 
 

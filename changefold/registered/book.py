@@ -87,6 +87,11 @@ class Book:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """The table as a file stream. A stream takes one file only as a pattern, hence ``[e]vents``."""
+        pattern = f"{self.sf_dir}/[{name[0]}]{name[1:]}.parquet"
+        return self.spark.readStream.schema(self.table(name).schema).parquet(pattern)
+
     def _project(self, sql: str) -> DataFrame:
         used = {t: self.table(t) for t in _TABLES if f"{{{t}}}" in sql}
         return self.spark.sql(sql, **used)

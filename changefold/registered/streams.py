@@ -29,8 +29,7 @@ _STEPS = 5
 
 def event_messages(b: Book) -> DataFrame:
     """The event table as a stream of change messages, spread by offset like a topic with partitions."""
-    events = b.spark.readStream.schema(b.table("events").schema).parquet(f"{b.sf_dir}/events*.parquet")
-    events = events.repartition("event_id")
+    events = b.stream("events").repartition("event_id")
     op = F.expr("case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end")
     moment = F.col("ts").cast("timestamp")
     value = F.to_json(F.struct(
@@ -205,11 +204,8 @@ def stream_valid(b: Book) -> DataFrame:
     return counted.withColumn("passed", F.when(F.col("copies") != "sometimes valid", F.col("passed")))
 
 
-def book_messages(b: Book) -> DataFrame:
-    """The loan book as a stream of change messages of three topics, all in one landing hour."""
-    def stream(name: str) -> DataFrame:
-        return b.spark.readStream.schema(b.table(name).schema).parquet(f"{b.sf_dir}/{name}*.parquet")
-
+def book_messages(b: Book) -> dict[str, DataFrame]:
+    """The loan book as streams of change messages, one per topic, all in one landing hour."""
     def message(table: str, rows: DataFrame, offset: str, op, **encoded) -> DataFrame:
         row = rows.withColumn("_offset", F.expr(offset)).repartition("_offset").withColumns(encoded)
         columns = [c for c in row.columns if c not in ("_offset", "op")]
@@ -220,19 +216,19 @@ def book_messages(b: Book) -> DataFrame:
             F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"), value.cast("binary").alias("value"))
 
     static = {t: b.table(t) for t in ("nation", "region")}
-    customers = b.spark.sql(CUSTOMERS, customer=stream("customer"), **static)
-    loans = b.spark.sql(LOANS, orders=stream("orders"))
-    transactions = b.spark.sql(TRANSACTIONS, lineitem=stream("lineitem"))
+    customers = b.spark.sql(CUSTOMERS, customer=b.stream("customer"), **static)
+    loans = b.spark.sql(LOANS, orders=b.stream("orders"))
+    transactions = b.spark.sql(TRANSACTIONS, lineitem=b.stream("lineitem"))
     created = F.lit("c")
-    return (
-        message("customers", customers, "xxhash64(customer_id)", created)
-        .unionByName(message(
+    return {
+        "customers": message("customers", customers, "xxhash64(customer_id)", created),
+        "loans": message(
             "loans", loans, "xxhash64(loan_id)", created,
-            disbursed_at=F.unix_millis(F.col("disbursed_at").cast("timestamp"))))
-        .unionByName(message(
+            disbursed_at=F.unix_millis(F.col("disbursed_at").cast("timestamp"))),
+        "transactions": message(
             "transactions", transactions, "xxhash64(txn_id, l_partkey, l_suppkey)", F.col("op"),
-            txn_date=F.unix_date("txn_date")))
-    )
+            txn_date=F.unix_date("txn_date")),
+    }
 
 
 @query(PORTFOLIO_SQL)
