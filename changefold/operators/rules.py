@@ -84,10 +84,10 @@ class RuleSet:
     def pass_rate(self, df: DataFrame, threshold: float = 95.0) -> DataFrame:
         """One row: share of rows passing all rules, and whether it falls below ``threshold`` percent."""
         counts = df.agg(F.count_if(self.passes()).alias("passed"), F.count(F.lit(1)).alias("checked"))
-        rate = _percent("passed", "checked")
+        exact = F.try_divide(F.col("passed"), F.col("checked")) * 100
         return counts.select(
             "passed", (F.col("checked") - F.col("passed")).alias("quarantined"),
-            rate.alias("pass_rate"), (rate < threshold).alias("breached"),
+            _percent("passed", "checked").alias("pass_rate"), (exact < threshold).alias("breached"),
         )
 
     def metrics(self) -> list[Column]:

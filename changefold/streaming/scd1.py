@@ -122,28 +122,26 @@ class Scd1Target:
         spark = events.sparkSession
         version = (self._manifests.latest() or 0) + 1
         good = self._set_aside(events, version)
-        folded = self._fold(good).withColumn(_BUCKET, self._bucket()).persist(StorageLevel.MEMORY_AND_DISK)
+        old = _schema(manifest["schema"])
+        schema = widen(old, good.schema)
+        # A key hashes by its type, so types are settled before buckets are; a grown type moves every row.
+        folded = self._in_buckets(self._fold(_conform(good, schema))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             facts = folded.groupBy(_BUCKET).agg(F.max(self.sequence[0]).alias("newest")).collect()  # <= buckets rows
             touched = {str(r[_BUCKET]) for r in facts}
-            columns = StructType([f for f in folded.schema.fields if f.name != _BUCKET])
-            old = _schema(manifest["schema"])
-            schema = widen(old, columns)
-            grown = {f.name: f.dataType for f in schema.fields}
-            reread = set(manifest["buckets"]) if any(grown[f.name] != f.dataType for f in old.fields) else touched
+            grown = any(schema[f.name].dataType != f.dataType for f in old.fields)
+            reread = set(manifest["buckets"]) if grown else touched
             prior = {b: v for b, v in manifest["buckets"].items() if b in reread}
             merged = folded
             if prior:
-                stored = self._read_buckets(spark, manifest, prior).withColumn(_BUCKET, self._bucket())
-                both = _conform(stored, schema).unionByName(_conform(folded, schema))
-                merged = self._fold(both.repartition(_BUCKET), _BUCKET)
-            elif touched:
-                merged = self._fold(folded.repartition(_BUCKET), _BUCKET)
+                stored = _conform(self._read_buckets(spark, manifest, prior), schema)
+                merged = self._in_buckets(stored).unionByName(folded)
+            merged = self._fold(merged.repartition(_BUCKET), _BUCKET)
             if self.tombstone_retention is not None and facts:
                 horizon = max(r.newest for r in facts) - self.tombstone_retention
                 merged = merged.where(~F.col(IS_DELETE) | (F.col(self.sequence[0]) >= horizon))
             buckets = manifest["buckets"]
-            if touched:
+            if touched or grown:
                 merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._states.path(version))
                 kept = {b: v for b, v in buckets.items() if b not in reread | touched}
                 names = (name.split("=") for name in self._states.parts(version))
@@ -193,8 +191,8 @@ class Scd1Target:
         return fold_latest(
             events, [*within, *self.keys], self.sequence, self.deletes, keep_image=self.delete_mode == "soft")
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def _in_buckets(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
     def _manifest(self) -> dict:
         version = self._manifests.latest()
@@ -219,7 +217,7 @@ def _schema(text: str | None) -> StructType:
 
 
 def _conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` and the bucket, in its types: added ones NULL, grown ones converted by name."""
+    """Columns of ``schema`` in its types: added ones NULL, grown ones converted, structs by field name."""
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def column(f: StructField) -> Column:
@@ -230,4 +228,4 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
         boxed = F.to_variant_object(F.struct(F.col(f.name).alias("v")))
         return F.try_variant_get(boxed, "$.v", f.dataType.simpleString()).alias(f.name)
 
-    return df.select(*(column(f) for f in schema.fields), _BUCKET)
+    return df.select(*(column(f) for f in schema.fields))
