@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, decontaminate, languages, sharding
+from changefold.session import scratch
+
+from . import bpe, decontaminate, languages, sharding, simhash, tokenfiles, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 SHARDS = 40
@@ -47,6 +49,28 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.digest_items().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    kind = pages.schema["page_id"].dataType
+    packages = warc.write_packages(pages, scratch(spark, "warc"))
+    return warc.read_packages(packages).select(
+        F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    vocabulary = bpe.vocabulary(docs, vocabulary_path(VOCABULARY))
+    shards = tokenfiles.write_token_files(docs, vocabulary, scratch(spark, "token-files"))
+    return tokenfiles.read_token_files(shards).select(
+        F.col("key").alias("doc_id"), "start", F.size("token_ids").cast("long").alias("n_tokens"), "ids_crc32")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -78,5 +102,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op8_warc": op8_warc,
+    "op9_token_files": op9_token_files,
+    "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
+OP8_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first FROM q)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op8_warc": OP8_SQL}
