@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary_path
 
 from changefold.session import scratch
 
-from . import bpe, decontaminate, languages, sharding, simhash, tokenfiles, warc
+from . import bpe, decontaminate, languages, lm, sharding, simhash, tokenfiles, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 SHARDS = 40
@@ -49,6 +49,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.digest_items().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", lm.held_out("doc_id"))
+    scored = lm.score_documents(docs, docs.where(~F.col("held_out")))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     kind = pages.schema["page_id"].dataType
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
