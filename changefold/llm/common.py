@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,6 +15,15 @@ from pyspark.sql.types import StructField, StructType
 from changefold.session import scratch
 
 
+#: Folds UTF-8 to words: A-Z become a-z, ASCII outside letters and digits becomes a blank, the rest stays.
+FOLD = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+    for b in range(256)
+)
+#: The same words in text that is not folded yet.
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
+
+
 def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
                    compute: Callable[[], Callable[..., list[pa.Array]]]) -> DataFrame:
     """Add columns computed from Arrow batches of ``inputs``; all other columns pass through untouched.

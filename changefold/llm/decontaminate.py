@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 
 import ahocorasick
 import numpy as np
@@ -13,14 +12,7 @@ from pyspark.sql.types import (
     ArrayType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from .common import append_columns, utf8, written
-
-#: Bytes outside words become blanks; A-Z become a-z; bytes of non-ASCII letters stay.
-FOLD = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
-    for b in range(256)
-)
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # before folding: capitals are still capitals
+from .common import FOLD, WORD, append_columns, utf8, written
 
 SPAN = StructType([StructField("first", IntegerType()), StructField("last", IntegerType())])
 PLACE = StructType([StructField("start", LongType()), StructField("end", LongType())])

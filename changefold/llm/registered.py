@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary_path
 
 from changefold.session import scratch
 
-from . import bpe, decontaminate, languages, lm, sharding, simhash, tokenfiles, warc
+from . import bpe, decontaminate, languages, lm, passages, sharding, simhash, tokenfiles, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 SHARDS = 40
@@ -55,6 +55,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     kind = pages.schema["page_id"].dataType
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_passages": op7_passages,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
