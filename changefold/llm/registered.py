@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary_path
 
 from changefold.session import scratch
 
-from . import bpe, decontaminate, languages, lm, passages, sharding, simhash, tokenfiles, warc
+from . import bpe, decontaminate, languages, lm, passages, search, sharding, simhash, tokenfiles, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 SHARDS = 40
@@ -49,6 +49,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.digest_items().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = search.search(search.build_index(docs), docs.where(F.col("doc_id") % 100 == 0), k=10)
+    return found.select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", lm.held_out("doc_id"))
     scored = lm.score_documents(docs, docs.where(~F.col("held_out")))
@@ -112,12 +118,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_search": op5_search,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_passages": op7_passages,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
 }
+OP5_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+tf AS (SELECT k, term, count(*) AS n FROM (SELECT k, unnest(w) AS term FROM d) GROUP BY ALL),
+whole AS (SELECT count(*) AS n, sum(len(w)) / count(*) AS average FROM d),
+weights AS (SELECT term, ln(1 + ((SELECT n FROM whole) - count(*) + 0.5) / (count(*) + 0.5)) AS weight FROM tf GROUP BY term),
+scores AS (
+  SELECT q.k AS query, t.k AS k, sum(weight * t.n * 2.2 / (t.n + 1.2 * (0.25 + 0.75 * len(d.w) / (SELECT average FROM whole)))) AS score
+  FROM tf q JOIN d qd ON qd.k = q.k AND qd.doc_id % 100 = 0 JOIN tf t ON t.term = q.term JOIN weights ON weights.term = q.term
+  JOIN d ON d.k = t.k GROUP BY q.k, t.k),
+ranked AS (
+  SELECT query, d.doc_id, score,
+    row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, d.doc_id NULLS FIRST) AS rank
+  FROM scores JOIN d USING (k))
+SELECT d.doc_id AS query_id, CAST(rank AS INTEGER) AS rank, ranked.doc_id AS doc_id, round(score, 6) AS score
+FROM ranked JOIN d ON d.k = ranked.query WHERE rank <= 10
+"""
+
 OP8_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
@@ -128,4 +154,4 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op8_warc": OP8_SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_search": OP5_SQL, "op8_warc": OP8_SQL}
