@@ -6,6 +6,10 @@ with its first document in table order (never all pairs). Per pair of documents
 in order of both texts, gaps at a cost, with a Fenwick tree over the other text's positions. Chains are
 then aligned word by word on slices of both texts, run on at either end, and cut where they differ too
 much; what is left of at least ``least`` words is a passage.
+
+The first document of a seed need not have the whole passage: other, shorter repeats may hide the one
+that does. Where a run of repeated seeds is long enough for a passage but not inside one that was found, a
+second look takes every run of ``least`` words as a seed. Its first document has that run whole.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType,
 )
@@ -79,10 +83,7 @@ def seeds(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarra
     n = len(words) - k + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams = np.zeros(n, np.uint64)
-    for j in range(k):
-        grams = grams * _BASE + words[j:j + n]
-    grams = _mix(grams)
+    grams = _grams(words, k)
     if n <= window:
         kept = np.array([int(np.argmin(grams))])
     else:
@@ -91,6 +92,15 @@ def seeds(words: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarra
     return grams[kept], kept
 
 
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words."""
+    n = len(words) - k + 1
+    grams = np.zeros(n, np.uint64)
+    for j in range(k):
+        grams = grams * _BASE + words[j:j + n]
+    return _mix(grams)
+
+
 class Fenwick:
     """Largest (score, index) over a growing prefix of ranks."""
 
@@ -322,7 +332,91 @@ def find_passages(texts: DataFrame, settings: Settings = Settings()) -> DataFram
     there = slices.select(F.col("row").alias("other"), F.col("lo").alias("other_lo"),
                           F.col("hi").alias("other_hi"), F.col("words").alias("others"))
     ready = found.join(slices, ["row", "lo", "hi"]).join(there, ["other", "other_lo", "other_hi"])
-    return _passage_rows(ready.select("row", "other", "lo", "other_lo", "here", "there", "words", "others"), s)
+    passages = written(_passage_rows(ready.select(
+        "row", "other", "lo", "other_lo", "here", "there", "words", "others"), s), "passages")
+    return passages.unionByName(_second_look(found, slices, passages, s))
+
+
+def _second_look(found: DataFrame, slices: DataFrame, passages: DataFrame, s: Settings) -> DataFrame:
+    """Exact passages of documents that share more with each other than with their seeds' first documents."""
+    own = found.select("row", F.explode("here").alias("at"))
+    other = found.select(F.col("other").alias("row"), F.explode("there").alias("at"))
+    places = own.unionByName(other).distinct().groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("ats"))
+    known = passages.groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("known"))
+    runs = _open_runs(places.join(known, "row", "left"), s)
+    grams = _run_rows(slices.join(runs, "row").select("row", "lo", "words", "runs"), s).distinct()
+    grams = written(grams, "passage-runs")
+    firsts = grams.groupBy("seed").agg(F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("at", "row").alias("there"))
+    firsts = written(firsts.where("other < last").drop("last"), "passage-run-seeds")
+    matched = grams.join(firsts, "seed").where("row <> other")
+    # neighbouring runs of one document on one diagonal are one passage
+    order = Window.partitionBy("row", "other", F.col("at") - F.col("there")).orderBy("at")
+    island = F.col("at") - F.row_number().over(order)
+    islands = matched.select("row", "other", "at", "there", island.alias("island"))
+    return islands.groupBy("row", "other", F.col("at") - F.col("there"), "island").agg(
+        F.min("at").alias("first"), (F.max("at") + s.least).alias("end"), F.min("there").alias("other_first"),
+        (F.max("there") + s.least).alias("other_end"), (F.max("at") - F.min("at") + s.least).alias("equal"),
+    ).select("row", "other", "first", "end", "other_first", "other_end", "equal")
+
+
+def open_runs(places: list[int], known: list[tuple[int, int]], s: Settings) -> list[tuple[int, int]]:
+    """Word ranges all of whose runs of ``least`` words could repeat and are not inside a known passage.
+
+    Within a repeat, seeds are at most ``window`` words apart, and the first and last are that near its ends.
+    """
+    made = []
+    at = 0
+    while at < len(places):
+        last = at
+        while last + 1 < len(places) and places[last + 1] - places[last] <= s.window:
+            last += 1
+        start, stop = max(0, places[at] - s.window + 1), places[last] + s.k + s.window - 1 - s.least
+        for a, b in sorted(known):  # starts of runs between the known passages
+            if a <= stop and b - s.least >= start:
+                if a > start:
+                    made.append((start, a - 1 + s.least))
+                start = max(start, b - s.least + 1)
+        if start <= stop:
+            made.append((start, stop + s.least))
+        at = last + 1
+    return made
+
+
+def _open_runs(places: DataFrame, s: Settings) -> DataFrame:
+    schema = "row long, runs array<struct<first:int,end:int>>"
+
+    def run(batches):
+        for batch in batches:
+            rows, runs = [], []
+            for row, ats, known in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                found = open_runs(ats, [(k["first"], k["end"]) for k in known or []], s)
+                if found:
+                    rows.append(row)
+                    runs.append([{"first": a, "end": b} for a, b in found])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows, pa.int64()),
+                pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))], names=["row", "runs"])
+
+    return places.select("row", "ats", "known").mapInArrow(run, schema)
+
+
+def _run_rows(slices: DataFrame, s: Settings) -> DataFrame:
+    """Hashes of all runs of ``least`` words of the slices that lie inside the rows' open runs."""
+    schema = "seed long, row long, at int"
+
+    def run(batches):
+        for batch in batches:
+            for row, lo, words, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                words = np.frombuffer(words, np.uint32)
+                for r in runs:
+                    a, b = max(r["first"], lo), min(r["end"], lo + len(words))
+                    if b - a >= s.least:
+                        grams = _grams(words[a - lo:b - lo].astype(np.uint64), s.least)
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), row, np.int64)),
+                            pa.array(np.arange(a, a + len(grams), dtype=np.int32))], names=["seed", "row", "at"])
+
+    return slices.mapInArrow(run, schema)
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
