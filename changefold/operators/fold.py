@@ -99,7 +99,10 @@ def apply_changes(
     rules: RuleSet | None = None,
     delete_mode: str = "hard",
 ) -> DataFrame:
-    """Current state of a whole feed. Rules check upserts before the fold; deletes bypass them."""
+    """Current state of a whole feed. Rules check upserts before the fold; deletes bypass them.
+
+    What it cannot use, ``set_aside`` gives with the reason: the two hold every event between them.
+    """
     events = events.where(usable(keys, sequence))
     if rules is not None:
         events = events.where(rules.passes() | F.coalesce(F.expr(deletes), F.lit(False)))
@@ -115,6 +118,21 @@ def usable(keys: Sequence[str], sequence: Sequence[str]) -> Column:
     return ok
 
 
+def set_aside(
+    events: DataFrame,
+    keys: Sequence[str],
+    sequence: Sequence[str] = SEQUENCE,
+    deletes: str = DELETES,
+    rules: RuleSet | None = None,
+) -> DataFrame:
+    """The events ``apply_changes`` leaves out, with ``_failed_rules`` and ``_quarantine_reason``."""
+    none = F.array().cast("array<string>")
+    broken = none if rules is None else F.when(F.coalesce(F.expr(deletes), F.lit(False)), none).otherwise(rules.failures())
+    failed = F.when(~usable(keys, sequence), F.array(F.lit("missing_key_or_sequence"))).otherwise(broken)
+    bad = events.withColumn("_failed_rules", failed).where(F.size("_failed_rules") > 0)
+    return bad.withColumn("_quarantine_reason", F.col("_failed_rules")[0])
+
+
 def live(events: DataFrame, op: str = "__op") -> DataFrame:
     """Leave deletes out; an event without an operation code counts as a snapshot read."""
     return events.where(F.coalesce(F.col(op), F.lit(DEFAULT_OP)) != "d")

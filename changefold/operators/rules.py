@@ -97,6 +97,14 @@ class RuleSet:
         ]
 
 
+def all_failures(df: DataFrame, rules: RuleSet | None) -> Column:
+    """What makes a row unfit: values lost in typing (``_misfits``, where there is such a column), then rules."""
+    parts = [F.coalesce("_misfits", F.array().cast("array<string>"))] if "_misfits" in df.columns else []
+    if rules is not None:
+        parts.append(rules.failures())
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
+
+
 def _percent(part: str, whole: str) -> Column:
     return F.round(F.try_divide(F.col(part), F.col(whole)) * 100, 2)
 

@@ -94,4 +94,4 @@ def preview(df: DataFrame, *order_by: str, rows: int = 5) -> DataFrame:
 
 def sample(df: DataFrame, key: str, rows: int, seed: int = 0) -> DataFrame:
     """``rows`` random rows, the same ones for the same seed whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(rows)
+    return df.orderBy(F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), key).limit(rows)

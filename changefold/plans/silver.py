@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.temporal import decode_temporal
 from ..operators.fold import dedup_first, live
-from ..operators.rules import LOAN_RULES, TXN_RULES
+from ..operators.rules import CUSTOMER_RULES, LOAN_RULES, TXN_RULES
 from ..schemas import CUSTOMERS, LOANS, TRANSACTIONS, Table
 from ..sources.bronze import bronze_events, discover_schema, project
 from ..sources.registry import SchemaRegistry
@@ -29,11 +29,17 @@ def wire_types(table: Table) -> StructType:
 
 
 def typed(wire: DataFrame, table: Table, unit: str = "ms") -> DataFrame:
-    """Decode the epoch columns; ``unit`` is that of the feed's timestamps."""
-    return wire.withColumns({
-        **{c: decode_temporal(wire[c], "days") for c in table.epoch_dates},
-        **{c: decode_temporal(wire[c], unit) for c in table.epoch_timestamps},
-    })
+    """Decode the epoch columns; ``unit`` is that of the feed's timestamps.
+
+    A number out of range joins ``_misfits`` (where there is such a column) instead of just becoming NULL.
+    """
+    units = {**dict.fromkeys(table.epoch_dates, "days"), **dict.fromkeys(table.epoch_timestamps, unit)}
+    decoded = {c: decode_temporal(wire[c], u) for c, u in units.items()}
+    if "_misfits" in wire.columns and units:
+        out = F.array_compact(F.array(*(
+            F.when(wire[c].isNotNull() & decoded[c].isNull(), F.lit(f"misfit:{c}")) for c in units)))
+        decoded["_misfits"] = F.concat("_misfits", out)
+    return wire.withColumns(decoded)
 
 
 def from_bronze(bronze: DataFrame, table: Table, schema: StructType, unit: str = "ms") -> DataFrame:
@@ -54,7 +60,7 @@ def batch_reader(table: Table, registry: SchemaRegistry, unit: str = "ms") -> Ca
 
 
 def customers_target(spark: SparkSession, root: str, **options) -> Scd1Target:
-    return Scd1Target(spark, root, [CUSTOMERS.key], **options)
+    return Scd1Target(spark, root, [CUSTOMERS.key], rules=CUSTOMER_RULES, **options)
 
 
 def loans_target(spark: SparkSession, root: str, **options) -> Scd1Target:

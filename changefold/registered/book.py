@@ -21,6 +21,13 @@ select concat('C', cast(c_custkey as string)) customer_id, c_name as name,
   cast((c_acctbal + 1000) * 100 as decimal(14,2)) annual_income
 from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey"""
 
+# Customers of whom some lack an address or a city, or have a score that cannot be.
+WANTING = """
+select customer_id, name, case when cast(substr(customer_id, 2) as int) % 13 = 0 then null else email end email,
+  case when cast(substr(customer_id, 2) as int) % 17 = 0 then 950 else credit_score end credit_score,
+  case when cast(substr(customer_id, 2) as int) % 19 = 0 then null else city end city
+from {customers}"""
+
 LOANS = """
 select concat('L', cast(o_orderkey as string)) loan_id, concat('C', cast(o_custkey as string)) customer_id,
   cast(o_totalprice as decimal(12,2)) loan_amount,
@@ -67,6 +74,9 @@ RELATIONS = {
     "f_loans": LOANS.format(**_BARE),
     "f_txns": TRANSACTIONS.format(**_BARE),
     "f_feed": CHANGEFEED.format(**_BARE),
+    "f_kept": "select * from f_loans where cast(substr(loan_id, 2) as int) % 97 <> 0",
+    "f_wanting": WANTING.format(customers="f_customers"),
+    "s_kept": f"select * from f_kept where {LOAN_OK}",
     "s_loans": f"select * from f_loans where {LOAN_OK}",
     "s_txns": f"""
 select * from (select *, row_number() over (partition by txn_id order by {_ORDER_SQL}) rn
@@ -108,6 +118,10 @@ class Book:
     def transactions(self) -> DataFrame:
         return self._project(TRANSACTIONS)
 
+    @cached_property
+    def wanting_customers(self) -> DataFrame:
+        return self.spark.sql(WANTING, customers=self.customers)
+
     @cached_property
     def feed(self) -> DataFrame:
         return self._project(CHANGEFEED)

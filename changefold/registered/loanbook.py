@@ -30,7 +30,7 @@ def portfolio_summary(b: Book) -> DataFrame:
     return gold.portfolio_summary(b.silver_loans)
 
 
-_RISK = f"""
+RISK_SQL = f"""
 select {_TIER} credit_tier, count(c.customer_id) customer_count, count(distinct loan_id) active_loans,
   cast(sum(loan_amount) as double) total_active_exposure, {avg_0('credit_score')} avg_credit_score,
   {avg_0('annual_income')} avg_annual_income
@@ -38,7 +38,7 @@ from f_customers c left join (select * from s_loans where status = 'active') l o
 group by 1"""
 
 
-@query(_RISK)
+@query(RISK_SQL)
 def customer_risk_profile(b: Book) -> DataFrame:
     return gold.customer_risk_profile(b.customers, b.silver_loans)
 
@@ -53,7 +53,7 @@ def customer_risk_profile_dedup(b: Book) -> DataFrame:
     return gold.customer_risk_profile(b.customers, b.silver_loans, dedupe_customers=True)
 
 
-@query(_RISK + " order by avg_credit_score desc")
+@query(RISK_SQL + " order by avg_credit_score desc")
 def risk_tier_panel(b: Book) -> DataFrame:
     return panels.risk_tier_panel(gold.customer_risk_profile(b.customers, b.silver_loans))
 
@@ -76,7 +76,7 @@ def collections_last30(b: Book) -> DataFrame:
     return panels.collections_trend(gold.daily_collections(b.silver_transactions))
 
 
-_NPA = f"""
+NPA_SQL = f"""
 select l.loan_id, c.customer_id, c.name borrower_name, c.city, c.credit_score, l.loan_type,
   cast(l.loan_amount as double) loan_amount, cast(l.interest_rate as double) interest_rate, l.tenure_months,
   cast(l.disbursed_at as varchar) disbursed_at,
@@ -84,21 +84,21 @@ select l.loan_id, c.customer_id, c.name borrower_name, c.city, c.credit_score, l
 from s_loans l join f_customers c on l.customer_id = c.customer_id where l.status = 'defaulted'"""
 
 
-@query(_NPA)
+@query(NPA_SQL)
 def npa_watchlist(b: Book) -> DataFrame:
     return gold.npa_watchlist(b.silver_loans, b.customers, b.as_of)
 
 
 @query(f"""
 select loan_id, borrower_name, city, credit_score, loan_type, loan_amount, interest_rate, days_since_disbursement
-from ({_NPA}) n order by loan_amount desc, loan_id""")
+from ({NPA_SQL}) n order by loan_amount desc, loan_id""")
 def npa_panel(b: Book) -> DataFrame:
     return panels.npa_panel(gold.npa_watchlist(b.silver_loans, b.customers, b.as_of))
 
 
 @query(f"""
 select loan_id, borrower_name, city, credit_score, loan_type, loan_amount, interest_rate, days_since_disbursement
-from ({_NPA}) n order by loan_amount desc, loan_id limit 10""")
+from ({NPA_SQL}) n order by loan_amount desc, loan_id limit 10""")
 def npa_top(b: Book) -> DataFrame:
     return panels.npa_panel(gold.npa_watchlist(b.silver_loans, b.customers, b.as_of), top=10)
 
@@ -201,9 +201,10 @@ def preview_topn(b: Book) -> DataFrame:
     return panels.preview(b.loans.select("loan_id", "loan_amount", "status"), "loan_amount", "loan_id")
 
 
-@query()
+@query("select loan_id, md5(concat('42', loan_id)) draw from f_loans order by md5(concat('42', loan_id)) limit 5")
 def sample_n(b: Book) -> DataFrame:
-    return panels.sample(b.loans, "loan_id", 5, seed=42)
+    drawn = panels.sample(b.loans, "loan_id", 5, seed=42)
+    return drawn.select("loan_id", F.md5(F.concat(F.lit("42"), "loan_id").cast("binary")).alias("draw"))
 
 
 @query("select status, count(*) row_count from f_loans group by status order by status")

@@ -74,10 +74,16 @@ def customers_valid(b: Book) -> DataFrame:
 
 
 @query("""
-select customer_id, email, city, credit_score from f_customers
+select customer_id, email, city, credit_score, concat_ws(',', case when credit_score not between 300 and 900 then 'valid_credit_score' end,
+    case when email is null then 'email_not_null' end, case when city is null then 'city_not_null' end) reasons,
+  case when credit_score not between 300 and 900 then 'valid_credit_score' when email is null then 'email_not_null'
+    else 'city_not_null' end reason
+from f_wanting
 where not coalesce(credit_score between 300 and 900 and email is not null and city is not null, false)""")
 def customers_quarantine(b: Book) -> DataFrame:
-    return CUSTOMER_RULES.quarantine(b.customers).select("customer_id", "email", "city", "credit_score")
+    return CUSTOMER_RULES.quarantine(b.wanting_customers).select(
+        "customer_id", "email", "city", "credit_score", F.array_join("_failed_rules", ",").alias("reasons"),
+        F.col("_quarantine_reason").alias("reason"))
 
 
 def _rate(name: str, ok: str, source: str) -> str:

@@ -5,26 +5,30 @@ Each query works in a new folder below the shared root the cluster names.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.fold import live, op_distribution
-from ..operators.rules import TXN_RULES
-from ..plans.refresh import Layout, land, refresh
+from ..operators.rules import TXN_RULES, all_failures
+from ..plans.refresh import Layout, land, refresh, silver_tables
+from ..plans.silver import fixed_transactions
 from ..session import scratch
 from ..sources.bronze import bronze_events, project, read_bronze
-from ..sources.landing import start_landing
+from ..sources.landing import landing_path, start_landing
 from ..sources.registry import SchemaRegistry
 from ..sources.tables import current_table
 from ..streaming.facts import split_outputs, start_quarantine, start_split, start_valid
 from ..streaming.ingest import drain_bronze, start_bronze
 from ..streaming.scd1 import Scd1Target
-from .book import AS_OF, CHANGEFEED, CUSTOMERS, LOANS, TRANSACTIONS, TXN_OK, TXN_ORDER, Book, query
+from .book import (
+    AS_OF, CHANGEFEED, CUSTOMERS, LOAN_OK, LOANS, TRANSACTIONS, TXN_OK, TXN_TYPES_SQL, Book, avg_2, query,
+)
 from .cdc import SCD1_SQL
-from .loanbook import PORTFOLIO_SQL
+from .loanbook import NPA_SQL, PORTFOLIO_SQL, RISK_SQL
 
 _STEPS = 5
+TASKS_PER_HOUR = 1  # the test feed spreads over hundreds of hours
 
 
 def event_messages(b: Book) -> DataFrame:
@@ -41,13 +45,10 @@ def event_messages(b: Book) -> DataFrame:
 
 
 def land_events(b: Book, root: str) -> str:
-    """Hours gathered in as many tasks as keep one hour with a third of all events at some 30 million a task."""
-    tasks = 1 + b.table("events").count() // 100_000_000
     start_landing(
-        event_messages(b), "user_events", f"{root}/landing", f"{root}/checkpoints/landing", interval=None,
-        tasks_per_hour=tasks,
+        event_messages(b), f"{root}/landing", f"{root}/checkpoints/landing", interval=None, tasks_per_hour=TASKS_PER_HOUR,
     ).awaitTermination()
-    return f"{root}/landing/user_events"
+    return landing_path(f"{root}/landing", "user_events")
 
 
 def ingest_events(b: Book, root: str, landing: str) -> SchemaRegistry:
@@ -58,13 +59,11 @@ def ingest_events(b: Book, root: str, landing: str) -> SchemaRegistry:
 
 
 def in_pieces(b: Book, df: DataFrame, path: str) -> DataFrame:
-    """Write a frame as files and stream them back in about five micro-batches."""
-    rows = df.count()
-    df.write.option("maxRecordsPerFile", max(1, math.ceil(rows / _STEPS))).parquet(path)
-    written = b.spark.read.parquet(path)
-    files = len(written.inputFiles())
-    reader = b.spark.readStream.schema(written.schema).option("maxFilesPerTrigger", math.ceil(files / _STEPS))
-    return reader.parquet(path)
+    """Write a frame as five drops and stream them back, one micro-batch each."""
+    df.withColumn("_drop", F.pmod(F.xxhash64(*df.columns), F.lit(_STEPS))) \
+        .repartition("_drop", F.pmod(F.xxhash64(*df.columns, F.lit(7)), F.lit(4))).write.partitionBy("_drop").parquet(path)
+    reader = b.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4)
+    return reader.parquet(f"{path}/_drop=*")
 
 
 @query("""
@@ -149,9 +148,9 @@ def scd1_full_refresh(b: Book) -> DataFrame:
 
 
 def transaction_stream(b: Book, root: str) -> DataFrame:
-    """The transactions as a change stream; a hash of the row stands in for its offset."""
-    rows = b.transactions.withColumnsRenamed({"op": "__op"}).withColumn(
-        "_kafka_offset", F.xxhash64(*[c if c != "op" else "__op" for c in TXN_ORDER], "txn_id"))
+    """The transactions as a change stream, numbered as they are written."""
+    rows = b.transactions.withColumnsRenamed({"op": "__op"}).withColumns({
+        "_kafka_offset": F.monotonically_increasing_id(), "__ts_ms": F.lit(1).cast("bigint")})
     return in_pieces(b, rows, f"{root}/transactions")
 
 
@@ -170,9 +169,9 @@ def stream_quarantine(b: Book) -> DataFrame:
 @query(f"""
 with t as (select *, coalesce({TXN_OK}, false) ok from f_txns where op <> 'd')
 select case when ok then 'valid' else 'rejected' end outcome, count(distinct txn_id) ids,
-  case when ok then count(distinct txn_id) end row_count from t group by ok""")
+  case when ok then count(distinct txn_id) else count(*) end row_count from t group by ok""")
 def stream_split(b: Book) -> DataFrame:
-    """Rules first: each id with any valid copy comes out valid exactly once."""
+    """Rules first: each id with any valid copy comes out valid exactly once, and every failing copy is kept."""
     root = scratch(b.spark, "split")
     start_split(
         transaction_stream(b, root), ["txn_id"], TXN_RULES, f"{root}/out", f"{root}/checkpoint").awaitTermination()
@@ -182,9 +181,7 @@ def stream_split(b: Book) -> DataFrame:
         .select(F.lit(name).alias("outcome"), "ids", "row_count")
         for name, rows in outputs
     ]
-    # Rejected copies that agree in every column share their stand-in offset, so only ids are comparable.
-    return counts[0].unionByName(counts[1]).select(
-        "outcome", "ids", F.when(F.col("outcome") == "valid", F.col("row_count")).alias("row_count"))
+    return counts[0].unionByName(counts[1])
 
 
 @query(f"""
@@ -210,37 +207,146 @@ def stream_valid(b: Book) -> DataFrame:
     return counted.withColumn("passed", F.when(F.col("copies") != "sometimes valid", F.col("passed")))
 
 
-def book_messages(b: Book) -> dict[str, DataFrame]:
-    """The loan book as streams of change messages, one per topic, all in one landing hour."""
-    def message(table: str, rows: DataFrame, offset: str, op, **encoded) -> DataFrame:
-        row = rows.withColumn("_offset", F.expr(offset)).repartition("_offset").withColumns(encoded)
-        columns = [c for c in row.columns if c not in ("_offset", "op")]
-        value = F.to_json(F.struct(
-            *columns, op.alias("__op"), F.lit(1).alias("__ts_ms"), F.lit(table).alias("__table")))
-        return row.select(
-            F.lit(f"bank.public.{table}").alias("topic"), F.col("_offset").alias("offset"),
-            F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"), value.cast("binary").alias("value"))
+def _message(table: str, rows: DataFrame, offset, op, moment=None, **encoded) -> DataFrame:
+    """Change messages of one topic, all in one landing hour; ``rows`` may bring ``__op`` and ``__ts_ms``."""
+    row = rows.withColumn("_offset", offset).repartition("_offset").withColumns(encoded)
+    columns = [c for c in row.columns if c not in ("_offset", "op", "__op", "__ts_ms")]
+    value = F.to_json(F.struct(
+        *columns, op.alias("__op"), (F.lit(1) if moment is None else moment).alias("__ts_ms"), F.lit(table).alias("__table")))
+    return row.select(
+        F.lit(f"bank.public.{table}").alias("topic"), F.col("_offset").alias("offset"),
+        F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"), value.cast("binary").alias("value"))
+
+
+def book_messages(b: Book, history: bool = False) -> dict[str, DataFrame]:
+    """The loan book as streams of change messages, one per topic.
 
+    With ``history`` every loan comes as a snapshot, a late older update, two updates of one moment whose
+    offsets decide, and, for one in 97, a delete; payments get an id of their own.
+    """
     static = {t: b.table(t) for t in ("nation", "region")}
     customers = b.spark.sql(CUSTOMERS, customer=b.stream("customer"), **static)
     loans = b.spark.sql(LOANS, orders=b.stream("orders"))
     transactions = b.spark.sql(TRANSACTIONS, lineitem=b.stream("lineitem"))
-    created = F.lit("c")
+    created, op, moment, place = F.lit("c"), F.lit("c"), None, F.expr("xxhash64(loan_id)")
+    if history:
+        # (step, operation, time, status): steps are offsets, so the later of two equal times is the real row
+        steps = [(1, "r", 10, "pending"), (2, "u", 5, "closed"), (3, "u", 20, "pending"), (4, "u", 20, None), (5, "d", 30, None)]
+        versions = F.array(*(F.struct(
+            F.lit(n).alias("n"), F.lit(o).alias("o"), F.lit(t).alias("t"), F.lit(s).cast("string").alias("s")) for n, o, t, s in steps))
+        loans = loans.withColumn("_v", F.explode(versions)).where(
+            "_v.o <> 'd' or cast(substr(loan_id, 2) as int) % 97 = 0")
+        loans = loans.withColumns({"status": F.coalesce("_v.s", "status"), "__op": F.col("_v.o"), "__ts_ms": F.col("_v.t"), "_n": F.col("_v.n")})
+        op, moment, place = F.col("__op"), F.col("__ts_ms"), F.expr("cast(substr(loan_id, 2) as bigint) * 10 + _n")
+        loans = loans.drop("_v")
+        transactions = transactions.withColumn("txn_id", F.concat_ws("-", "txn_id", "l_partkey", "l_suppkey"))
+    loan_rows = _message(
+        "loans", loans, place, op, moment, disbursed_at=F.unix_millis(F.col("disbursed_at").cast("timestamp")))
     return {
-        "customers": message("customers", customers, "xxhash64(customer_id)", created),
-        "loans": message(
-            "loans", loans, "xxhash64(loan_id)", created,
-            disbursed_at=F.unix_millis(F.col("disbursed_at").cast("timestamp"))),
-        "transactions": message(
-            "transactions", transactions, "xxhash64(txn_id, l_partkey, l_suppkey)", F.col("op"),
+        "customers": _message("customers", customers, F.expr("xxhash64(customer_id)"), created),
+        "loans": loan_rows,
+        "transactions": _message(
+            "transactions", transactions, F.expr("xxhash64(txn_id, l_partkey, l_suppkey)"), F.col("op"),
             txn_date=F.unix_date("txn_date")),
     }
 
 
+def _refreshed(b: Book, history: bool = False) -> Layout:
+    layout = Layout(scratch(b.spark, "refresh"), views=False)
+    land(book_messages(b, history), layout, tasks_per_hour=8)
+    refresh(b.spark, layout, as_of=b.as_of)
+    return layout
+
+
 @query(PORTFOLIO_SQL)
 def refresh_portfolio(b: Book) -> DataFrame:
     """The whole way: change messages, landing, bronze, silver folds, gold, read back as published."""
-    layout = Layout(scratch(b.spark, "refresh"), views=False)
-    land(book_messages(b), layout, tasks_per_hour=8)
-    refresh(b.spark, layout, as_of=b.as_of)
-    return current_table(b.spark, layout.root, "gold", "portfolio_summary")
+    return current_table(b.spark, _refreshed(b).root, "gold", "portfolio_summary")
+
+
+@query(RISK_SQL.replace("s_loans", "s_kept"))
+def refresh_customer_risk(b: Book) -> DataFrame:
+    """The same with snapshots, late and equal times and deletes among the loans."""
+    return current_table(b.spark, _refreshed(b, history=True).root, "gold", "customer_risk_profile")
+
+
+@query(NPA_SQL.replace("s_loans", "s_kept"))
+def refresh_npa(b: Book) -> DataFrame:
+    return current_table(b.spark, _refreshed(b, history=True).root, "gold", "npa_watchlist")
+
+
+@query(f"""
+with once as (select distinct txn_id, l_partkey, l_suppkey, loan_id, amount, txn_type, txn_date from f_txns
+  where op <> 'd' and {TXN_OK}),
+one as (select *, row_number() over (partition by txn_id, l_partkey, l_suppkey order by amount) rn from once)
+select cast(txn_date as varchar) txn_date, count(*) payment_count, cast(sum(amount) as double) total_collected,
+  {avg_2('amount')} avg_emi
+from one where rn = 1 and txn_type = 'PAYMENT' group by txn_date""")
+def refresh_collections(b: Book) -> DataFrame:
+    return current_table(b.spark, _refreshed(b, history=True).root, "gold", "daily_collections")
+
+
+@query(f"""
+with bad as (select *, case when not coalesce(loan_amount > 0, false) then 'valid_loan_amount'
+  when not coalesce(interest_rate between 1 and 30, false) then 'valid_interest_rate'
+  when not coalesce(tenure_months between 12 and 360, false) then 'valid_tenure' else 'valid_loan_type' end reason
+  from f_loans where not coalesce({LOAN_OK}, false)),
+pay as (select case when not coalesce(amount > 0, false) then 'invalid_amount'
+  when not coalesce(txn_type in {TXN_TYPES_SQL}, false) then 'invalid_txn_type' else 'missing_loan_id' end reason
+  from f_txns where op <> 'd' and not coalesce({TXN_OK}, false))
+select 'loans' table_name, reason, 4 * count(*) row_count from bad group by reason
+union all select 'transactions', reason, count(*) from pay group by reason""")
+def refresh_quarantine(b: Book) -> DataFrame:
+    """Every failing event of the folded tables and of the transactions, by its first reason."""
+    tables = silver_tables(b.spark, _refreshed(b, history=True))
+    counted = [
+        tables[f"{t}_quarantine"].groupBy(F.col("_quarantine_reason").alias("reason")).agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(t).alias("table_name"), "reason", "row_count") for t in ("customers", "loans", "transactions")]
+    return reduce(DataFrame.unionByName, counted)
+
+
+_STRANGE = """case when l_partkey % 19 = 0 then 'dead_letters' when l_partkey % 11 = 0 then 'unheard_of' else 'transactions' end"""
+_LOST = "(l_partkey % 13 = 0 or l_partkey % 17 = 0)"
+
+
+@query(f"""
+with m as (select *, {_STRANGE} table_name, coalesce({TXN_OK}, false) and not {_LOST} and l_partkey % 23 <> 0 ok from f_txns)
+select table_name, count(*) landed, count(case when table_name = 'transactions' and op = 'd' then 1 end) deletes,
+  count(distinct case when table_name = 'transactions' and op <> 'd' and ok then txn_id end) valid,
+  count(case when table_name = 'transactions' and op <> 'd' and ok then 1 end)
+    - count(distinct case when table_name = 'transactions' and op <> 'd' and ok then txn_id end) duplicates,
+  count(case when table_name = 'transactions' and op <> 'd' and not ok then 1 end) quarantined
+from m group by table_name""")
+def conservation(b: Book) -> DataFrame:
+    """Nothing is lost between a topic and silver, by table.
+
+    Messages of two partitions share offsets; some are no JSON, of an unknown table, without a key, with an
+    amount that does not fit or a date in a wrong unit. What has landed is valid, a copy, a delete or in
+    quarantine. Copies are counted in bronze.
+    """
+    layout = Layout(scratch(b.spark, "conservation"), views=False)
+    numbered = b.transactions.withColumn("_n", F.monotonically_increasing_id())
+    value = F.to_json(F.struct(
+        F.when(F.expr("l_partkey % 23 <> 0"), F.col("txn_id")).alias("txn_id"), "loan_id",
+        F.when(F.expr("l_partkey % 13 = 0"), F.lit(123456789012.5)).otherwise(F.col("amount").cast("double")).alias("amount"),
+        "txn_type", F.when(F.expr("l_partkey % 17 = 0"), F.lit(10 ** 9)).otherwise(F.unix_date("txn_date")).alias("txn_date"),
+        F.col("op").alias("__op"), F.lit(1).alias("__ts_ms")))
+    messages = numbered.select(
+        F.concat(F.lit("bank.public."), F.expr(_STRANGE)).alias("topic"), F.expr("cast(_n % 2 as int)").alias("partition"),
+        F.expr("_n div 2").alias("offset"), F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"),
+        F.when(F.expr("l_partkey % 19 = 0"), F.lit("{broken")).otherwise(value).cast("binary").alias("value"))
+    land(in_pieces(b, messages, f"{layout.root}/topics"), layout, tasks_per_hour=8)
+    refresh(b.spark, layout)
+    landed = b.spark.read.text(layout.landing()).groupBy(F.col("table").alias("table_name")).agg(F.count(F.lit(1)).alias("landed"))
+    silver = silver_tables(b.spark, layout)
+    events = fixed_transactions(read_bronze(b.spark, layout.bronze("transactions")))
+    facts = live(events)
+    ok = (F.size(all_failures(facts, TXN_RULES)) == 0) & F.col("txn_id").isNotNull()
+    one = [
+        frame.agg(count.alias(name)).withColumn("table_name", F.lit("transactions")) for name, frame, count in (
+            ("deletes", events, F.count_if(F.col("__op") == "d")), ("passing", facts, F.count_if(ok)),
+            ("valid", silver["transactions"], F.count(F.lit(1))),
+            ("quarantined", silver["transactions_quarantine"], F.count(F.lit(1))))]
+    counts = reduce(lambda x, y: x.join(y, "table_name"), one)
+    counts = counts.select("table_name", "deletes", "valid", (F.col("passing") - F.col("valid")).alias("duplicates"), "quarantined")
+    return landed.join(counts, "table_name", "left").na.fill(0)

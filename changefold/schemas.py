@@ -21,10 +21,13 @@ DEFAULT_OP = "r"
 METADATA_COLUMNS = (
     "_ingest_ts", "_source_file",
     "__op", "__ts_ms", "__table", "__before", "__deleted",
-    "_kafka_offset", "_topic", "_bridge_ts",
+    "_kafka_offset", "_topic", "_bridge_ts", "_kafka_partition", "_misfits",
     "year", "month", "day", "hour",
 )
 
+# What tells one event of a feed from another: an offset counts within its partition of the topic only.
+EVENT_ID = ("_kafka_partition", "_kafka_offset")
+
 # Later wins: millisecond event time, then the offset the transport gave the event.
 SEQUENCE = ("__ts_ms", "_kafka_offset")
 

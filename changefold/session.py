@@ -8,22 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings results depend on (all epoch decoding is UTC)."""
+    """Pin the session settings results depend on, and where streams keep their state.
+
+    All epoch decoding is UTC. Streaming dedup keeps every key, so state lives on disk (RocksDB).
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(_PROVIDER, _ROCKSDB)
     return spark
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: what ``spark.checkpoint.dir`` names.
 
-    Only a local master, where driver and executors are one machine, may fall back to a
+    Only a local master, where driver and executors are one process, may fall back to a
     temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="changefold-")
 

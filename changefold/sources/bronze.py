@@ -13,15 +13,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NullType, StructType
 
 from .landing import PARTITIONS, parse_object
+from .versions import ensure_folder
 
 # Read on every pass over bronze, so kept as plain columns beside the event.
-_LIFTED = {"__op": "string", "__ts_ms": "bigint", "__table": "string", "_kafka_offset": "bigint"}
+_LIFTED = {
+    "__op": "string", "__ts_ms": "bigint", "__table": "string", "_kafka_offset": "bigint", "_kafka_partition": "int"}
+
+#: Declared, so that a table is readable before its first event.
+BRONZE_SCHEMA = ", ".join([
+    "event variant", "_corrupt_record string", *(f"{name} {t}" for name, t in _LIFTED.items()),
+    *(f"{name} int" for name in PARTITIONS), "_ingest_ts timestamp", "_source_file string"])
 
 
 def bronze_rows(lines: DataFrame) -> DataFrame:
     """Text lines (``value`` and path partitions) to bronze; a line that is no object stays as text."""
     event = parse_object(F.col("value"))
-    partitions = [F.col(c) for c in PARTITIONS if c in lines.columns]
+    partitions = [(F.col(c) if c in lines.columns else F.lit(None)).cast("int").alias(c) for c in PARTITIONS]
     parsed = lines.select(
         event.alias("event"), "value", *partitions, F.col("_metadata.file_path").alias("_source_file"))
     return parsed.select(
@@ -68,10 +75,20 @@ def variant_field(column: str, name: str, data_type: str) -> Column:
     return F.try_variant_get(F.col(column), f"$[{quote}{name}{quote}]", data_type)
 
 
+def misfits(column: str, types: StructType) -> Column:
+    """Names of the fields that hold a value which does not fit its type: reading it would blank it."""
+    def lost(name: str, t) -> Column:
+        return variant_field(column, name, "string").isNotNull() & variant_field(column, name, t.simpleString()).isNull()
+
+    return F.array_compact(F.array(*(
+        F.when(lost(f.name, f.dataType), F.lit(f"misfit:{f.name}")) for f in types.fields))).cast("array<string>")
+
+
 def project(bronze: DataFrame, schema: StructType, hints: StructType | None = None) -> DataFrame:
     """Bronze as plain columns: each field of ``schema`` in its remembered type (or its hint's).
 
-    A field never seen with a value has no type yet and is left out, unless hinted.
+    A field never seen with a value has no type yet and is left out, unless hinted. ``_misfits`` names the
+    hinted fields whose value does not fit, which come out NULL.
     """
     known = {f.name: f.dataType for f in schema.fields if not isinstance(f.dataType, NullType)}
     known.update({f.name: f.dataType for f in hints.fields} if hints else {})
@@ -79,8 +96,16 @@ def project(bronze: DataFrame, schema: StructType, hints: StructType | None = No
     return bronze.select(
         *(variant_field("event", name, t.simpleString()).alias(name) for name, t in known.items() if name not in beside),
         *beside,
+        *([misfits("event", hints).alias("_misfits")] if hints else []),
     )
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Bronze so far; a table that never had an event is empty."""
+    ensure_folder(spark, path)
+    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
+
+
+def stream_bronze(spark: SparkSession, path: str) -> DataFrame:
+    ensure_folder(spark, path)
+    return spark.readStream.schema(BRONZE_SCHEMA).parquet(path)

@@ -1,7 +1,9 @@
-"""Change topics to landing files: newline-delimited JSON below ``table/year=/month=/day=/hour=``.
+"""Change topics to landing files: newline-delimited JSON below ``table=/year=/month=/day=/hour=``.
 
-Input is any frame of the transport's shape ``(topic, offset, timestamp, value)``; ``kafka_events``
-is the one for a live broker. Offsets are committed by the query's checkpoint after its files are.
+Input is any frame of the transport's shape ``(topic, offset, timestamp, value)``, with the topic's
+``partition`` where it has several; ``kafka_events`` is the one for a live broker. Offsets are committed by
+the query's checkpoint after its files are. One query lands all topics, whatever their tables, and reads
+and parses every message once: what is no JSON object becomes a line of the table ``dead_letters``.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-TRANSPORT_COLUMNS = ("_bridge_ts", "_kafka_offset", "_topic")
+TRANSPORT_COLUMNS = ("_bridge_ts", "_kafka_offset", "_kafka_partition", "_topic")
+DEAD_LETTERS = "dead_letters"
 PARTITIONS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
 
@@ -72,14 +75,19 @@ def decode(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, dead
 
 
-def _enriched() -> Column:
+def _partition(events: DataFrame) -> Column:
+    """The partition of the topic; a transport without partitions has one."""
+    return F.col("partition").cast("int") if "partition" in events.columns else F.lit(0)
+
+
+def _enriched(partition: Column) -> Column:
     """The event as JSON text with the transport columns added, replacing any of the same name.
 
     They are appended to the text as it came, which keeps every other field to the letter; only an
     event that mentions one of the names is taken apart and written anew.
     """
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    values = dict(zip(TRANSPORT_COLUMNS, (stamp, F.col("offset"), F.col("topic"))))
+    values = dict(zip(TRANSPORT_COLUMNS, (stamp, F.col("offset"), partition, F.col("topic"))))
     text = F.rtrim("text")
     added = F.to_json(F.struct(*(v.alias(k) for k, v in values.items())))
     comma = F.when(text.rlike(r"^\s*\{\s*\}$"), "").otherwise(",")
@@ -92,10 +100,24 @@ def _enriched() -> Column:
 
 
 def landing_lines(events: DataFrame) -> DataFrame:
-    """``(table, value, year, month, day, hour)``: one JSON line per event, split by UTC arrival hour."""
-    line = _keep(F.col("event").isNotNull(), _enriched())
+    """``(table, value, year, month, day, hour)``: one JSON line per message, split by UTC arrival hour.
+
+    A message that is no JSON object is a line ``(topic, partition, offset, value in base64)`` of the table
+    ``dead_letters``; a table of that name would share its folder.
+    """
+    partition = _partition(events)
+    dead = F.to_json(F.struct("topic", partition.alias("partition"), "offset", F.base64(F.col("value")).alias("value")))
+    good = F.col("event").isNotNull()
+    line = F.struct(F.when(good, F.col("table")).otherwise(F.lit(DEAD_LETTERS)).alias("table"),
+                    F.when(good, _enriched(partition)).otherwise(dead).alias("value"))
     parts = [F.date_format(F.col("timestamp"), p).alias(name) for name, p in PARTITIONS.items()]
-    return _parsed(route(events)).select("table", line.alias("value"), *parts)
+    # a generator keeps Catalyst from parsing the message once per use of the event
+    lines = _parsed(route(events)).select(F.explode(F.array(line)).alias("line"), *parts)
+    return lines.select("line.table", "line.value", *PARTITIONS)
+
+
+def landing_path(root: str, table: str) -> str:
+    return f"{root}/table={table}"
 
 
 def read_landing(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
@@ -108,29 +130,15 @@ def read_landing(spark: SparkSession, path: str, since: str | None = None) -> Da
     return lines.where(F.struct(*PARTITIONS) >= bound)
 
 
-def _write(lines: DataFrame, path: str, checkpoint: str, interval: str | None, max_records: int) -> StreamingQuery:
-    writer = (
-        lines.writeStream.format("text")
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", max_records)
-        .option("path", path)
-    )
-    if "year" in lines.columns:
-        writer = writer.partitionBy(*PARTITIONS)
-    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return writer.start()
-
-
 def start_landing(
     events: DataFrame,
-    table: str,
     root: str,
     checkpoint: str,
     interval: str | None = "30 seconds",
     max_records: int = 1_000_000,
     tasks_per_hour: int | None = None,
 ) -> StreamingQuery:
-    """Write one table's events below ``root/table``.
+    """Write every message below ``landing_path(root, its table)``, dead letters among them.
 
     A file closes after ``max_records`` events or at the end of an ``interval`` batch, whichever is
     first; ``interval=None`` drains what is there and stops. Without ``tasks_per_hour`` nothing
@@ -138,16 +146,15 @@ def start_landing(
     a file per task and hour; ``tasks_per_hour`` then gathers each hour in that many tasks, salted
     by a hash of the event so that an hour with most of the events is split evenly too.
     """
-    lines = landing_lines(events.where(table_of(F.col("topic")) == table)).drop("table")
+    lines = landing_lines(events)
     if tasks_per_hour:
-        lines = lines.repartition(*PARTITIONS, F.pmod(F.xxhash64("value"), F.lit(tasks_per_hour)))
-    return _write(lines, f"{root}/{table}", checkpoint, interval, max_records)
-
-
-def start_dead_letters(
-    events: DataFrame, root: str, checkpoint: str, interval: str | None = "30 seconds"
-) -> StreamingQuery:
-    """Keep what ``decode`` rejects, as JSON lines ``(topic, offset, value in base64)``."""
-    _, dead = decode(events)
-    lines = dead.select(F.to_json(F.struct("topic", "offset", F.base64(F.col("value")).alias("value"))).alias("value"))
-    return _write(lines, f"{root}/dead_letters", checkpoint, interval, 1_000_000)
+        lines = lines.repartition("table", *PARTITIONS, F.pmod(F.xxhash64("value"), F.lit(tasks_per_hour)))
+    writer = (
+        lines.writeStream.format("text")
+        .option("checkpointLocation", checkpoint)
+        .option("maxRecordsPerFile", max_records)
+        .option("path", root)
+        .partitionBy("table", *PARTITIONS)
+    )
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()

@@ -12,6 +12,26 @@ from pyspark.sql import SparkSession, functions as F
 PREFIX = "cf_version="
 
 
+def _path_fs(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _path_fs(spark, path)
+    fs.mkdirs(folder)
+
+
+def has_entries(spark: SparkSession, path: str) -> bool:
+    folder, fs = _path_fs(spark, path)
+    return fs.exists(folder) and len(fs.listStatus(folder)) > 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _path_fs(spark, path)
+    fs.delete(folder, True)
+
+
 class VersionedDir:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark

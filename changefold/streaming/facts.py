@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..operators.fold import live
-from ..operators.rules import RuleSet
-
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from ..operators.rules import RuleSet, all_failures
+from ..schemas import EVENT_ID
+from ..sources.versions import ensure_folder
 
 
 def _start(
@@ -27,24 +28,29 @@ def _start(
     return writer.start()
 
 
-def _dedup(rows: DataFrame, keys: Sequence[str], within: str | None, spread: int | None) -> DataFrame:
-    """First copy seen. All keys ever seen are state, so it lives on disk (RocksDB), not on the heap;
-    ``within`` bounds it by forgetting keys that much event time ago.
+def _dedup(rows: DataFrame, keys: Sequence[str], spread: int | None) -> DataFrame:
+    """First copy seen. All keys ever seen are state, so it should live on disk (``session.prepare``).
+
+    Nothing bounds that state by time: Spark drops rows behind a watermark before any operator sees
+    them, so a late fact would be in no output.
 
     A stream has no map-side dedup, so all copies of a key would meet in one task. ``spread`` first
     drops copies within that many salted shares of each key, in parallel; the second step then gets
     at most one copy per share. It keeps a second set of keys as state; None does without.
     """
-    rows.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
-    if within is not None:
-        timed = rows.withColumn("_event_time", F.timestamp_millis("__ts_ms")).withWatermark("_event_time", within)
-        return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
     if spread:
-        share = F.pmod(F.xxhash64("_kafka_offset"), F.lit(spread))
+        share = F.pmod(F.xxhash64(*EVENT_ID, "__ts_ms"), F.lit(spread))
         rows = rows.withColumn("_share", share).dropDuplicates([*keys, "_share"]).drop("_share")
     return rows.dropDuplicates(list(keys))
 
 
+def _identified(events: DataFrame) -> DataFrame:
+    """Events of a feed without topic partitions are those of partition 0."""
+    if EVENT_ID[0] in events.columns:
+        return events
+    return events.withColumn(EVENT_ID[0], F.lit(0))
+
+
 def start_valid(
     events: DataFrame,
     keys: Sequence[str],
@@ -52,12 +58,12 @@ def start_valid(
     rules: RuleSet,
     path: str,
     checkpoint: str,
-    within: str | None = None,
     spread: int | None = 8,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Valid facts: non-deletes, first copy per key, then the rules."""
-    rows = rules.valid(_dedup(live(events), keys, within, spread))
+    rows = _dedup(_identified(live(events)), keys, spread)
+    rows = rows.where(F.size(all_failures(rows, rules)) == 0) if "_misfits" in rows.columns else rules.valid(rows)
     return _start(rows.select(*columns), path, checkpoint, interval)
 
 
@@ -70,7 +76,13 @@ def start_quarantine(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Every failing non-delete, copies included; ``reference`` mode also looks at deletes."""
-    rows = rules.quarantine(live(events) if mode == "complete" else events, mode)
+    if mode == "complete" and "_misfits" in events.columns:
+        checked = live(events)
+        rows = checked.withColumn("_failed_rules", all_failures(checked, rules)).where(F.size("_failed_rules") > 0)
+        rows = rows.withColumn("_quarantine_reason", F.col("_failed_rules")[0]).withColumn(
+            "_quarantined_at", F.current_timestamp()).drop("_misfits")
+    else:
+        rows = rules.quarantine(live(events) if mode == "complete" else events, mode)
     return _start(rows, path, checkpoint, interval)
 
 
@@ -80,25 +92,40 @@ def start_split(
     rules: RuleSet,
     path: str,
     checkpoint: str,
-    within: str | None = None,
     spread: int | None = 8,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Both outputs from one read of the feed, as partitions ``_valid=true|false`` of one sink.
 
-    Rules come before dedup here: a bad first copy does not hide a good second one, and every
-    failing copy with an offset of its own is kept.
+    Rules come before dedup here: a bad first copy does not hide a good second one. An event without its
+    key fails (``missing_key``), as no copy of it could be told. Every failing event is kept, told from the others by ``EVENT_ID``; where that is NULL, by all its columns and a number
+    drawn for it.
     """
-    failed = rules.failures()
-    checked = live(events).withColumn("_failed_rules", failed).withColumn("_valid", F.size("_failed_rules") == 0)
-    copy = F.when(~F.col("_valid"), F.col("_kafka_offset"))
-    rows = _dedup(checked.withColumn("_copy", copy), [*keys, "_valid", "_copy"], within, spread).drop("_copy")
-    return _start(rows, path, checkpoint, interval, by=["_valid"])
-
-
-def split_outputs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """What ``start_split`` wrote so far: valid facts, and quarantine with its reason."""
-    rows = spark.read.parquet(path)
+    checked = _identified(live(events))
+    keyless = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
+    failed = F.concat(F.when(keyless, F.array(F.lit("missing_key"))).otherwise(F.array().cast("array<string>")),
+                      all_failures(checked, rules))
+    checked = checked.withColumn("_failed_rules", failed).drop("_misfits")
+    checked = checked.withColumn("_valid", F.size("_failed_rules") == 0)
+    known = F.col(EVENT_ID[0]).isNotNull() & F.col(EVENT_ID[1]).isNotNull()
+    event = F.when(known, F.concat_ws(":", *(F.col(c).cast("string") for c in EVENT_ID))).otherwise(F.expr("uuid()"))
+    # keys of failing events may be NULL and equal; the event alone tells them apart
+    copy = F.when(~F.col("_valid"), event)
+    shown = [F.when(F.col("_valid"), F.col(k)).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    rows = checked.select("*", copy.alias("_copy"), *shown)
+    rows = _dedup(rows, [*(f"_key_{i}" for i in range(len(keys))), "_valid", "_copy"], spread)
+    return _start(rows.drop("_copy", *(f"_key_{i}" for i in range(len(keys)))), path, checkpoint, interval, by=["_valid"])
+
+
+def split_outputs(spark: SparkSession, path: str, schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """What ``start_split`` wrote so far: valid facts, and quarantine with its reason.
+
+    With a ``schema`` (of what is written, ``_valid`` aside) both are empty before the first event.
+    """
+    if schema is not None:
+        ensure_folder(spark, path)
+        schema = StructType([*schema.fields, StructField("_failed_rules", ArrayType(StringType())), StructField("_valid", StringType())])
+    rows = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     valid = rows.where("_valid = 'true'").drop("_valid", "_failed_rules")
     failed = rows.where("_valid = 'false'").drop("_valid")
     return valid, failed.withColumn("_quarantine_reason", F.col("_failed_rules")[0])

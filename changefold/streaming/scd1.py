@@ -20,14 +20,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
 from ..operators.fold import DELETES, IS_DELETE, fold_latest, published, usable
-from ..operators.rules import RuleSet
+from ..operators.rules import RuleSet, all_failures
 from ..schemas import METADATA_COLUMNS, SEQUENCE
 from ..sources.bronze import variant_field
 from ..sources.registry import widen
 from ..sources.versions import PREFIX, VersionedDir
 
 _BUCKET = "cf_bucket"
-_EMPTY = {"buckets": {}, "schema": None, "event_schema": None, "applied": {}, "first_quarantine": 1}
+_EMPTY = {"buckets": {}, "schema": None, "event_schema": None, "applied": {}, "first_quarantine": 1, "horizon": None}
 
 
 class Scd1Target:
@@ -46,9 +46,9 @@ class Scd1Target:
         vacuum_every: int | None = 50,
         keep: int = 10,
     ):
-        """``tombstone_retention`` drops deletes that many sequence units behind the newest event of a
-        batch; a key then revived by an even older late event stays revived. Every ``vacuum_every``
-        commits, versions only manifests older than the ``keep`` newest need are deleted; a reader
+        """``tombstone_retention`` forgets deletes that many sequence units behind the newest event. What
+        is older than that horizon when it arrives is quarantined (``behind_retention``), since it could
+        revive a forgotten key. Every ``vacuum_every`` commits, versions only manifests older than the ``keep`` newest need are deleted; a reader
         must be done within that many commits."""
         self.spark = spark
         self.root = root.rstrip("/")
@@ -71,6 +71,10 @@ class Scd1Target:
         """The published table."""
         return published(self.state(), self.keys, self.sequence, self.delete_mode, self.except_columns)
 
+    def exists(self) -> bool:
+        """Whether anything was ever applied."""
+        return self._manifests.latest() is not None
+
     def state(self) -> DataFrame:
         """The folded events behind the published table, deletes included."""
         manifest = self._manifest()
@@ -121,7 +125,8 @@ class Scd1Target:
     def _commit(self, events: DataFrame, manifest: dict, applied: dict[str, int]) -> None:
         spark = events.sparkSession
         version = (self._manifests.latest() or 0) + 1
-        good = self._set_aside(events, version)
+        horizon = manifest.get("horizon")
+        good = self._set_aside(events, version, horizon)
         old = _schema(manifest["schema"])
         schema = widen(old, good.schema)
         # A key hashes by its type, so types are settled before buckets are; a grown type moves every row.
@@ -136,9 +141,12 @@ class Scd1Target:
             if prior:
                 stored = _conform(self._read_buckets(spark, manifest, prior), schema)
                 merged = self._in_buckets(stored).unionByName(folded)
-            merged = self._fold(merged.repartition(_BUCKET), _BUCKET)
+            merged = merged.repartition(_BUCKET)
+            if prior:  # a first load is folded already
+                merged = self._fold(merged, _BUCKET)
             if self.tombstone_retention is not None and facts:
-                horizon = max(r.newest for r in facts) - self.tombstone_retention
+                newest = max(r.newest for r in facts) - self.tombstone_retention
+                horizon = newest if horizon is None else max(horizon, newest)
                 merged = merged.where(~F.col(IS_DELETE) | (F.col(self.sequence[0]) >= horizon))
             buckets = manifest["buckets"]
             if touched or grown:
@@ -148,7 +156,7 @@ class Scd1Target:
                 buckets = {**kept, **{n[1]: version for n in names if n[0] == _BUCKET}}
         finally:
             folded.unpersist()
-        event_schema = widen(_schema(manifest["event_schema"]), events.schema)
+        event_schema = widen(_schema(manifest["event_schema"]), events.drop("_misfits").schema)
         self._manifests.write_note(version, json.dumps({
             "bucket_count": self.buckets,
             "buckets": buckets,
@@ -156,20 +164,22 @@ class Scd1Target:
             "event_schema": event_schema.json(),
             "applied": applied,
             "first_quarantine": manifest["first_quarantine"],
+            "horizon": horizon,
         }))
         if self.vacuum_every and version % self.vacuum_every == 0:
             self.vacuum()
 
-    def _set_aside(self, events: DataFrame, version: int) -> DataFrame:
+    def _set_aside(self, events: DataFrame, version: int, horizon: int | None) -> DataFrame:
         """Write unusable events to quarantine; return the others, without columns state never shows."""
         is_delete = F.coalesce(F.expr(self.deletes), F.lit(False))
         unusable = F.when(~usable(self.keys, self.sequence), F.array(F.lit("missing_key_or_sequence")))
-        broken = F.array().cast("array<string>")
-        if self.rules is not None:
-            broken = F.when(is_delete, broken).otherwise(self.rules.failures())
+        if horizon is not None:
+            unusable = unusable.when(F.col(self.sequence[0]) < horizon, F.array(F.lit("behind_retention")))
+        none = F.array().cast("array<string>")
+        broken = F.when(is_delete, none).otherwise(all_failures(events, self.rules))
         checked = events.withColumn(IS_DELETE, is_delete).withColumn("_failed_rules", F.coalesce(unusable, broken))
         bad = checked.where(F.size("_failed_rules") > 0).select(
-            F.to_variant_object(F.struct(*events.columns)).alias("event"),
+            F.to_variant_object(F.struct(*(c for c in events.columns if c != "_misfits"))).alias("event"),
             "_failed_rules", F.current_timestamp().alias("_quarantined_at"))
         bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{PREFIX}{version}")
         hidden = [c for c in self.except_columns if c not in self.sequence]
