@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..schemas import LOAN_STATUSES, LOAN_TYPES, TXN_TYPES
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -114,12 +116,12 @@ LOAN_RULES = RuleSet(
     Rule("valid_loan_amount", "loan_amount > 0"),
     Rule("valid_interest_rate", "interest_rate between 1 and 30"),
     Rule("valid_tenure", "tenure_months between 12 and 360"),
-    Rule("valid_loan_type", "loan_type in ('HOME', 'PERSONAL', 'BUSINESS', 'AUTO')"),
-    Rule("valid_status", "status in ('pending', 'active', 'defaulted', 'closed')"),
+    Rule("valid_loan_type", f"loan_type in {LOAN_TYPES}"),
+    Rule("valid_status", f"status in {LOAN_STATUSES}"),
 )
 TXN_RULES = RuleSet(
     Rule("valid_amount", "amount > 0", "invalid_amount"),
-    Rule("valid_txn_type", "txn_type in ('DISBURSEMENT', 'PAYMENT', 'PENALTY', 'FORECLOSURE')", "invalid_txn_type"),
+    Rule("valid_txn_type", f"txn_type in {TXN_TYPES}", "invalid_txn_type"),
     Rule("has_loan_id", "loan_id is not null", "missing_loan_id"),
 )
 CUSTOMER_RULES = RuleSet(

@@ -22,6 +22,11 @@ class Principal:
     attributes: Mapping[str, str] = field(default_factory=dict)
 
 
+def _literal(text: str) -> str:
+    """Text as an SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Mask:
     """``kind``: ``null``; ``sentinel`` (shows ``value``); ``prefix`` (first ``length`` characters, then ``value``)."""
@@ -37,7 +42,7 @@ class Mask:
         if self.kind == "sentinel":
             return str(int(self.value))
         if self.kind == "prefix":
-            return f"concat(left({column}, {int(self.length)}), '{self.value}')"
+            return f"concat(left({column}, {int(self.length)}), {_literal(self.value)})"
         raise ValueError(f"unknown mask kind {self.kind!r}")
 
 
@@ -106,7 +111,7 @@ def secured_view(
 def create_sql_functions(spark: SparkSession, policy: Policy = DEFAULT_POLICY, types: Mapping[str, str] | None = None):
     """Offer the policy to SQL users: ``city_row_filter(city, is_admin)`` and ``mask_<column>(value, is_member)``."""
     types = {"email": "STRING", "annual_income": "DOUBLE", "credit_score": "INT", **(types or {})}
-    cities = ", ".join(f"'{c}'" for c in policy.cities or ())
+    cities = ", ".join(map(_literal, policy.cities or ()))
     allowed = f"city in ({cities})" if cities else "true"
     spark.sql(
         "create or replace temporary function city_row_filter(city STRING, is_admin BOOLEAN) "

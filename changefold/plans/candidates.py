@@ -24,19 +24,22 @@ def default_candidates(loans: DataFrame, customers: DataFrame, as_of: Column, to
     return out if top is None else out.orderBy("credit_score", "loan_id").limit(top)
 
 
-def foreclosure_candidates(loans: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
-    """Active loans older than a year of customers scoring 750 or more."""
+def foreclosure_candidates(loans: DataFrame, customers: DataFrame, as_of: Column, top: int | None = None) -> DataFrame:
+    """Active loans older than a year of customers scoring 750 or more, best score first."""
     strong = customers.where(F.col("credit_score") >= FORECLOSURE_SCORE).select("customer_id", "name", "credit_score")
     due = loans.where((F.col("status") == "active") & _older_than(as_of, FORECLOSURE_AGE))
-    return due.select("loan_id", "customer_id", "loan_amount").join(strong, "customer_id").select(
+    out = due.select("loan_id", "customer_id", "loan_amount").join(strong, "customer_id").select(
         "loan_id", "loan_amount", "name", "credit_score")
+    return out if top is None else out.orderBy(F.desc("credit_score"), "loan_id").limit(top)
 
 
-def pending_applications(loans: DataFrame, customers: DataFrame) -> DataFrame:
+def pending_applications(loans: DataFrame, customers: DataFrame, top: int | None = None) -> DataFrame:
+    """Loans that wait for a decision, largest first."""
     pending = loans.where("status = 'pending'").select(
         "loan_id", "customer_id", "loan_amount", "interest_rate", "tenure_months")
-    return pending.join(customers.select("customer_id", "credit_score", "name"), "customer_id").select(
+    out = pending.join(customers.select("customer_id", "credit_score", "name"), "customer_id").select(
         "loan_id", "loan_amount", "interest_rate", "tenure_months", "credit_score", "name")
+    return out if top is None else out.orderBy(F.desc("loan_amount"), "loan_id").limit(top)
 
 
 def rate_card_deviation(loans: DataFrame, customers: DataFrame) -> DataFrame:

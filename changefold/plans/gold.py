@@ -91,18 +91,22 @@ def default_risk_customers(customers: DataFrame, loans: DataFrame) -> DataFrame:
 def monthly_disbursements(transactions: DataFrame, loans: DataFrame, customers: DataFrame) -> DataFrame:
     """Disbursed amount and number of loans by month and city.
 
-    One row per loan and month goes through the joins, so counting rows counts distinct loans.
+    One row per loan and month meets the loans, so counting rows counts distinct loans; one row per
+    customer and month meets the customers, however many loans a customer has.
     """
     per_loan = (
         transactions.where("txn_type = 'DISBURSEMENT' and loan_id is not null")
         .groupBy("loan_id", F.trunc("txn_date", "month").alias("first_day"))
         .agg(F.sum("amount").alias("amount"))
     )
-    return (
+    per_customer = (
         per_loan.join(loans.select("loan_id", "customer_id"), "loan_id")
-        .join(customers.select("customer_id", "city"), "customer_id")
+        .groupBy("customer_id", "first_day").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        per_customer.join(customers.select("customer_id", "city"), "customer_id")
         .groupBy("first_day", "city")
-        .agg(F.sum("amount").alias("total_disbursed"), F.count(F.lit(1)).alias("loans_disbursed"))
+        .agg(F.sum("amount").alias("total_disbursed"), F.sum("n").alias("loans_disbursed"))
         .select(F.date_format("first_day", "yyyy-MM").alias("month"), "city", "total_disbursed", "loans_disbursed")
     )
 

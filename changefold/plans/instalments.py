@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.loans import emi
 
-# Usual due days of the month.
-DUE_DAYS = (5, 10, 15)
-
 
 def _first_month() -> Column:
     return F.add_months(F.trunc("disbursed_at", "month"), 1)
@@ -82,18 +79,17 @@ def missed_instalments(loans: DataFrame, transactions: DataFrame, as_of: Column,
     """Per loan: instalments due by ``as_of``, of those paid in their month, and missed.
 
     Due months are counted from the dates, not listed, so no row per instalment is made; payments
-    are reduced to one row per loan and month before they are matched.
+    are reduced to one row per loan with its months before they are matched, and loans are read once.
     """
     due = loans.where("disbursed_at is not null and tenure_months >= 1").select(
         "loan_id", "status", _first_month().alias("first_month"), _months_due(as_of, due_day).alias("due"))
-    in_schedule = (F.col("month") >= F.col("first_month")) & (
-        F.col("month") < F.add_months("first_month", F.col("due")))
-    paid = (
-        due.join(paid_months(transactions), "loan_id").where(in_schedule)
-        .groupBy("loan_id").agg(F.count(F.lit(1)).alias("paid"))
-    )
-    n_paid = F.coalesce(F.col("paid"), F.lit(0))
-    return due.join(paid, "loan_id", "left").select(
+    # one entry per calendar month, so the list is bounded by time and not by the payments
+    months = paid_months(transactions).groupBy("loan_id").agg(F.collect_list("month").alias("months"))
+    in_schedule = F.filter("months", lambda m: (m >= F.col("first_month")) & (
+        m < F.add_months("first_month", F.col("due"))))
+    n_paid = F.coalesce(F.size(in_schedule), F.lit(0)).cast("bigint")
+    n_paid = F.when(F.col("months").isNull(), F.lit(0).cast("bigint")).otherwise(n_paid)
+    return due.join(months, "loan_id", "left").select(
         "loan_id", "status", F.col("due").cast("bigint").alias("due"), n_paid.alias("paid"),
         (F.col("due") - n_paid).alias("missed"))
 

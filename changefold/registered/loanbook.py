@@ -238,6 +238,32 @@ def pending_applications(b: Book) -> DataFrame:
     return candidates.pending_applications(b.silver_loans, b.customers)
 
 
+@query(f"""
+select l.loan_id, c.name, c.credit_score from s_loans l join f_customers c on l.customer_id = c.customer_id
+where l.status = 'active' and c.credit_score < 640 and l.disbursed_at < date '{AS_OF}' - interval 90 day
+order by c.credit_score, l.loan_id limit 10""")
+def default_candidates_top(b: Book) -> DataFrame:
+    return candidates.default_candidates(b.silver_loans, b.customers, b.as_of, top=10)
+
+
+@query(f"""
+select l.loan_id, cast(l.loan_amount as double) loan_amount, c.name, c.credit_score
+from s_loans l join f_customers c on l.customer_id = c.customer_id
+where l.status = 'active' and c.credit_score >= 750 and l.disbursed_at < date '{AS_OF}' - interval 365 day
+order by c.credit_score desc, l.loan_id limit 10""")
+def foreclosure_candidates_top(b: Book) -> DataFrame:
+    return candidates.foreclosure_candidates(b.silver_loans, b.customers, b.as_of, top=10)
+
+
+@query("""
+select l.loan_id, cast(l.loan_amount as double) loan_amount, cast(l.interest_rate as double) interest_rate,
+  l.tenure_months, c.credit_score, c.name
+from s_loans l join f_customers c on l.customer_id = c.customer_id where l.status = 'pending'
+order by l.loan_amount desc, l.loan_id limit 10""")
+def pending_applications_top(b: Book) -> DataFrame:
+    return candidates.pending_applications(b.silver_loans, b.customers, top=10)
+
+
 _CARD = ", ".join(
     f"('{t}', '{tier}', cast({rate} as decimal(5,2)))" for t, tiers in RATE_CARD.items() for tier, rate in tiers.items())
 

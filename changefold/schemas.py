@@ -13,8 +13,7 @@ LOAN_TYPES = ("HOME", "PERSONAL", "BUSINESS", "AUTO")
 LOAN_STATUSES = ("pending", "active", "defaulted", "closed")
 TXN_TYPES = ("DISBURSEMENT", "PAYMENT", "PENALTY", "FORECLOSURE")
 
-# Operation codes of a change event (snapshot read, create, update, delete).
-OPS = ("r", "c", "u", "d")
+# Fixed value: an event without an operation code is a snapshot read.
 DEFAULT_OP = "r"
 
 # Bookkeeping columns that never reach a current-state table.
