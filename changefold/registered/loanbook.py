@@ -30,6 +30,13 @@ def portfolio_summary(b: Book) -> DataFrame:
     return gold.portfolio_summary(b.silver_loans)
 
 
+@query(f"select loan_type, status, loan_count, true stamped from ({PORTFOLIO_SQL}) p")
+def portfolio_stamp(b: Book) -> DataFrame:
+    rows = gold.portfolio_summary(b.silver_loans, stamp=True)
+    stamp = next(f.name for f in rows.schema.fields if f.dataType.typeName() == "timestamp")
+    return rows.select("loan_type", "status", "loan_count", (F.col(stamp) <= F.current_timestamp()).alias("stamped"))
+
+
 RISK_SQL = f"""
 select {_TIER} credit_tier, count(c.customer_id) customer_count, count(distinct loan_id) active_loans,
   cast(sum(loan_amount) as double) total_active_exposure, {avg_0('credit_score')} avg_credit_score,
@@ -89,6 +96,13 @@ def npa_watchlist(b: Book) -> DataFrame:
     return gold.npa_watchlist(b.silver_loans, b.customers, b.as_of)
 
 
+@query(f"select loan_id, true counted from ({NPA_SQL}) n where disbursed_at is not null")
+def npa_today(b: Book) -> DataFrame:
+    """Days count up to the current date unless one is given."""
+    rows = gold.npa_watchlist(b.silver_loans, b.customers).where("disbursed_at is not null")
+    return rows.select("loan_id", (F.col("days_since_disbursement") == F.datediff(F.current_date(), F.to_date("disbursed_at"))).alias("counted"))
+
+
 @query(f"""
 select loan_id, borrower_name, city, credit_score, loan_type, loan_amount, interest_rate, days_since_disbursement
 from ({NPA_SQL}) n order by loan_amount desc, loan_id""")

@@ -66,15 +66,45 @@ def in_pieces(b: Book, df: DataFrame, path: str) -> DataFrame:
     return reader.parquet(f"{path}/_drop=*")
 
 
-@query("""
-select cast(strftime(ts, '%Y') as int) "year", cast(strftime(ts, '%m') as int) "month",
-  cast(strftime(ts, '%d') as int) "day", cast(strftime(ts, '%H') as int) "hour", count(*) events
-from events group by all""")
+_HOUR = ", ".join(f"cast(strftime(ts, '{code}') as int) \"{part}\"" for part, code in (
+    ("year", "%Y"), ("month", "%m"), ("day", "%d"), ("hour", "%H")))
+
+
+@query(f"select {_HOUR}, count(*) events from events group by all")
 def landing_partitions(b: Book) -> DataFrame:
     landed = b.spark.read.text(land_events(b, scratch(b.spark, "landing")))
     return landed.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query(f"select {_HOUR}, cast(ceil(count(*) / 20.0) as bigint) files from events group by all")
+def landing_files(b: Book) -> DataFrame:
+    """A file closes after twenty events: each hour, gathered in one task, has as many as that takes."""
+    root = scratch(b.spark, "files")
+    start_landing(
+        event_messages(b), f"{root}/landing", f"{root}/checkpoint", interval=None, max_records=20, tasks_per_hour=TASKS_PER_HOUR,
+    ).awaitTermination()
+    landed = b.spark.read.text(landing_path(f"{root}/landing", "user_events"))
+    return landed.select("year", "month", "day", "hour", F.input_file_name().alias("file")).distinct().groupBy(
+        "year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("""
+select case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end __op, count(*) events,
+  count(*) with_source, count(*) with_stamp, count(*) parsed
+from events group by 1""")
+def bronze_metadata(b: Book) -> DataFrame:
+    """Every bronze row knows its file and when it came; taken by a polling stream that is then stopped."""
+    root = scratch(b.spark, "metadata")
+    polling = start_bronze(
+        b.spark, land_events(b, root), f"{root}/bronze", f"{root}/checkpoints/bronze", interval="1 second")
+    polling.processAllAvailable()
+    polling.stop()
+    rows = read_bronze(b.spark, f"{root}/bronze")
+    return rows.groupBy("__op").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("_source_file").endswith(".txt")).alias("with_source"),
+        F.count_if(F.col("_ingest_ts") <= F.current_timestamp()).alias("with_stamp"), F.count("event").alias("parsed"))
+
+
 @query("""
 select case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end __op, event_type, count(*) events,
   count(distinct event_id) offsets, cast(sum(cast(value as decimal(18,2))) as double) total, min(epoch_us(ts) // 1000) first_ms
