@@ -21,7 +21,7 @@ from itertools import chain
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
 from .chunks import Memo, chunks
@@ -252,9 +252,10 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "token_ids") -> D
     def start():
         own = tokenizer(sent.value)
 
-        def apply(column):
+        def apply(_, column):
             return [pa.array([None if x is None else own.decode(x) for x in column.to_pylist()], pa.string())]
 
         return apply
 
-    return append_columns(encoded, [ids], [StructField("decoded", StringType())], start)
+    sized = encoded.withColumn("__none", F.lit(""))
+    return append_columns(sized, ["__none", ids], [StructField("decoded", StringType())], start).drop("__none")

@@ -7,7 +7,9 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -24,9 +26,17 @@ FOLD = bytes(
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 
 
+def pieces(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``limit`` bytes of text, so that what a task holds stays bounded."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
 def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
                    compute: Callable[[], Callable[..., list[pa.Array]]]) -> DataFrame:
-    """Add columns computed from Arrow batches of ``inputs``; all other columns pass through untouched.
+    """Add columns computed from Arrow batches of ``inputs``, texts first; other columns pass through untouched.
 
     ``compute()`` runs once per task and returns the function applied to each batch. A column of the
     input with the name of a new one (in any case) is replaced, as ``withColumn`` does.
@@ -39,9 +49,10 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = compute()
-        for batch in batches:
-            made = apply(*(batch.column(i) for i in at))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *made], names=names)
+        for whole in batches:
+            for batch in pieces(whole, at[0]):
+                made = apply(*(batch.column(i) for i in at))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *made], names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, DoubleType, LongType, StructField, StructType,
 )
 
-from .common import append_columns, remainder, utf8, written
+from .common import append_columns, pieces, remainder, utf8, written
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 END = b""  # no word is empty
@@ -42,13 +42,23 @@ def held_out(key: str, part: int = 0, modulus: int = 10):
     return F.coalesce(remainder(key, modulus) == part, F.lit(True))
 
 
-def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(``token``, ``n``) over all of ``docs``; counted per batch before the shuffle."""
+def count_tokens(docs: DataFrame, text: str = "text", room: int = 200_000) -> DataFrame:
+    """(``token``, ``n``) over all of ``docs``; tasks count up to ``room`` different tokens before they hand them on."""
     def run(batches):
+        found: Counter = Counter()
+
+        def counted():
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["token", "n"])
+            found.clear()
+            return made
+
         for batch in batches:
-            found = Counter(chain.from_iterable(map(tokens_of, utf8(batch.column(0)))))
-            yield pa.RecordBatch.from_pydict({
-                "token": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
+            for piece in pieces(batch, 0):
+                found.update(chain.from_iterable(map(tokens_of, utf8(piece.column(0)))))
+                if len(found) >= room:
+                    yield counted()
+        yield counted()
 
     schema = StructType([StructField("token", BinaryType()), StructField("n", LongType())])
     return docs.select(text).mapInArrow(run, schema).groupBy("token").agg(F.sum("n").alias("n"))
@@ -59,6 +69,7 @@ class Lexicon:
     """What tasks know of the token counts: the most frequent tokens, and totals of all and of each class."""
     head: list[bytes]       # most frequent first; the first ``outcomes`` are outcomes of their own
     counts: np.ndarray
+    cut: float              # least size class of the head's counts
     outcomes: int
     classes: int
     total: int              # tokens
@@ -104,21 +115,36 @@ class _Endless:
 _MINUS = _Endless()
 
 
+def size_class():
+    """64 classes to each power of e."""
+    return F.floor(F.log("n") * 64).alias("size")
+
+
 def lexicon(counts: DataFrame, outcomes: int = 2048, classes: int = 128, head: int = 250_000) -> Lexicon:
-    """The bounded part of the counts that is sent to tasks. ``head`` bounds it; rarer tokens are joined."""
-    top = counts.orderBy(F.desc("n"), "token").limit(head).collect()
+    """The bounded part of the counts that is sent to tasks: at most ``head`` tokens, the most frequent ones.
+
+    They are found by a histogram of the counts' logarithms, so tasks send the driver no more than these.
+    """
+    sizes = {r.size: r.types for r in counts.groupBy(size_class()).agg(F.count(F.lit(1)).alias("types")).collect()}
+    cut, held = float("inf"), 0
+    for size in sorted(sizes, reverse=True):
+        held += sizes[size]
+        if held > head:
+            break
+        cut = size
+    top = counts.where(size_class() >= cut).toArrow()
     share = F.pmod(F.crc32(F.expr("substring(token, -2, 2)")), F.lit(classes))
     sums = {r["class"]: (r["n"], r.types) for r in
             counts.groupBy(share.alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()}
-    tokens = [bytes(r.token) for r in top]
-    n = np.array([r.n for r in top], np.int64)
+    pairs = sorted(zip(top.column("n").to_pylist(), top.column("token").to_pylist()), key=lambda x: (-x[0], x[1]))
+    tokens, n = [t for _, t in pairs], np.array([n for n, _ in pairs], np.int64)
     outcomes = min(outcomes, len(tokens))
     within = np.zeros((classes, 2))
     for c, (total, types) in sums.items():
         within[c] = total, types
     for token, count in zip(tokens[:outcomes], n[:outcomes].tolist()):
         within[zlib.crc32(token[-2:]) % classes] -= count, 1
-    return Lexicon(tokens, n, outcomes, classes, int(sum(t for t, _ in sums.values())),
+    return Lexicon(tokens, n, cut, outcomes, classes, int(sum(t for t, _ in sums.values())),
                    int(sum(t for _, t in sums.values())), within[:, 0] + SMOOTH * (within[:, 1] + 1))
 
 
@@ -238,8 +264,8 @@ def train_model(docs: DataFrame, words: Lexicon, text: str = "text", size: int =
         own_words.prepare()
         draws, seen = np.random.default_rng(13), 0
         for batch in batches:
-            out, _, starts, _ = own_words.encode(utf8(batch.column(0)))
-            if len(out):
+            for piece in pieces(batch, 0):
+                out, _, starts, _ = own_words.encode(utf8(piece.column(0)))
                 own.train(out, starts, rate * 0.5, draws)
                 seen += len(out)
         if seen:
@@ -329,8 +355,7 @@ def score_documents(docs: DataFrame, train: DataFrame, key: str = "doc_id", text
     parts = append_columns(rows, ["text"], PARTS, start).drop("text").withColumn("id", F.monotonically_increasing_id())
     parts = written(parts, "lm-parts")
     rare = parts.select("id", F.explode("rare").alias("r")).select("id", "r.token", "r.times")
-    least = int(words.counts[-1]) if len(words.counts) else 0
-    found = rare.join(counts.where(F.col("n") <= least), "token", "left")
+    found = rare.join(counts.where(size_class() < words.cut), "token", "left")
     n = F.coalesce("n", F.lit(0))
     sums = found.groupBy("id").agg(
         F.sum(F.col("times") * F.log10(n + F.lit(SMOOTH))).alias("log_counts"),
