@@ -107,7 +107,7 @@ class Automaton:
                 key = state << 20 | token
                 there = arcs.get(key)
                 if there is None:
-                    if len(arcs) >= 400_000:
+                    if len(arcs) >= 250_000:
                         arcs.clear()
                     there = arcs[key] = self.arc(state, token)
                 if there:
@@ -144,14 +144,15 @@ class Tokenizer:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.added = {t["content"]: t["id"] for t in added}
         self.automaton = Automaton(labels, [(ids[a], ids[b], ids[a + b]) for a, b in pairs])
+        self.small = n <= 1 << 16
         self.words = regex.compile(SPLIT)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self.memo = Memo(self._chunks)
         self.known: dict[str, list[int]] = {}  # ids of pre-split words, whatever stands beside them
 
-    def _chunks(self, texts: list[str]) -> list[tuple[tuple[int, ...], str]]:
+    def _chunks(self, texts: list[str]) -> list[tuple[array, str]]:
         encode, known, find = self.automaton.encode, self.known, self.words.findall
-        if len(known) > 400_000:
+        if len(known) > 150_000:
             known.clear()
         made = []
         for text in texts:
@@ -163,7 +164,7 @@ class Tokenizer:
                     if len(word) <= 100:
                         known[word] = own
                 ids += own
-            made.append((tuple(ids), ",".join(map(str, ids))))
+            made.append((array("H" if self.small else "I", ids), ",".join(map(str, ids))))
         return made
 
     def _parts(self, text: str) -> list[str | int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 
@@ -30,44 +31,35 @@ class Memo:
     are kept apart, so no chunk is copied to be looked up.
     """
 
-    def __init__(self, encode, room: int = 600_000, longest: int = 200):
+    def __init__(self, encode, room: int = 250_000, longest: int = 100):
         self.encode, self.room, self.longest = encode, room, longest
+        gc.disable()  # kept entries are many and make no cycles; searching them for cycles took a third of the time
         self.spaced: dict[str, object] = {}
         self.plain: dict[str, object] = {}
 
     def lookup(self, texts: list[list[str]]) -> list[list]:
         """The values of the chunks of each text, in order."""
-        spaced, plain = self.spaced, self.plain
-        new_spaced, new_plain = set(), set()
-        for parts in texts:
-            if parts:
-                if parts[0] not in plain:
-                    new_plain.add(parts[0])
-                new_spaced.update(parts[1:])
-        new_spaced.difference_update(spaced.keys())
-        values = self.encode([*(" " + c for c in new_spaced), *new_plain])
-        extra = dict(zip(new_spaced, values))
-        first = dict(zip(new_plain, values[len(new_spaced):]))
-        self._keep(spaced, extra)
-        self._keep(plain, first)
-        if extra or first:
-            later = _Either(spaced, extra) if extra else spaced.__getitem__
-            begin = _Either(plain, first) if first else plain.__getitem__
-        else:
-            later, begin = spaced.__getitem__, plain.__getitem__
-        return [[begin(p[0]), *map(later, p[1:])] if p else [] for p in texts]
+        spaced, plain = self.spaced.get, self.plain.get
+        found = [[plain(p[0]), *map(spaced, p[1:])] if p else [] for p in texts]
+        holes = [i for i, f in enumerate(found) if None in f]
+        if holes:
+            new_plain = {texts[i][0] for i in holes if found[i][0] is None}
+            new_spaced: set[str] = set()
+            for i in holes:
+                new_spaced.update([c for c, f in zip(texts[i], found[i]) if f is None][found[i][0] is None:])
+            values = self.encode([*(" " + c for c in new_spaced), *new_plain])
+            extra = dict(zip(new_spaced, values))
+            first = dict(zip(new_plain, values[len(new_spaced):]))
+            for i in holes:
+                own = found[i]
+                begin = first[texts[i][0]] if own[0] is None else own[0]
+                found[i] = [extra[c] if f is None else f for c, f in zip(texts[i], [begin, *own[1:]])]
+            self._keep(self.spaced, extra)
+            self._keep(self.plain, first)
+        return found
 
     def _keep(self, store: dict, new: dict) -> None:
-        """Move new values into the store while there is room; very long chunks are not kept."""
+        """Keep new values while there is room, very long chunks aside."""
         free = self.room - len(store)
-        for chunk in [c for c in new if len(c) <= self.longest][:max(0, free)]:
-            store[chunk] = new.pop(chunk)
-
-
-class _Either:
-    def __init__(self, store: dict, extra: dict):
-        self.store, self.extra = store, extra
-
-    def __call__(self, key: str):
-        found = self.store.get(key)
-        return self.extra[key] if found is None else found
+        if free > 0:
+            store.update([x for x in new.items() if len(x[0]) <= self.longest][:free])
