@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 import zstandard
 
 from .chunks import Memo, chunks
-from .common import open_fs, put_file, tasks, written
+from .common import open_fs, pieces, put_file, tasks, written
 
 MAGIC = b"WVMX0001"
 BLOCK, FRAME = 512, 1 << 16  # bits per rank entry, bytes per compressed frame
@@ -272,7 +272,7 @@ def write_token_files(docs: DataFrame, content, folder: str, key: str = "doc_id"
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path],
                 "documents": [len(keys)], "tokens": [held]})
 
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, 2)):
             for own_key, found in zip(batch.column(0).to_pylist(), own.encode(batch.column(2).to_pylist())):
                 keys.append(own_key)
                 ids.append(np.concatenate([found, tail]))
