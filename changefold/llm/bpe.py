@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
 from .chunks import Memo, chunks
-from .common import append_columns
+from .common import append_columns, held
 
 #: How the published byte-level vocabularies split text before merging (a fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -193,15 +193,9 @@ class Tokenizer:
         return self.automaton.decode(ids).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Tokenizer] = {}
-
-
 def tokenizer(content: str) -> Tokenizer:
     """The tokenizer of a file's text, compiled once per Python worker."""
-    if content not in _LOADED:
-        _LOADED.clear()
-        _LOADED[content] = Tokenizer(content)
-    return _LOADED[content]
+    return held(("bpe", content), lambda: Tokenizer(content))
 
 
 def vocabulary(df: DataFrame, path: str, limit: int = 64 << 20):

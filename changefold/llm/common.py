@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import posixpath
 import re
 import uuid
@@ -57,6 +58,23 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
     return df.mapInArrow(run, schema)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, build: Callable[[], object]) -> object:
+    """What ``build`` makes, kept by this Python worker until another model is asked for.
+
+    A worker serves many tasks and stages; it keeps one model with what that has memorised, not one of
+    every operator. Models turn the cycle search off for their memos, so it is run here.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        gc.enable()
+        gc.collect()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from .common import append_columns, remainder
+from .common import append_columns, held, remainder
 
 #: ASCII other than letters separates words; A-Z cannot occur after lowering.
 LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -64,7 +64,7 @@ class ContextTree:
 class Classifier:
     """Code lengths of whole texts under every language's frozen tree."""
 
-    def __init__(self, samples: dict[str, list[str]], order: int = 4, room: int = 1_000_000):
+    def __init__(self, samples: dict[str, list[str]], order: int = 4, room: int = 500_000):
         self.order, self.room = order, room
         self.languages = sorted(samples)
         self.trees = [ContextTree(samples[x], order) for x in self.languages]
@@ -157,9 +157,6 @@ def training_sample(docs: DataFrame, text: str = "text", lang: str = "lang",
     return {name: sorted(texts) for name, texts in samples.items() if texts}
 
 
-_BUILT: dict[tuple, Classifier] = {}
-
-
 def identify(docs: DataFrame, samples: dict[str, list[str]], text: str = "text", order: int = 4) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``: the language whose frozen model codes the whole text shortest.
 
@@ -170,11 +167,8 @@ def identify(docs: DataFrame, samples: dict[str, list[str]], text: str = "text",
     sent = docs.sparkSession.sparkContext.broadcast(samples)
 
     def start():
-        key = (order, hash(tuple((k, tuple(v)) for k, v in sorted(sent.value.items()))))
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Classifier(sent.value, order)
-        model = _BUILT[key]
+        key = ("languages", order, hash(tuple((k, tuple(v)) for k, v in sorted(sent.value.items()))))
+        model = held(key, lambda: Classifier(sent.value, order))
 
         def apply(texts):
             made = model.predict(texts.to_pylist())

@@ -11,6 +11,7 @@ exponentials is itself a matrix product, done once in blocks for all pairs of co
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -23,7 +24,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, DoubleType, LongType, StructField, StructType,
 )
 
-from .common import append_columns, pieces, remainder, utf8, written
+from .common import append_columns, held, pieces, remainder, utf8, written
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 END = b""  # no word is empty
@@ -293,8 +294,6 @@ def train_model(docs: DataFrame, words: Lexicon, text: str = "text", size: int =
     return model.R, model.Q, model.C, model.b
 
 
-_READY: dict[int, tuple[Lexicon, Model, Scorer]] = {}
-
 PARTS = [
     StructField("n_tokens", LongType()), StructField("known_head", LongType()), StructField("base_head", DoubleType()),
     StructField("score_head", DoubleType()), StructField("rare", ArrayType(StructType([
@@ -318,15 +317,15 @@ def score_documents(docs: DataFrame, train: DataFrame, key: str = "doc_id", text
     R, Q, C, b = train_model(train, words, text, size)
     scorer = Scorer(R, Q, C, b)
     sent = spark.sparkContext.broadcast((words, (R, Q, C, b), scorer.log_z))
-    number = sent.id if hasattr(sent, "id") else id(sent)
+    number = uuid.uuid4().hex  # another model for every call, also within one session
 
     def start():
-        if number not in _READY:
-            _READY.clear()
-            own, (r, q, c, bias), log_z = sent.value
-            own.prepare()
-            _READY[number] = own, Model(own.unigram, 1), Scorer(r, q, c, bias, log_z)
-        own, model, scores = _READY[number]
+        def build():
+            words_, (r, q, c, bias), log_z = sent.value
+            words_.prepare()
+            return words_, Model(words_.unigram, 1), Scorer(r, q, c, bias, log_z)
+
+        own, model, scores = held(("lm", number), build)
         nothing = np.log10(own.total + SMOOTH * (own.distinct + 1))
         log_counts = np.log10(own.counts + SMOOTH)
         # a class token's share, its own count aside

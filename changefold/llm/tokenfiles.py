@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 import zstandard
 
 from .chunks import Memo, chunks
-from .common import open_fs, pieces, put_file, tasks, written
+from .common import held, open_fs, pieces, put_file, tasks, written
 
 MAGIC = b"WVMX0001"
 BLOCK, FRAME = 512, 1 << 16  # bits per rank entry, bytes per compressed frame
@@ -228,14 +228,8 @@ class LibraryEncoder:
         ]
 
 
-_LOADED: dict[str, LibraryEncoder] = {}
-
-
 def encoder(content: str) -> LibraryEncoder:
-    if content not in _LOADED:
-        _LOADED.clear()
-        _LOADED[content] = LibraryEncoder(content)
-    return _LOADED[content]
+    return held(("library", content), lambda: LibraryEncoder(content))
 
 
 # -- Spark ---------------------------------------------------------------------------------------------
