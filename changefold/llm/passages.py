@@ -10,11 +10,15 @@ much; what is left of at least ``least`` words is a passage.
 The first document of a seed need not have the whole passage: other, shorter repeats may hide the one
 that does. Where a run of repeated seeds is long enough for a passage but not inside one that was found, a
 second look takes every run of ``least`` words as a seed. Its first document has that run whole.
+
+A third look finds what is not equal word for word: its keys are two repeated seeds of a document, ``apart``
+words or up to ``gap + k`` more from one another, whatever is between. A stretch outside known passages is aligned
+with one earlier holder of its key after another until it is in a passage or has met them all.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,8 @@ _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C1
 class Settings:
     """``k`` words to a seed, the smallest of ``window`` seeds kept; passages of ``least`` words and
     ``similarity`` equal words; seeds further apart than ``gap`` words are not aligned over; a gap costs
-    ``cost`` a word in chaining; slices start and end on multiples of ``grid`` words."""
+    ``cost`` a word in chaining; slices start and end on multiples of ``grid`` words; the third look's keys
+    are seeds at least ``apart`` words from one another."""
     k: int = 8
     window: int = 12
     least: int = 50
@@ -40,6 +45,7 @@ class Settings:
     gap: int = 40
     cost: float = 0.1
     grid: int = 64
+    apart: int = 30
 
 
 class _Powers:
@@ -321,9 +327,16 @@ def find_passages(texts: DataFrame, settings: Settings = Settings()) -> DataFram
     firsts = rows.where("first = 1").groupBy("seed").agg(
         F.min("row").alias("other"), F.min_by("at", "row").alias("there"), F.count(F.lit(1)).alias("n"))
     firsts = written(firsts.where("n > 1").drop("n"), "passage-seeds")
-    matched = rows.select("seed", "row", "at").join(firsts, "seed").where("row <> other")
-    pairs = matched.groupBy("row", "other").agg(F.collect_list(F.struct("at", "there")).alias("m"))
+    held = written(rows.select("seed", "row", "at").join(firsts, "seed"), "passage-matches")
+    pairs = held.where("row <> other").groupBy("row", "other").agg(F.collect_list(F.struct("at", "there")).alias("m"))
     pairs = pairs.select("row", "other", F.col("m.at").alias("here"), F.col("m.there").alias("there"))
+    found, slices, passages = _aligned(pairs, texts, s)
+    passages = passages.unionByName(_second_look(found, slices, passages, s))
+    return _third_look(held, texts, written(passages, "passages"), s)
+
+
+def _aligned(pairs: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chains of the pairs' matches, the slices they lie on, and the passages they give."""
     found = written(_chain_rows(pairs, s), "passage-chains")
     asked = found.select("row", "lo", "hi").unionByName(found.select(
         F.col("other").alias("row"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi"))).distinct()
@@ -332,9 +345,12 @@ def find_passages(texts: DataFrame, settings: Settings = Settings()) -> DataFram
     there = slices.select(F.col("row").alias("other"), F.col("lo").alias("other_lo"),
                           F.col("hi").alias("other_hi"), F.col("words").alias("others"))
     ready = found.join(slices, ["row", "lo", "hi"]).join(there, ["other", "other_lo", "other_hi"])
-    passages = written(_passage_rows(ready.select(
+    return found, slices, written(_passage_rows(ready.select(
         "row", "other", "lo", "other_lo", "here", "there", "words", "others"), s), "passages")
-    return passages.unionByName(_second_look(found, slices, passages, s))
+
+
+def _known(passages: DataFrame) -> DataFrame:
+    return passages.groupBy("row").agg(F.collect_set(F.struct("first", "end")).alias("known"))
 
 
 def _second_look(found: DataFrame, slices: DataFrame, passages: DataFrame, s: Settings) -> DataFrame:
@@ -342,8 +358,7 @@ def _second_look(found: DataFrame, slices: DataFrame, passages: DataFrame, s: Se
     own = found.select("row", F.explode("here").alias("at"))
     other = found.select(F.col("other").alias("row"), F.explode("there").alias("at"))
     places = own.unionByName(other).distinct().groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("ats"))
-    known = passages.groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("known"))
-    runs = _open_runs(places.join(known, "row", "left"), s)
+    runs = _open_runs(places.join(_known(passages), "row", "left"), s)
     grams = _run_rows(slices.join(runs, "row").select("row", "lo", "words", "runs"), s).distinct()
     grams = written(grams, "passage-runs")
     firsts = grams.groupBy("seed").agg(F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("at", "row").alias("there"))
@@ -419,6 +434,76 @@ def _run_rows(slices: DataFrame, s: Settings) -> DataFrame:
     return slices.mapInArrow(run, schema)
 
 
+def stretches(ats: np.ndarray, keys: np.ndarray, known: list[tuple[int, int]],
+              s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, start, words from first to last seed, whether outside known passages) of a document's pairs of
+    seeds; ``ats`` are their positions in order."""
+    first = np.searchsorted(ats, ats + s.apart)
+    n = np.searchsorted(ats, ats + s.apart + s.gap + s.k, side="right") - first
+    left = np.repeat(np.arange(len(ats)), n)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    at, last = ats[left], ats[right]
+    outside = np.ones(len(at), bool)
+    for a, b in known:
+        i, j = np.searchsorted(at, a), np.searchsorted(at, b)
+        outside[i:j] &= last[i:j] + s.k > b
+    return _mix(keys[left] * _BASE + keys[right]), at, last - at, outside
+
+
+def _stretch_rows(places: DataFrame, s: Settings) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            made = [[np.zeros(0, kind)] for kind in (np.uint64, np.int64, np.int64, np.int64, bool)]
+            rows = batch.column(0).to_pylist()
+            for row, held, known in zip(rows, batch.column(1), batch.column(2)):
+                held = held.values
+                key, at, span, outside = stretches(
+                    held.field("at").to_numpy().astype(np.int64), held.field("seed").to_numpy().view(np.uint64),
+                    [(k["first"], k["end"]) for k in known.as_py() or []], s)
+                for column, x in zip(made, (key, np.full(len(key), row), at, span, outside)):
+                    column.append(x)
+            key, row, at, span, outside = (np.concatenate(c) for c in made)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key.view(np.int64)), pa.array(row), pa.array(at.astype(np.int32)),
+                pa.array(span.astype(np.int32)), pa.array(outside)], names=["seed", "row", "at", "span", "open"])
+
+    return places.select("row", "held", "known").mapInArrow(run, "seed long, row long, at int, span int, open boolean")
+
+
+def _third_look(held: DataFrame, texts: DataFrame, passages: DataFrame, s: Settings) -> DataFrame:
+    """``passages`` with the fuzzy ones of documents that earlier holders of their seeds have in part only.
+
+    Holders of a key are taken in table order, twice as many each turn, by stretches still outside passages.
+    """
+    places = held.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "seed"))).alias("held"))
+    grams = written(_stretch_rows(places.join(_known(passages), "row", "left"), s), "passage-stretches")
+    asked = grams.groupBy("seed").agg(F.min("row").alias("lowest"), F.max(F.when(F.col("open"), F.col("row"))).alias("highest"))
+    asked = asked.where("highest > lowest").select("seed")
+    order = Window.partitionBy("seed").orderBy("row", "at", "span")
+    live = grams.join(asked, "seed").withColumn("turn", F.floor(F.log2(F.row_number().over(order))).cast("int"))
+    live = written(live, "passage-holders")
+    loose = replace(s, cost=s.cost / 2)  # both ends of a stretch make a chain
+    for turn in range((live.agg(F.max("turn")).first()[0] or -1) + 1):
+        known = passages.select("row", "first", "end").distinct()
+        inside = (F.col("first") <= F.col("at")) & (F.col("end") >= F.col("at") + F.col("span") + s.k)
+        asking = live.where("open").alias("a").join(
+            known.alias("k"), (F.col("a.row") == F.col("k.row")) & inside, "left_anti")
+        holders = live.where(F.col("turn") == turn).select(
+            "seed", F.col("row").alias("other"), F.col("at").alias("there"), F.col("span").alias("other_span"))
+        links = asking.join(holders, "seed").where("other < row")
+        ends = F.explode(F.array(
+            F.struct("at", "there"), F.struct((F.col("at") + F.col("span")).alias("at"), (F.col("there") + F.col("other_span")).alias("there"))))
+        pairs = links.select("row", "other", ends.alias("m")).groupBy("row", "other").agg(F.collect_set("m").alias("m"))
+        pairs = written(pairs.select("row", "other", F.col("m.at").alias("here"), F.col("m.there").alias("there")), "passage-links")
+        if pairs.isEmpty():
+            continue
+        more = _aligned(pairs, texts, loose)[2].alias("p")
+        new = more.join(known.alias("k"), (F.col("p.row") == F.col("k.row")) & (F.col("k.first") <= F.col("p.first"))
+                        & (F.col("k.end") >= F.col("p.end")), "left_anti").distinct()
+        passages = written(passages.unionByName(new), "passages")
+    return passages
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(key, ``other_`` key, word ranges, ``equal_words``, ``similarity``): what a document repeats of an earlier one.
 
