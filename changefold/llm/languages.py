@@ -137,23 +137,33 @@ class Classifier:
 
 def training_sample(docs: DataFrame, text: str = "text", lang: str = "lang",
                     sample_bytes: int = 1 << 20, languages: int = 200) -> dict[str, list[str]]:
-    """Texts by language, near ``sample_bytes`` of UTF-8 for each, drawn evenly by a hash of the text.
+    """Texts by language, near ``sample_bytes`` of UTF-8 for each, drawn evenly by a hash from the different texts.
 
-    The trees are fitted on this bounded sample. At most ``languages`` languages may be learned; more
-    raise an error rather than being dropped.
+    The trees are fitted on this bounded sample. Copies of a text count once; of a text longer than
+    ``sample_bytes`` its first characters are drawn. A language whose draw falls short of half of what it could
+    be is drawn again at a higher rate. At most ``languages`` languages may be learned; more raise an error
+    rather than being dropped.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-    found = {r.lang: r.size for r in sizes.limit(languages + 1).collect()}
+    hashed = rows.select("lang", F.xxhash64("text").alias("hash"), F.octet_length("text").cast("long").alias("size")).distinct()
+    found = {r.lang: r.size for r in hashed.groupBy("lang").agg(F.sum("size").alias("size")).limit(languages + 1).collect()}
     if len(found) > languages:
         raise ValueError(f"more than {languages} languages")
     draw = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(2.0 ** 53)
-    rate = F.lit(1.0)
-    for name, size in found.items():
-        rate = F.when(F.col("lang") == name, min(1.0, sample_bytes / max(1, size))).otherwise(rate)
-    samples: dict[str, list[str]] = {name: [] for name in found}
-    for r in rows.where(draw < rate).distinct().toLocalIterator():
-        samples[r.lang].append(r.text)
+    rates = {name: min(1.0, sample_bytes / max(1, size)) for name, size in found.items()}
+    samples: dict[str, list[str]] = {}
+    short = rates
+    while short:
+        rate = F.lit(-1.0)
+        for name in short:
+            rate = F.when(F.col("lang") == name, rates[name]).otherwise(rate)
+        samples |= {name: [] for name in short}
+        drawn = rows.where(draw < rate).select("lang", F.substring("text", 1, sample_bytes).alias("text"))
+        for r in drawn.distinct().toLocalIterator():
+            samples[r.lang].append(r.text)
+        short = {name: rates[name] for name in short if rates[name] < 1.0
+                 and 2 * sum(len(t.encode()) for t in samples[name]) < min(sample_bytes, found[name])}
+        rates |= {name: min(1.0, 4 * rate) for name, rate in short.items()}
     return {name: sorted(texts) for name, texts in samples.items() if texts}
 
 
