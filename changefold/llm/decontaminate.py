@@ -83,8 +83,8 @@ def offsets(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list[DataFrame]:
-    """The items in as many shares as keep each share's text near ``block_bytes``."""
-    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
+    """The different items in as many shares as keep each share's text near ``block_bytes``."""
+    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     share = F.pmod(F.xxhash64("item", "text"), F.lit(n))
