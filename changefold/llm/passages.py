@@ -486,7 +486,7 @@ def _third_look(held: DataFrame, texts: DataFrame, passages: DataFrame, s: Setti
     for turn in range((live.agg(F.max("turn")).first()[0] or -1) + 1):
         known = passages.select("row", "first", "end").distinct()
         inside = (F.col("first") <= F.col("at")) & (F.col("end") >= F.col("at") + F.col("span") + s.k)
-        asking = live.where("open").alias("a").join(
+        asking = live.where(F.col("open") & (F.col("turn") >= turn)).drop("turn").alias("a").join(
             known.alias("k"), (F.col("a.row") == F.col("k.row")) & inside, "left_anti")
         holders = live.where(F.col("turn") == turn).select(
             "seed", F.col("row").alias("other"), F.col("at").alias("there"), F.col("span").alias("other_span"))
