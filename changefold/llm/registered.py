@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary_path
 
 from changefold.session import scratch
 
-from . import bpe, decontaminate, languages, lm, passages, search, sharding, simhash, tokenfiles, warc
+from . import bpe, clustering, decontaminate, languages, lm, passages, pii, search, sharding, simhash, spelling, tokenfiles, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 SHARDS = 40
@@ -87,6 +87,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.train(docs)).drop("text")
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -124,6 +137,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_pii": op12_pii,
+    "op13_clustering": op13_clustering,
 }
 OP5_SQL = r"""
 WITH d AS (
@@ -154,4 +170,30 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_search": OP5_SQL, "op8_warc": OP8_SQL}
+OP13_START = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+e AS MATERIALIZED (
+  SELECT k, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS HUGEINT) AS x FROM kept, range(1, 65) r(i)),
+firsts AS MATERIALIZED (
+  SELECT k, row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS c FROM kept
+  QUALIFY c < 40),
+c0 AS MATERIALIZED (SELECT c, i, x FROM firsts JOIN e USING (k))"""
+OP13_ROUND = """,
+d{r} AS MATERIALIZED (SELECT k, c, sum((e.x - m.x) * (e.x - m.x)) AS d FROM e JOIN c{r} m USING (i) GROUP BY k, c),
+a{r} AS MATERIALIZED (SELECT k, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY k ORDER BY d, c) = 1)"""
+OP13_MOVE = """,
+m{r} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN e USING (k) GROUP BY c, i),
+c{n} AS MATERIALIZED (
+  SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{r} LEFT JOIN m{r} USING (c, i))"""
+OP13_SQL = OP13_START + "".join(
+    OP13_ROUND.format(r=r) + (OP13_MOVE.format(r=r, n=r + 1) if r < 5 else "") for r in range(6)) + """
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a5 JOIN kept USING (k)
+JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY c) USING (c)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": OP4_SQL, "op5_search": OP5_SQL, "op8_warc": OP8_SQL, "op13_clustering": OP13_SQL}
