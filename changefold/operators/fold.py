@@ -19,13 +19,14 @@ IS_DELETE = "_is_delete"
 DELETES = "__op = 'd'"
 
 
-def _orderable(data_type: DataType) -> bool:
+def orderable(data_type: DataType) -> bool:
+    """Whether values of the type have an order."""
     if isinstance(data_type, (MapType, VariantType)):
         return False
     if isinstance(data_type, ArrayType):
-        return _orderable(data_type.elementType)
+        return orderable(data_type.elementType)
     if isinstance(data_type, StructType):
-        return all(_orderable(f.dataType) for f in data_type.fields)
+        return all(orderable(f.dataType) for f in data_type.fields)
     return True
 
 
@@ -50,7 +51,7 @@ def fold_latest(
     if IS_DELETE not in events.columns:
         events = events.withColumn(IS_DELETE, F.coalesce(F.expr(deletes), F.lit(False)))
     ranked = {*keys, *sequence, IS_DELETE}
-    rest = sorted(f.name for f in events.schema.fields if f.name not in ranked and _orderable(f.dataType))
+    rest = sorted(f.name for f in events.schema.fields if f.name not in ranked and orderable(f.dataType))
     order = [F.col(c).desc_nulls_last() for c in sequence]
     order += [F.col(IS_DELETE).desc()]
     order += [F.col(c).desc_nulls_last() for c in rest]
