@@ -50,12 +50,16 @@ def fold_latest(
     """
     if IS_DELETE not in events.columns:
         events = events.withColumn(IS_DELETE, F.coalesce(F.expr(deletes), F.lit(False)))
+    return _first(events, [*keys, IS_DELETE] if keep_image else keys, latest_first(events.schema, keys, sequence))
+
+
+def latest_first(schema: StructType, keys: Sequence[str], sequence: Sequence[str]) -> list[Column]:
+    """The order a fold ranks the events of a key by."""
     ranked = {*keys, *sequence, IS_DELETE}
-    rest = sorted(f.name for f in events.schema.fields if f.name not in ranked and orderable(f.dataType))
+    rest = sorted(f.name for f in schema.fields if f.name not in ranked and orderable(f.dataType))
     order = [F.col(c).desc_nulls_last() for c in sequence]
     order += [F.col(IS_DELETE).desc()]
-    order += [F.col(c).desc_nulls_last() for c in rest]
-    return _first(events, [*keys, IS_DELETE] if keep_image else keys, order)
+    return order + [F.col(c).desc_nulls_last() for c in rest]
 
 
 def published(

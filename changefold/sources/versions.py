@@ -32,6 +32,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a folder."""
+    folder, fs = _path_fs(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
 class VersionedDir:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
