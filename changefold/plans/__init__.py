@@ -1,4 +1,4 @@
-from . import candidates, gold, instalments, panels, silver
+from . import candidates, gold, incremental, instalments, panels, silver
 from .refresh import Layout, land, refresh
 
-__all__ = ["candidates", "gold", "instalments", "panels", "silver", "Layout", "land", "refresh"]
+__all__ = ["candidates", "gold", "incremental", "instalments", "panels", "silver", "Layout", "land", "refresh"]

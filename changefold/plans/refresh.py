@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -18,11 +18,11 @@ from ..sources.bronze import read_bronze, stream_bronze
 from ..sources.landing import landing_path, start_landing
 from ..sources.registry import SchemaRegistry
 from ..sources.tables import current_table, publish
-from ..sources.versions import has_entries, remove_folder
-from ..streaming.facts import split_outputs, start_split
+from ..sources.versions import VersionedDir, has_entries, remove_folder
+from ..streaming.facts import fact_changes, keep_quality, kept_quality, log_version, split_outputs, start_split
 from ..streaming.ingest import drain_bronze, start_bronze
 from ..streaming.scd1 import Scd1Target
-from . import gold
+from . import gold, incremental
 from .silver import (
     TRANSACTION_COLUMNS, batch_reader, customers_target, fixed_transactions, loans_target,
 )
@@ -50,20 +50,34 @@ class Layout:
     def bronze(self, table: str) -> str:
         return f"{self.root}/bronze/{table}_raw"
 
-    def silver(self, table: str) -> str:
-        return f"{self.root}/silver/{table}"
+    def _generations(self, spark: SparkSession) -> VersionedDir:
+        return VersionedDir(spark, f"{self.root}/silver/standing")
+
+    def generation(self, spark: SparkSession) -> int:
+        """Which build of silver readers see; a rebuild writes the next one beside it and switches last."""
+        return self._generations(spark).latest() or 0
+
+    def silver(self, spark: SparkSession, table: str, generation: int | None = None) -> str:
+        return f"{self.root}/silver/{self.generation(spark) if generation is None else generation}/{table}"
+
+    def gold_state(self, spark: SparkSession) -> str:
+        """What gold is kept up to date from."""
+        return f"{self.root}/gold_state/{self.generation(spark)}"
 
     def checkpoint(self, step: str) -> str:
         return f"{self.root}/checkpoints/{step}"
 
+    def silver_checkpoint(self, table: str, generation: int) -> str:
+        return self.checkpoint(f"silver/{generation}/{table}")
+
     def registry(self, spark: SparkSession, table: str) -> SchemaRegistry:
         return SchemaRegistry(spark, f"{self.root}/checkpoints/schema/{table}")
 
-    def customers(self, spark: SparkSession, **options) -> Scd1Target:
-        return customers_target(spark, self.silver("customers"), **options)
+    def customers(self, spark: SparkSession, generation: int | None = None, **options) -> Scd1Target:
+        return customers_target(spark, self.silver(spark, "customers", generation), deltas=True, **options)
 
-    def loans(self, spark: SparkSession, **options) -> Scd1Target:
-        return loans_target(spark, self.silver("loans"), **options)
+    def loans(self, spark: SparkSession, generation: int | None = None, **options) -> Scd1Target:
+        return loans_target(spark, self.silver(spark, "loans", generation), deltas=True, **options)
 
 
 def land(events: DataFrame | Mapping[str, DataFrame], layout: Layout, **options) -> None:
@@ -95,31 +109,40 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
         drain_bronze(spark, layout.registry(spark, table), query, layout.bronze(table))
 
 
-def build_silver(spark: SparkSession, layout: Layout, unit: str = "ms", buckets: int = 32) -> None:
+def build_silver(
+    spark: SparkSession, layout: Layout, unit: str = "ms", buckets: int = 32, generation: int | None = None
+) -> None:
     """New bronze rows to silver: two folds, and the transactions split by one read into valid and rejected."""
+    generation = layout.generation(spark) if generation is None else generation
     streams = {t: stream_bronze(spark, layout.bronze(t)) for t in TABLES}
-    targets = {CUSTOMERS: layout.customers(spark, buckets=buckets), LOANS: layout.loans(spark, buckets=buckets)}
+    targets = {
+        CUSTOMERS: layout.customers(spark, generation, buckets=buckets), LOANS: layout.loans(spark, generation, buckets=buckets)}
     queries = [
         target.follow(
-            streams[t.name], layout.checkpoint(f"silver/{t.name}"), batch_reader(t, layout.registry(spark, t.name), unit))
+            streams[t.name], layout.silver_checkpoint(t.name, generation), batch_reader(t, layout.registry(spark, t.name), unit))
         for t, target in targets.items()
     ]
+    facts = layout.silver(spark, TRANSACTIONS.name, generation)
     queries.append(start_split(
         fixed_transactions(streams[TRANSACTIONS.name], unit), [TRANSACTIONS.key], TXN_RULES,
-        layout.silver("transactions"), layout.checkpoint("silver/transactions")))
+        facts, layout.silver_checkpoint(TRANSACTIONS.name, generation)))
     _finish(queries)
+    keep_quality(queries[-1], f"{facts}_quality")
 
 
 def rebuild_silver(spark: SparkSession, layout: Layout, unit: str = "ms", buckets: int = 32) -> None:
-    """Full refresh: drop the silver tables with their checkpoints and take all of bronze again.
+    """Full refresh: take all of bronze into new silver tables, then switch to them and delete the old ones.
 
-    Whatever the streams had seen before, every event is taken once, also into the quarantines. Readers
-    must wait until it is done.
+    Whatever the streams had seen before, every event is taken once, also into the quarantines. Until the
+    switch readers see the old tables, and a rebuild that dies is begun anew; its leftovers are never read.
     """
-    for table in TABLES:
-        remove_folder(spark, layout.silver(table))
-        remove_folder(spark, layout.checkpoint(f"silver/{table}"))
-    build_silver(spark, layout, unit, buckets)
+    old = layout.generation(spark)
+    for folder in (f"{layout.root}/silver/{old + 1}", layout.checkpoint(f"silver/{old + 1}")):
+        remove_folder(spark, folder)
+    build_silver(spark, layout, unit, buckets, old + 1)
+    layout._generations(spark).write_note(old + 1, "rebuilt")
+    for folder in (f"{layout.root}/silver/{old}", layout.checkpoint(f"silver/{old}"), f"{layout.root}/gold_state/{old}"):
+        remove_folder(spark, folder)
 
 
 def silver_tables(spark: SparkSession, layout: Layout, buckets: int = 32) -> dict[str, DataFrame]:
@@ -130,27 +153,67 @@ def silver_tables(spark: SparkSession, layout: Layout, buckets: int = 32) -> dic
         tables[table.name] = target.current() if known else spark.createDataFrame([], table.columns)
         tables[f"{table.name}_quarantine"] = target.quarantine() if known else spark.createDataFrame(
             [], StructType([*table.columns.fields]).add("_failed_rules", ArrayType(StringType())).add("_quarantine_reason", "string"))
-    shape = fixed_transactions(read_bronze(spark, layout.bronze(TRANSACTIONS.name))).drop("_misfits").schema
-    valid, rejected = split_outputs(spark, layout.silver(TRANSACTIONS.name), shape)
+    shape = transaction_shape(spark, layout)
+    valid, rejected = split_outputs(spark, layout.silver(spark, TRANSACTIONS.name), shape)
     tables[TRANSACTIONS.name] = valid.select(*TRANSACTION_COLUMNS)
     tables[f"{TRANSACTIONS.name}_quarantine"] = rejected
     return tables
 
 
 def build_gold(spark: SparkSession, layout: Layout, as_of: Column | None = None, buckets: int = 32) -> None:
-    """Recompute the gold tables from silver and publish each as a new version."""
+    """Bring the gold tables up to silver and publish each as a new version.
+
+    The three aggregates follow the changes since their last build; the watchlist, a list of rows whose
+    days count up, is made anew.
+    """
     silver = silver_tables(spark, layout, buckets)
     customers, loans = silver["customers"], silver["loans"]
-    frames = {
-        "portfolio_summary": gold.portfolio_summary(loans),
-        "customer_risk_profile": gold.customer_risk_profile(customers, loans),
-        "daily_collections": gold.daily_collections(silver["transactions"]),
-        "npa_watchlist": gold.npa_watchlist(loans, customers, as_of),
-    }
+    frames = incremental_gold(spark, layout, silver, buckets)
+    frames["npa_watchlist"] = gold.npa_watchlist(loans, customers, as_of)
     for name, frame in frames.items():
         publish(frame, layout.root, "gold", name, GOLD[name], view=layout.views)
 
 
+def incremental_gold(spark: SparkSession, layout: Layout, silver: Mapping[str, DataFrame], buckets: int = 32) -> dict[str, DataFrame]:
+    """The three gold aggregates, from their kept sums and what changed; plainly while a table has no event yet."""
+    customers, loans = layout.customers(spark, buckets=buckets), layout.loans(spark, buckets=buckets)
+    path, made = layout.gold_state(spark), {}
+    made["portfolio_summary"] = (
+        incremental.portfolio_summary(loans, path) if loans.exists() else gold.portfolio_summary(silver["loans"]))
+    made["customer_risk_profile"] = (
+        incremental.customer_risk_profile(customers, loans, path, buckets=buckets) if customers.exists() and loans.exists()
+        else gold.customer_risk_profile(silver["customers"], silver["loans"]))
+    facts, shape = layout.silver(spark, TRANSACTIONS.name), transaction_shape(spark, layout)
+    upto = log_version(spark, facts)
+    made["daily_collections"] = incremental.daily_collections(
+        spark, upto, lambda since: fact_changes(spark, facts, since, shape), lambda: silver[TRANSACTIONS.name], path
+    ) if upto >= 0 else gold.daily_collections(silver[TRANSACTIONS.name])
+    return made
+
+
+def transaction_shape(spark: SparkSession, layout: Layout) -> StructType:
+    return fixed_transactions(read_bronze(spark, layout.bronze(TRANSACTIONS.name))).drop("_misfits").schema
+
+
+def quality_report(spark: SparkSession, layout: Layout, threshold: float = 95.0, buckets: int = 32) -> DataFrame:
+    """Share of checked events that passed, per table, from counts taken while they were written.
+
+    (``table_name``, ``checked``, ``rejected``, ``pass_rate``, ``breached``): upserts of the folded tables and
+    non-deletes of the transactions since the last rebuild; a table without an event has no row.
+    """
+    counts = []
+    for table, target in ((CUSTOMERS, layout.customers(spark, buckets=buckets)), (LOANS, layout.loans(spark, buckets=buckets))):
+        if target.exists():
+            counts.append((table.name, *target.quality()))
+    rows = spark.createDataFrame(counts, "table_name string, checked long, rejected long")
+    facts = f"{layout.silver(spark, TRANSACTIONS.name)}_quality"
+    rows = rows.unionByName(kept_quality(spark, facts).select(F.lit(TRANSACTIONS.name).alias("table_name"), "checked", "rejected"))
+    passed = F.col("checked") - F.col("rejected")
+    share = F.try_divide(passed, F.col("checked")) * 100
+    return rows.where("checked > 0").select(
+        "table_name", "checked", "rejected", F.round(share, 2).alias("pass_rate"), (share < threshold).alias("breached"))
+
+
 def refresh(
     spark: SparkSession,
     layout: Layout,

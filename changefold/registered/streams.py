@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.fold import live, op_distribution
 from ..operators.rules import TXN_RULES, all_failures
-from ..plans.refresh import Layout, land, refresh, silver_tables
+from ..plans import incremental
+from ..plans.refresh import Layout, land, quality_report, refresh, silver_tables
 from ..plans.silver import fixed_transactions
 from ..session import scratch
 from ..sources.bronze import bronze_events, project, read_bronze
 from ..sources.landing import landing_path, start_landing
 from ..sources.registry import SchemaRegistry
 from ..sources.tables import current_table
-from ..streaming.facts import split_outputs, start_quarantine, start_split, start_valid
+from ..streaming.facts import fact_changes, log_version, split_outputs, start_quarantine, start_split, start_valid
 from ..streaming.ingest import drain_bronze, start_bronze
 from ..streaming.scd1 import Scd1Target
 from .book import (
@@ -248,6 +249,18 @@ def _message(table: str, rows: DataFrame, offset, op, moment=None, **encoded) ->
         F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"), value.cast("binary").alias("value"))
 
 
+def loan_history(loans: DataFrame) -> DataFrame:
+    """Every loan as a snapshot, a late older update, two updates of one moment whose offsets decide, and, for one
+    in 97, a delete."""
+    # (step, operation, time, status): steps are offsets, so the later of two equal times is the real row
+    steps = [(1, "r", 10, "pending"), (2, "u", 5, "closed"), (3, "u", 20, "pending"), (4, "u", 20, None), (5, "d", 30, None)]
+    versions = F.array(*(F.struct(
+        F.lit(n).alias("n"), F.lit(o).alias("o"), F.lit(t).alias("t"), F.lit(s).cast("string").alias("s")) for n, o, t, s in steps))
+    loans = loans.withColumn("_v", F.explode(versions)).where(
+        "_v.o <> 'd' or cast(substr(loan_id, 2) as int) % 97 = 0")
+    return loans.withColumns({"status": F.coalesce("_v.s", "status"), "__op": F.col("_v.o"), "__ts_ms": F.col("_v.t"), "_n": F.col("_v.n")}).drop("_v")
+
+
 def book_messages(b: Book, history: bool = False) -> dict[str, DataFrame]:
     """The loan book as streams of change messages, one per topic.
 
@@ -260,15 +273,8 @@ def book_messages(b: Book, history: bool = False) -> dict[str, DataFrame]:
     transactions = b.spark.sql(TRANSACTIONS, lineitem=b.stream("lineitem"))
     created, op, moment, place = F.lit("c"), F.lit("c"), None, F.expr("xxhash64(loan_id)")
     if history:
-        # (step, operation, time, status): steps are offsets, so the later of two equal times is the real row
-        steps = [(1, "r", 10, "pending"), (2, "u", 5, "closed"), (3, "u", 20, "pending"), (4, "u", 20, None), (5, "d", 30, None)]
-        versions = F.array(*(F.struct(
-            F.lit(n).alias("n"), F.lit(o).alias("o"), F.lit(t).alias("t"), F.lit(s).cast("string").alias("s")) for n, o, t, s in steps))
-        loans = loans.withColumn("_v", F.explode(versions)).where(
-            "_v.o <> 'd' or cast(substr(loan_id, 2) as int) % 97 = 0")
-        loans = loans.withColumns({"status": F.coalesce("_v.s", "status"), "__op": F.col("_v.o"), "__ts_ms": F.col("_v.t"), "_n": F.col("_v.n")})
+        loans = loan_history(loans)
         op, moment, place = F.col("__op"), F.col("__ts_ms"), F.expr("cast(substr(loan_id, 2) as bigint) * 10 + _n")
-        loans = loans.drop("_v")
         transactions = transactions.withColumns({
             "txn_id": F.concat_ws("-", "txn_id", "l_partkey", "l_suppkey"),
             "__ts_ms": F.coalesce(F.expr("pmod(cast(amount * 100 as bigint), 7)"), F.lit(0))})
@@ -283,8 +289,8 @@ def book_messages(b: Book, history: bool = False) -> dict[str, DataFrame]:
     }
 
 
-def _refreshed(b: Book, history: bool = False) -> Layout:
-    layout = Layout(scratch(b.spark, "refresh"), views=False)
+def _refreshed(b: Book, history: bool = False, views: bool = False) -> Layout:
+    layout = Layout(scratch(b.spark, "refresh"), views=views)
     land(book_messages(b, history), layout, tasks_per_hour=8)
     refresh(b.spark, layout, as_of=b.as_of)
     return layout
@@ -296,6 +302,24 @@ def refresh_portfolio(b: Book) -> DataFrame:
     return current_table(b.spark, _refreshed(b).root, "gold", "portfolio_summary")
 
 
+@query(PORTFOLIO_SQL)
+def refresh_views(b: Book) -> DataFrame:
+    """The same, read through the view that the catalog offers."""
+    _refreshed(b, views=True)
+    return b.spark.table("gold.portfolio_summary")
+
+
+@query(f"""
+with loan as (select count(*) n, 4 * count(case when not coalesce({LOAN_OK}, false) then 1 end) bad from f_loans),
+pay as (select count(*) n, count(case when not coalesce({TXN_OK}, false) then 1 end) bad from f_txns where op <> 'd')
+select 'customers' table_name, count(*) checked, 0 rejected, 100.0::double pass_rate, false breached from f_customers
+union all select 'loans', 4 * n, bad, round(100.0 * (4 * n - bad) / (4 * n), 2), 100.0 * (4 * n - bad) / (4 * n) < 95 from loan
+union all select 'transactions', n, bad, round(100.0 * (n - bad) / n, 2), 100.0 * (n - bad) / n < 95 from pay""")
+def refresh_quality(b: Book) -> DataFrame:
+    """Pass rates as counted while silver was written."""
+    return quality_report(b.spark, _refreshed(b, history=True))
+
+
 @query(RISK_SQL.replace("s_loans", "s_kept"))
 def refresh_customer_risk(b: Book) -> DataFrame:
     """The same with snapshots, late and equal times and deletes among the loans."""
@@ -320,6 +344,63 @@ def refresh_collections(b: Book) -> DataFrame:
     return current_table(b.spark, _refreshed(b, history=True).root, "gold", "daily_collections")
 
 
+_DAILY_FIRST = f"""
+select cast(txn_date as varchar) txn_date, count(*) payment_count, sum(amount) total_collected, {avg_2('amount')} avg_emi from (
+  select *, row_number() over (partition by txn_id, l_partkey, l_suppkey
+    order by cast(amount * 100 as bigint) % 7, amount, loan_id, txn_date, txn_type) rn from f_txns where op <> 'd' and {TXN_OK}) t
+where rn = 1 and txn_type = 'PAYMENT' group by txn_date"""
+
+
+@query(f"""
+select 'portfolio_summary' table_name, concat_ws('/', loan_type, status) group_name, loan_count n, total_exposure total,
+  avg_loan_amount first_average, avg_interest_rate second_average from ({PORTFOLIO_SQL.replace("s_loans", "s_kept")}) p
+union all select 'customer_risk_profile', credit_tier, customer_count, total_active_exposure, avg_credit_score, avg_annual_income
+from ({RISK_SQL.replace("s_loans", "s_kept")}) r
+union all select 'daily_collections', txn_date, payment_count, cast(total_collected as double), avg_emi, null from ({_DAILY_FIRST}) d""")
+def gold_incremental(b: Book) -> DataFrame:
+    """Gold brought up to date after each of three drops of changes, from the signed changes only.
+
+    Loans and customers come in versions, out of order, so that rows change their group, go and come back;
+    payments come as copies whose first one, by time, may arrive last.
+    """
+    layout = Layout(scratch(b.spark, "incremental"), views=False)
+    customers, loans = layout.customers(b.spark, buckets=8), layout.loans(b.spark, buckets=8)
+    steps = 3
+    lent = loan_history(b.loans).withColumn("_kafka_offset", F.expr("cast(substr(loan_id, 2) as bigint) * 10 + _n")).drop("_n")
+    lent = lent.withColumn("_drop", F.pmod(F.xxhash64("loan_id", "_kafka_offset"), F.lit(steps)))
+    people = b.customers.withColumn("_v", F.explode(F.array(F.lit(1), F.lit(2)))).withColumns({
+        "credit_score": F.when(F.col("_v") == 1, F.pmod(F.col("credit_score") * 7, F.lit(300)) + 400).otherwise(F.col("credit_score")),
+        "__op": F.lit("u"), "__ts_ms": F.col("_v").cast("long"), "_kafka_offset": F.xxhash64("customer_id")})
+    people = people.withColumn("_drop", F.pmod(F.xxhash64("customer_id", "_v", F.lit(5)), F.lit(steps))).drop("_v")
+    paid = b.transactions.withColumnsRenamed({"op": "__op"}).withColumns({
+        "txn_id": F.concat_ws("-", "txn_id", "l_partkey", "l_suppkey"), "_kafka_offset": F.lit(0).cast("long"),
+        "__ts_ms": F.coalesce(F.expr("pmod(cast(amount * 100 as bigint), 7)"), F.lit(0))}).drop("l_partkey", "l_suppkey")
+    paid = paid.withColumn("_drop", F.pmod(F.xxhash64("txn_id", "amount"), F.lit(steps)))
+    source, facts, path = f"{layout.root}/payments", f"{layout.root}/facts", f"{layout.root}/gold"
+    for n in range(steps):
+        customers.apply(people.where(F.col("_drop") == n).drop("_drop"), n)
+        loans.apply(lent.where(F.col("_drop") == n).drop("_drop"), n)
+        paid.where(F.col("_drop") == n).drop("_drop").write.mode("append").parquet(source)
+        stream = b.spark.readStream.schema(paid.drop("_drop").schema).parquet(source)
+        start_split(stream, ["txn_id"], TXN_RULES, facts, f"{layout.root}/checkpoint").awaitTermination()
+        summary = incremental.portfolio_summary(loans, path)
+        tiers = incremental.customer_risk_profile(customers, loans, path, buckets=8)
+        daily = incremental.daily_collections(
+            b.spark, log_version(b.spark, facts), lambda since: fact_changes(b.spark, facts, since),
+            lambda: split_outputs(b.spark, facts)[0], path)
+
+    def named(table: str, rows: DataFrame, group, *columns) -> DataFrame:
+        names = ("n", "total", "first_average", "second_average")
+        return rows.select(F.lit(table).alias("table_name"), group.alias("group_name"), *(
+            (F.col(c) if c else F.lit(None)).cast("bigint" if name == "n" else "double").alias(name) for c, name in zip(columns, names)))
+
+    return named("portfolio_summary", summary, F.concat_ws("/", "loan_type", "status"), "loan_count", "total_exposure",
+                 "avg_loan_amount", "avg_interest_rate").unionByName(
+        named("customer_risk_profile", tiers, F.col("credit_tier"), "customer_count", "total_active_exposure",
+              "avg_credit_score", "avg_annual_income")).unionByName(
+        named("daily_collections", daily, F.col("txn_date").cast("string"), "payment_count", "total_collected", "avg_emi", None))
+
+
 @query(f"""
 with bad as (select *, case when not coalesce(loan_amount > 0, false) then 'valid_loan_amount'
   when not coalesce(interest_rate between 1 and 30, false) then 'valid_interest_rate'

@@ -22,6 +22,7 @@ from ..sources.versions import PREFIX, VersionedDir, ensure_folder
 
 #: Which event of a fact is its first.
 FIRST = ("__ts_ms", *EVENT_ID)
+_QUALITY = "quality"
 _VERSION = PREFIX.rstrip("=")
 #: What the log holds beside the fact's own columns.
 _LOG = (StructField("_fact", StringType()), StructField(_VERSION, IntegerType()),
@@ -140,6 +141,8 @@ def start_split(
     checked = checked.withColumn("_valid", F.size("_failed_rules") == 0)
     known = F.col(EVENT_ID[0]).isNotNull() & F.col(EVENT_ID[1]).isNotNull()
     event = F.when(known, F.concat_ws(":", *(F.col(c).cast("string") for c in EVENT_ID))).otherwise(F.expr("uuid()"))
+    checked = checked.observe(
+        _QUALITY, F.count(F.lit(1)).alias("checked"), F.count_if(~F.col("_valid")).alias("rejected"))
     # a valid fact is told by its keys, a failing event by itself
     fact = F.when(F.col("_valid"), _key(list(keys))).otherwise(event)
     rows = _firsts(checked, fact)
@@ -181,15 +184,36 @@ def split_outputs(spark: SparkSession, path: str, schema: StructType | None = No
         "_quarantine_reason", F.col("_failed_rules")[0])
 
 
-def fact_changes(spark: SparkSession, path: str, since: int, schema: StructType | None = None) -> tuple[DataFrame, int]:
-    """Valid facts that came or went after version ``since`` with ``_sign`` 1 or -1, and the version they lead to.
+def log_version(spark: SparkSession, path: str) -> int:
+    """The newest version of a fact log; -1 before the first."""
+    latest = VersionedDir(spark, path).latest()
+    return -1 if latest is None else latest
+
+
+def fact_changes(spark: SparkSession, path: str, since: int, schema: StructType | None = None) -> DataFrame:
+    """Valid facts that came or went after version ``since``, with ``_sign`` 1 or -1.
 
     Only a fact that was picked anew is looked up among what stood before.
     """
     log = _read_log(spark, path, schema)
-    upto = VersionedDir(spark, path).latest()
     new = log.where(F.col(_VERSION) > since)
     redone = new.where("_again").select("_fact").distinct()
     gone = _newest(log.where(F.col(_VERSION) <= since).join(redone, "_fact", "left_semi"))
     changes = _newest(new).withColumn("_sign", F.lit(1)).unionByName(gone.withColumn("_sign", F.lit(-1)))
-    return changes.where("_valid").drop("_fact", "_again", "_valid", _VERSION), -1 if upto is None else upto
+    return changes.where("_valid").drop("_fact", "_again", "_valid", _VERSION)
+
+
+def keep_quality(query: StreamingQuery, path: str) -> None:
+    """Keep the counts a drained ``start_split`` observed, batch by batch; a repeated batch overwrites its own."""
+    seen = [(p.batchId, p.observedMetrics[_QUALITY]) for p in query.recentProgress if _QUALITY in p.observedMetrics]
+    if seen:
+        spark = SparkSession.active()
+        rows = spark.createDataFrame([(b, m.checked, m.rejected) for b, m in seen], "batch long, checked long, rejected long")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PREFIX}{seen[0][0]}")
+
+
+def kept_quality(spark: SparkSession, path: str) -> DataFrame:
+    """One row: events checked and rejected so far."""
+    ensure_folder(spark, path)
+    rows = spark.read.schema("batch long, checked long, rejected long").parquet(path).dropDuplicates(["batch"])
+    return rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("checked", "rejected")))

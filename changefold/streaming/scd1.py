@@ -178,6 +178,12 @@ class Scd1Target:
         if manifest["applied"].get(feed, -1) < batch_id:
             self._commit(events, manifest, {**manifest["applied"], feed: batch_id})
 
+    def apply_upto(self, events: DataFrame, applied: dict[str, int]) -> None:
+        """Fold one batch in that brings every named feed up to a batch id, all of them at once."""
+        manifest = self._manifest()
+        if any(manifest["applied"].get(feed, -1) < n for feed, n in applied.items()):
+            self._commit(events, manifest, {**manifest["applied"], **applied})
+
     def full_refresh(self, events: DataFrame, applied: dict[str, int] | None = None) -> None:
         """Replace the state by a fold of the whole feed. ``applied`` says what it already contains."""
         version = (self._manifests.latest() or 0) + 1
