@@ -1,24 +1,23 @@
 """Fuzzy passages that texts share, by collinear chaining of k-mer seeds.
 
-Every text is cut into words; hashes of ``k`` words in a row are thinned to the smallest of each ``window``,
-so two texts with ``k + window - 1`` equal words in a row share a seed. Each occurrence of a seed is joined
-with its first document in table order (never all pairs). Per pair of documents the matches are chained
-in order of both texts, gaps at a cost, with a Fenwick tree over the other text's positions. Chains are
-then aligned word by word on slices of both texts, run on at either end, and cut where they differ too
-much; what is left of at least ``least`` words is a passage.
-
-The first document of a seed need not have the whole passage: other, shorter repeats may hide the one
-that does. Where a run of repeated seeds is long enough for a passage but not inside one that was found, a
-second look takes every run of ``least`` words as a seed. Its first document has that run whole.
-
-A third look finds what is not equal word for word: its keys are two repeated seeds of a document, ``apart``
-words or up to ``gap + k`` more from one another, whatever is between. A stretch outside known passages is aligned
-with one earlier holder of its key after another until it is in a passage or has met them all.
+Texts that are equal are one text. Every text is cut into words; hashes of ``k`` words in a row are thinned to the
+smallest of each ``window``, so two texts with ``k + window - 1`` equal words in a row share a seed. Each
+occurrence of a seed is joined with its first document in table order (never all pairs). Per pair of documents the
+matches are chained in order of both texts, gaps at a cost, with a Fenwick tree over the other text's
+positions. Chains are then aligned word by word on slices of both texts: gaps between seeds by their common
+words, both ends by a banded alignment that crosses exchanged, added and dropped words, as far as that pays;
+chains are cut where they differ too much. What is left of at least ``least`` words is a passage.
+
+The first document of a seed need not have the whole passage: shorter repeats may hide the one that does. Where
+repeated seeds reach over a passage's length but not inside one that was found, two further looks take
+longer keys, each joined with its first document once more: every run of ``least`` words, which finds what is equal
+word for word; and pairs of repeated seeds nearly ``least`` words apart, whatever is between, for what is not.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from .common import FOLD, WORD, append_columns, utf8, written
+from .common import FOLD, WORD, append_columns, pieces, utf8, written
 
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -35,17 +34,24 @@ _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C1
 @dataclass(frozen=True)
 class Settings:
     """``k`` words to a seed, the smallest of ``window`` seeds kept; passages of ``least`` words and
-    ``similarity`` equal words; seeds further apart than ``gap`` words are not aligned over; a gap costs
-    ``cost`` a word in chaining; slices start and end on multiples of ``grid`` words; the third look's keys
-    are seeds at least ``apart`` words from one another."""
-    k: int = 8
-    window: int = 12
+    ``similarity`` equal words; chains of ``matches`` seeds; seeds further apart than ``gap`` words are not aligned
+    over; a gap costs ``cost`` a word in chaining; slices start and end on multiples of ``grid`` words; at the ends
+    texts may shift by ``band`` words; keys of two seeds are up to ``spread`` words longer than needed."""
+    k: int = 5
+    window: int = 6
     least: int = 50
     similarity: float = 0.8
+    matches: int = 2
     gap: int = 40
-    cost: float = 0.1
+    cost: float = 0.05
     grid: int = 64
-    apart: int = 30
+    band: int = 12
+    spread: int = 25
+
+    @property
+    def apart(self) -> int:
+        """Words from the first to the last seed that any ``least`` equal words have in common at least."""
+        return self.least - self.k - 2 * (self.window - 1)
 
 
 class _Powers:
@@ -182,57 +188,116 @@ def equal_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _run_on(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """How far two runs go on together, single words exchanged: (words, equal words) of the best prefix."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    same = a[:n] == b[:n]
-    worth = np.cumsum(np.where(same, 1, -3))
-    best = int(np.argmax(worth))
-    if worth[best] <= 0:
-        return 0, 0
-    return best + 1, int(same[:best + 1].sum())
+#: Score of an equal word is 1; an exchanged, added or dropped one costs this much, more where that was too lax.
+LOSSES = (2, 3, 4)
+_PAD, _COUNT = (-1, -2), 1 << 12
 
 
-def align(chain: list[tuple[int, int]], here: np.ndarray, there: np.ndarray, settings: Settings) -> list[tuple[int, int, int, int, int]]:
-    """Passages (first and end here, first and end there, equal words) of a chain; ends are exclusive.
+def extend(pairs: list[tuple[np.ndarray, np.ndarray]], loss: int, band: int, drop: int = 24) -> np.ndarray:
+    """How far the two texts of each pair go on together from their starts: (words, words there, equal words).
 
-    Positions are within the slices ``here`` and ``there``. Seeds are equal runs; gaps between them are
-    aligned; both ends run on. While too few words are equal, the chain is cut at its worst gap.
+    The prefixes of the best alignment within the band, all pairs side by side, a word of the first text a step.
+    A pair whose score falls ``drop`` below its best is done.
     """
-    blocks: list[list[int]] = []  # equal runs: start here, start there, length
+    n, width = max((len(a) for a, _ in pairs), default=0), 2 * band + 1
+    here = np.full((len(pairs), n), _PAD[0], np.int64)
+    there = np.full((len(pairs), n + width), _PAD[1], np.int64)
+    for i, (a, b) in enumerate(pairs):
+        here[i, :len(a)] = a
+        b = b[:n + band]
+        there[i, band:band + len(b)] = b
+    # a cell is score * _COUNT + equal words, the column is the place there less the place here
+    slope = loss * _COUNT * np.arange(width)
+    cell = np.where(np.arange(width) >= band, -loss * _COUNT * (np.arange(width) - band), -(1 << 40))
+    cells = np.repeat(cell[None, :], len(pairs), axis=0)
+    made = np.zeros((len(pairs), 3), np.int64)
+    best, left = np.zeros(len(pairs), np.int64), np.arange(len(pairs))
+    for i in range(1, n + 1):
+        same = here[left, i - 1, None] == there[left, i - 1:i - 1 + width]
+        step = cells + np.where(same, _COUNT + 1, -loss * _COUNT)
+        step[:, :-1] = np.maximum(step[:, :-1], cells[:, 1:] - loss * _COUNT)
+        cells = np.maximum.accumulate(step + slope, axis=1) - slope
+        at = cells.argmax(axis=1)
+        top = cells[np.arange(len(left)), at]
+        better = top > best[left]
+        rows = left[better]
+        best[rows] = top[better]
+        made[rows, 0], made[rows, 1], made[rows, 2] = i, i + at[better] - band, top[better] % _COUNT
+        if i % 8 == 0:
+            going = top > best[left] - drop * _COUNT
+            left, cells = left[going], cells[going]
+            if not len(left):
+                break
+    return made
+
+
+@dataclass
+class _Chain:
+    """Equal runs (start here, start there, length) of a chain, and (words here, words there, equal) between them."""
+    here: np.ndarray
+    there: np.ndarray
+    blocks: list[list[int]]
+    gaps: list[tuple[int, int, int]]
+
+
+def _blocks(chain: list[tuple[int, int]], here: np.ndarray, there: np.ndarray, k: int) -> _Chain:
+    blocks: list[list[int]] = []
     for a, b in chain:
         if blocks and a - b == blocks[-1][0] - blocks[-1][1] and a <= blocks[-1][0] + blocks[-1][2]:
-            blocks[-1][2] = max(blocks[-1][2], a + settings.k - blocks[-1][0])
+            blocks[-1][2] = max(blocks[-1][2], a + k - blocks[-1][0])
         elif blocks and (a < blocks[-1][0] + blocks[-1][2] or b < blocks[-1][1] + blocks[-1][2]):
             cut = max(blocks[-1][0] + blocks[-1][2] - a, blocks[-1][1] + blocks[-1][2] - b)
-            if cut < settings.k:
-                blocks.append([a + cut, b + cut, settings.k - cut])
+            if cut < k:
+                blocks.append([a + cut, b + cut, k - cut])
         else:
-            blocks.append([a, b, settings.k])
-    gaps = []  # (words here, words there, equal) between one block and the next
+            blocks.append([a, b, k])
+    gaps = []
     for x, y in zip(blocks, blocks[1:]):
         p, q = here[x[0] + x[2]:y[0]], there[x[1] + x[2]:y[1]]
         same = len(p) if len(p) == len(q) and (p == q).all() else equal_words(p, q)
         gaps.append((len(p), len(q), same))
-    found = []
-    todo = [(0, len(blocks))]
+    return _Chain(here, there, blocks, gaps)
+
+
+def align_all(chains_: list[_Chain], settings: Settings) -> list[list[tuple[int, int, int, int, int]]]:
+    """Passages (first and end here, first and end there, equal words) of every chain; ends are exclusive.
+
+    Seeds are equal runs; gaps between them are aligned; both ends run on. Where too few words are equal, the ends
+    run on less far; if that does not do, the chain is cut at its worst gap and both parts are tried.
+    """
+    found: list[list[tuple[int, int, int, int, int]]] = [[] for _ in chains_]
+    todo = [(c, 0, len(chain.blocks)) for c, chain in enumerate(chains_)]
     while todo:
-        first, end = todo.pop()
-        x, y = blocks[first], blocks[end - 1]
-        left, left_same = _run_on(here[:x[0]][::-1], there[:x[1]][::-1])
-        right, right_same = _run_on(here[y[0] + y[2]:], there[y[1] + y[2]:])
-        a, b, c, d = x[0] - left, y[0] + y[2] + right, x[1] - left, y[1] + y[2] + right
-        same = left_same + right_same + sum(z[2] for z in blocks[first:end]) + sum(g[2] for g in gaps[first:end - 1])
-        if max(b - a, d - c) < settings.least:
-            continue
-        if same >= settings.similarity * max(b - a, d - c):
-            found.append((a, b, c, d, same))
-        elif end - first > 1:
-            worst = max(range(first, end - 1), key=lambda i: max(gaps[i][0], gaps[i][1]) - gaps[i][2])
-            todo += [(first, worst + 1), (worst + 1, end)]
-    return sorted(p for p in found if p[1] - p[0] >= settings.least)
+        failed = todo
+        for loss in LOSSES:
+            ends = []
+            for c, first, end in failed:
+                chain = chains_[c]
+                x, y = chain.blocks[first], chain.blocks[end - 1]
+                ends.append((chain.here[:x[0]][::-1], chain.there[:x[1]][::-1]))
+                ends.append((chain.here[y[0] + y[2]:], chain.there[y[1] + y[2]:]))
+            reach = settings.least + settings.grid
+            runs = extend([(a[:reach], b[:reach]) for a, b in ends], loss, settings.band).tolist()
+            again = []
+            for i, (c, first, end) in enumerate(failed):
+                chain = chains_[c]
+                x, y, left, right = chain.blocks[first], chain.blocks[end - 1], runs[2 * i], runs[2 * i + 1]
+                a, b, p, q = x[0] - left[0], y[0] + y[2] + right[0], x[1] - left[1], y[1] + y[2] + right[1]
+                same = left[2] + right[2] + sum(z[2] for z in chain.blocks[first:end]) + sum(g[2] for g in chain.gaps[first:end - 1])
+                if max(b - a, q - p) < settings.least:
+                    continue
+                if same < settings.similarity * max(b - a, q - p):
+                    again.append((c, first, end))
+                elif b - a >= settings.least:
+                    found[c].append((a, b, p, q, same))
+            failed = again
+        todo = []
+        for c, first, end in failed:
+            if end - first > 1:
+                gaps = chains_[c].gaps
+                worst = max(range(first, end - 1), key=lambda i: max(gaps[i][0], gaps[i][1]) - gaps[i][2])
+                todo += [(c, first, worst + 1), (c, worst + 1, end)]
+    return [sorted(f) for f in found]
 
 
 # -- Spark ---------------------------------------------------------------------------------------------
@@ -250,7 +315,7 @@ PASSAGES = StructType([StructField("row", LongType()), StructField("other", Long
 
 def _seed_rows(texts: DataFrame, s: Settings) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in (p for whole in batches for p in pieces(whole, 1)):
             made = [[], [], [], []]
             for row, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 found, at = seeds(word_hashes(text), s.k, s.window)
@@ -271,6 +336,8 @@ def _chain_rows(pairs: DataFrame, s: Settings) -> DataFrame:
             rows = []
             for row, other, here, there in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 for chain in chains(list(zip(here, there)), s.k, s.gap, s.cost):
+                    if len(chain) < s.matches:
+                        continue
                     a, b = [x for x, _ in chain], [y for _, y in chain]
                     spans = [v for p in (a, b) for v in (
                         max(0, p[0] - s.least) // s.grid * s.grid, -(-(p[-1] + s.k + s.least) // s.grid) * s.grid)]
@@ -300,16 +367,19 @@ def _slice_rows(asked: DataFrame) -> DataFrame:
 
 def _passage_rows(ready: DataFrame, s: Settings) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            rows = []
-            columns = [batch.column(i).to_pylist() for i in range(8)]
-            for row, other, lo, other_lo, here, there, words, others in zip(*columns):
-                chain = [(a - lo, b - other_lo) for a, b in zip(here, there)]
-                for p in align(chain, np.frombuffer(words, np.uint32), np.frombuffer(others, np.uint32), s):
-                    rows.append((row, other, p[0] + lo, p[1] + lo, p[2] + other_lo, p[3] + other_lo, p[4]))
-            types = [pa.int64()] * 2 + [pa.int32()] * 5
-            made = zip(*rows) if rows else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(made, types)], names=PASSAGES.names)
+        for whole in batches:
+            for batch in pieces(whole, 6):
+                columns = [batch.column(i).to_pylist() for i in range(8)]
+                made = []
+                for _, _, lo, other_lo, here, there, words, others in zip(*columns):
+                    chain = [(a - lo, b - other_lo) for a, b in zip(here, there)]
+                    made.append(_blocks(chain, np.frombuffer(words, np.uint32), np.frombuffer(others, np.uint32), s.k))
+                rows = [
+                    (row, other, p[0] + lo, p[1] + lo, p[2] + other_lo, p[3] + other_lo, p[4])
+                    for row, other, lo, other_lo, found in zip(*columns[:4], align_all(made, s)) for p in found]
+                types = [pa.int64()] * 2 + [pa.int32()] * 5
+                columns = zip(*rows) if rows else [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=PASSAGES.names)
 
     return ready.mapInArrow(run, PASSAGES)
 
@@ -317,50 +387,75 @@ def _passage_rows(ready: DataFrame, s: Settings) -> DataFrame:
 def find_passages(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Passages between rows of ``texts`` (``row`` long, unique; ``text``): ``row`` repeats what ``other`` has.
 
-    ``other`` is the first row in order of ``row`` that has the seeds, so that it is always the smaller one.
-    ``first``/``end`` and ``other_first``/``other_end`` are word positions (ends exclusive), ``equal`` counts
-    equal words. ``texts`` is read more than once and should be a written table.
+    ``other`` is the first row in order of ``row`` that has the seeds, so that it is always the smaller one; a
+    text that is equal to an earlier one repeats the first such whole. ``first``/``end`` and
+    ``other_first``/``other_end`` are word positions (ends exclusive), ``equal`` counts equal words. ``texts`` is
+    read more than once and should be a written table.
     """
     s = settings
-    texts = texts.select("row", "text")
+    texts, copies = _different(texts.select("row", "text"), s)
     rows = _seed_rows(texts, s)
     firsts = rows.where("first = 1").groupBy("seed").agg(
-        F.min("row").alias("other"), F.min_by("at", "row").alias("there"), F.count(F.lit(1)).alias("n"))
-    firsts = written(firsts.where("n > 1").drop("n"), "passage-seeds")
+        F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("at", "row").alias("there"))
+    firsts = written(firsts.where("other < last").drop("last"), "passage-seeds")
     held = written(rows.select("seed", "row", "at").join(firsts, "seed"), "passage-matches")
     pairs = held.where("row <> other").groupBy("row", "other").agg(F.collect_list(F.struct("at", "there")).alias("m"))
-    pairs = pairs.select("row", "other", F.col("m.at").alias("here"), F.col("m.there").alias("there"))
-    found, slices, passages = _aligned(pairs, texts, s)
-    passages = passages.unionByName(_second_look(found, slices, passages, s))
-    return _third_look(held, texts, written(passages, "passages"), s)
+    passages = _aligned(pairs.where(F.size("m") >= s.matches), texts, s)
+    places = held.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "seed"))).alias("held"))
+    places = written(places.join(_known(passages), "row", "left"), "passage-places")
+    exact = written(_second_look(places, texts, s), "passages")
+    fuzzy = _third_look(places.drop("known").join(_known(passages.unionByName(exact)), "row", "left"), texts, s)
+    return reduce(DataFrame.unionByName, (passages, exact, fuzzy, copies))
+
 
+def _different(texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """The first row of every text, and the passages that are whole copies of it."""
+    digest = F.md5(F.col("text").cast("binary"))
+    first = texts.groupBy(digest.alias("digest")).agg(F.min("row").alias("other"), F.count(F.lit(1)).alias("n"))
+    copied = texts.join(first.where("n > 1 and digest is not null"), digest == F.col("digest")).where("row <> other")
+    copied = written(copied.select("row", "other", "text"), "passage-copies")
+
+    def run(batches):
+        for whole in batches:
+            for batch in pieces(whole, 2):
+                n = np.array([len(word_hashes(t)) for t in utf8(batch.column(2))], np.int32)
+                keep = pa.array(n >= s.least)
+                zero = np.zeros(len(n), np.int32)
+                made = [batch.column(0), batch.column(1), *(pa.array(x) for x in (zero, n, zero, n, n))]
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in made], names=PASSAGES.names)
 
-def _aligned(pairs: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Chains of the pairs' matches, the slices they lie on, and the passages they give."""
+    left = texts.join(copied.select("row"), "row", "left_anti").where(F.length("text") >= 2 * s.least - 1)
+    return written(left, "passage-different"), copied.mapInArrow(run, PASSAGES)
+
+
+def _aligned(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The passages that chains of the pairs' matches ``m`` give."""
+    pairs = pairs.select("row", "other", F.col("m.at").alias("here"), F.col("m.there").alias("there"))
     found = written(_chain_rows(pairs, s), "passage-chains")
-    asked = found.select("row", "lo", "hi").unionByName(found.select(
-        F.col("other").alias("row"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi"))).distinct()
-    asked = asked.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    slices = written(_slice_rows(texts.join(asked, "row").select("row", "text", "spans")), "passage-slices")
+    slices = _slices(found.select("row", "lo", "hi").unionByName(found.select(
+        F.col("other").alias("row"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi"))), texts)
     there = slices.select(F.col("row").alias("other"), F.col("lo").alias("other_lo"),
                           F.col("hi").alias("other_hi"), F.col("words").alias("others"))
     ready = found.join(slices, ["row", "lo", "hi"]).join(there, ["other", "other_lo", "other_hi"])
-    return found, slices, written(_passage_rows(ready.select(
+    return written(_passage_rows(ready.select(
         "row", "other", "lo", "other_lo", "here", "there", "words", "others"), s), "passages")
 
 
+def _slices(asked: DataFrame, texts: DataFrame) -> DataFrame:
+    """Word hashes of the asked ranges (``row``, ``lo``, ``hi``) of the texts."""
+    spans = asked.distinct().groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return written(_slice_rows(texts.join(spans, "row").select("row", "text", "spans")), "passage-slices")
+
+
 def _known(passages: DataFrame) -> DataFrame:
     return passages.groupBy("row").agg(F.collect_set(F.struct("first", "end")).alias("known"))
 
 
-def _second_look(found: DataFrame, slices: DataFrame, passages: DataFrame, s: Settings) -> DataFrame:
+def _second_look(places: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """Exact passages of documents that share more with each other than with their seeds' first documents."""
-    own = found.select("row", F.explode("here").alias("at"))
-    other = found.select(F.col("other").alias("row"), F.explode("there").alias("at"))
-    places = own.unionByName(other).distinct().groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("ats"))
-    runs = _open_runs(places.join(_known(passages), "row", "left"), s)
-    grams = _run_rows(slices.join(runs, "row").select("row", "lo", "words", "runs"), s).distinct()
-    grams = written(grams, "passage-runs")
+    runs = written(_open_runs(places.select("row", F.col("held.at").alias("ats"), "known"), s), "passage-runs")
+    one = runs.select("row", F.explode("runs").alias("r")).select("row", F.col("r.first").alias("lo"), F.col("r.end").alias("hi"))
+    grams = written(_run_rows(_slices(one, texts), s).distinct(), "passage-runs")
     firsts = grams.groupBy("seed").agg(F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("at", "row").alias("there"))
     firsts = written(firsts.where("other < last").drop("last"), "passage-run-seeds")
     matched = grams.join(firsts, "seed").where("row <> other")
@@ -416,30 +511,28 @@ def _open_runs(places: DataFrame, s: Settings) -> DataFrame:
 
 
 def _run_rows(slices: DataFrame, s: Settings) -> DataFrame:
-    """Hashes of all runs of ``least`` words of the slices that lie inside the rows' open runs."""
+    """Hashes of all runs of ``least`` words of the slices."""
     schema = "seed long, row long, at int"
 
     def run(batches):
         for batch in batches:
-            for row, lo, words, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row, lo, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 words = np.frombuffer(words, np.uint32)
-                for r in runs:
-                    a, b = max(r["first"], lo), min(r["end"], lo + len(words))
-                    if b - a >= s.least:
-                        grams = _grams(words[a - lo:b - lo].astype(np.uint64), s.least)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), row, np.int64)),
-                            pa.array(np.arange(a, a + len(grams), dtype=np.int32))], names=["seed", "row", "at"])
+                if len(words) >= s.least:
+                    grams = _grams(words.astype(np.uint64), s.least)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), row, np.int64)),
+                        pa.array(np.arange(lo, lo + len(grams), dtype=np.int32))], names=["seed", "row", "at"])
 
     return slices.mapInArrow(run, schema)
 
 
 def stretches(ats: np.ndarray, keys: np.ndarray, known: list[tuple[int, int]],
-              s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, start, words from first to last seed, whether outside known passages) of a document's pairs of
-    seeds; ``ats`` are their positions in order."""
+              s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, start, words from first to last seed) of a document's pairs of seeds outside known passages; ``ats``
+    are their positions in order."""
     first = np.searchsorted(ats, ats + s.apart)
-    n = np.searchsorted(ats, ats + s.apart + s.gap + s.k, side="right") - first
+    n = np.searchsorted(ats, ats + s.apart + s.spread, side="right") - first
     left = np.repeat(np.arange(len(ats)), n)
     right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
     at, last = ats[left], ats[right]
@@ -447,69 +540,54 @@ def stretches(ats: np.ndarray, keys: np.ndarray, known: list[tuple[int, int]],
     for a, b in known:
         i, j = np.searchsorted(at, a), np.searchsorted(at, b)
         outside[i:j] &= last[i:j] + s.k > b
-    return _mix(keys[left] * _BASE + keys[right]), at, last - at, outside
+    return _mix(keys[left] * _BASE + keys[right])[outside], at[outside], (last - at)[outside]
+
+
+#: Bits that hold a stretch's length beside its start in one long.
+_SPAN_BITS = 12
 
 
 def _stretch_rows(places: DataFrame, s: Settings) -> DataFrame:
     def run(batches):
         for batch in batches:
-            made = [[np.zeros(0, kind)] for kind in (np.uint64, np.int64, np.int64, np.int64, bool)]
-            rows = batch.column(0).to_pylist()
-            for row, held, known in zip(rows, batch.column(1), batch.column(2)):
+            made = [[np.zeros(0, kind)] for kind in (np.uint64, np.int64, np.int64)]
+            for row, held, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 held = held.values
-                key, at, span, outside = stretches(
+                key, at, span = stretches(
                     held.field("at").to_numpy().astype(np.int64), held.field("seed").to_numpy().view(np.uint64),
                     [(k["first"], k["end"]) for k in known.as_py() or []], s)
-                for column, x in zip(made, (key, np.full(len(key), row), at, span, outside)):
+                for column, x in zip(made, (key, np.full(len(key), row), at << _SPAN_BITS | span)):
                     column.append(x)
-            key, row, at, span, outside = (np.concatenate(c) for c in made)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(key.view(np.int64)), pa.array(row), pa.array(at.astype(np.int32)),
-                pa.array(span.astype(np.int32)), pa.array(outside)], names=["seed", "row", "at", "span", "open"])
+            key, row, place = (np.concatenate(c) for c in made)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(row), pa.array(place)], names=["seed", "row", "place"])
 
-    return places.select("row", "held", "known").mapInArrow(run, "seed long, row long, at int, span int, open boolean")
+    return places.select("row", "held", "known").mapInArrow(run, "seed long, row long, place long")
 
 
-def _third_look(held: DataFrame, texts: DataFrame, passages: DataFrame, s: Settings) -> DataFrame:
-    """``passages`` with the fuzzy ones of documents that earlier holders of their seeds have in part only.
+def _third_look(places: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Fuzzy passages of documents that the first holders of their seeds have in part only.
 
-    Holders of a key are taken in table order, twice as many each turn, by stretches still outside passages.
+    Both seeds of a stretch make a match with its first holder; a holder of both has a passage's length between them.
     """
-    places = held.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "seed"))).alias("held"))
-    grams = written(_stretch_rows(places.join(_known(passages), "row", "left"), s), "passage-stretches")
-    asked = grams.groupBy("seed").agg(F.min("row").alias("lowest"), F.max(F.when(F.col("open"), F.col("row"))).alias("highest"))
-    asked = asked.where("highest > lowest").select("seed")
-    order = Window.partitionBy("seed").orderBy("row", "at", "span")
-    live = grams.join(asked, "seed").withColumn("turn", F.floor(F.log2(F.row_number().over(order))).cast("int"))
-    live = written(live, "passage-holders")
-    loose = replace(s, cost=s.cost / 2)  # both ends of a stretch make a chain
-    for turn in range((live.agg(F.max("turn")).first()[0] or -1) + 1):
-        known = passages.select("row", "first", "end").distinct()
-        inside = (F.col("first") <= F.col("at")) & (F.col("end") >= F.col("at") + F.col("span") + s.k)
-        asking = live.where(F.col("open") & (F.col("turn") >= turn)).drop("turn").alias("a").join(
-            known.alias("k"), (F.col("a.row") == F.col("k.row")) & inside, "left_anti")
-        holders = live.where(F.col("turn") == turn).select(
-            "seed", F.col("row").alias("other"), F.col("at").alias("there"), F.col("span").alias("other_span"))
-        links = asking.join(holders, "seed").where("other < row")
-        ends = F.explode(F.array(
-            F.struct("at", "there"), F.struct((F.col("at") + F.col("span")).alias("at"), (F.col("there") + F.col("other_span")).alias("there"))))
-        pairs = links.select("row", "other", ends.alias("m")).groupBy("row", "other").agg(F.collect_set("m").alias("m"))
-        pairs = written(pairs.select("row", "other", F.col("m.at").alias("here"), F.col("m.there").alias("there")), "passage-links")
-        if pairs.isEmpty():
-            continue
-        more = _aligned(pairs, texts, loose)[2].alias("p")
-        new = more.join(known.alias("k"), (F.col("p.row") == F.col("k.row")) & (F.col("k.first") <= F.col("p.first"))
-                        & (F.col("k.end") >= F.col("p.end")), "left_anti").distinct()
-        passages = written(passages.unionByName(new), "passages")
-    return passages
+    grams = written(_stretch_rows(places, s), "passage-stretches")
+    firsts = grams.groupBy("seed").agg(F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("place", "row").alias("there"))
+    firsts = firsts.where("other < last").drop("last")
+    linked = grams.join(firsts, "seed").where("other < row")
+    start, span = (lambda c: F.shiftright(c, _SPAN_BITS)), (lambda c: F.col(c).bitwiseAND(F.lit((1 << _SPAN_BITS) - 1)))
+    ends = F.explode(F.array(
+        F.struct(start("place").cast("int").alias("at"), start("there").cast("int").alias("there")),
+        F.struct((start("place") + span("place")).cast("int").alias("at"), (start("there") + span("there")).cast("int").alias("there"))))
+    pairs = linked.select("row", "other", ends.alias("m")).groupBy("row", "other").agg(F.collect_set("m").alias("m"))
+    return _aligned(pairs, texts, replace(s, cost=s.cost / 2)).distinct()  # both ends of a stretch make a chain
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(key, ``other_`` key, word ranges, ``equal_words``, ``similarity``): what a document repeats of an earlier one.
 
-    "Earlier" is the order of the table. Every passage of at least ``settings.least`` words with the asked
-    share of equal words that two documents share is found from either's first occurrence on; documents
-    without a row repeat nothing. NULL and empty texts and those of fewer words have no passages; NULL
+    "Earlier" is the order of the table. Passages of at least ``settings.least`` words that are equal word for
+    word are all found, from their first occurrence on; of those with the asked share of equal words, the ones
+    that share two kept seeds (README: measured recall). Documents without a row repeat nothing. NULL and empty texts and those of fewer words have no passages; NULL
     keys come back as NULL; repeated rows repeat the first of them; passages repeated within one text
     only are no rows; other columns are not read; an empty table gives no rows.
     """
