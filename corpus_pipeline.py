@@ -12,17 +12,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from changefold.llm import bpe, decontaminate, languages, passages, registered, simhash
 from changefold.llm.common import written
 
+RESULTS = ("n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
 VOCABULARY = registered.vocabulary_path(registered.VOCABULARY)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The texts, every other column put by in ``doc``, so that no result of an operator meets a caller's column."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("doc"), "text")
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, as they came."""
+    return rows.select(*(F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a text without a letter (or none at all) goes.
 
     The models learn from the documents that ``op3`` learns from; labels of others are not read.
     """
     train = docs.where(~languages.held_out("doc_id"))
-    found = languages.identify(docs, languages.training_sample(train))
-    return found.where(F.col("lang_pred") != languages.UNDETERMINED).select(*docs.columns)
+    found = languages.identify(_packed(docs), languages.training_sample(train))
+    return _unpacked(found.where(F.col("lang_pred") != languages.UNDETERMINED), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +58,16 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty stands in a window of a benchmark item."""
     benchmark = registered.table(spark, sf_dir, "benchmark")
-    found = decontaminate.find_contamination(docs, benchmark)
-    return found.where(~decontaminate.is_contaminated()).select(*docs.columns)
+    found = decontaminate.find_contamination(_packed(docs), benchmark)
+    return _unpacked(found.where(~decontaminate.is_contaminated()), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token ids, with the digests of ids and decoded text."""
-    encoded = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), VOCABULARY)
-    return encoded.select("doc_id", "lang", "source", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
+    """The documents as token ids instead of text, with the digests of ids and decoded text; a column of the
+    input with the name of one of these is replaced."""
+    encoded = bpe.encode_documents(_packed(docs), VOCABULARY)
+    others = [c for c in docs.columns if c != "text" and c.lower() not in RESULTS]
+    return encoded.select(*(F.col("doc")[c].alias(c) for c in others), *RESULTS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
