@@ -80,11 +80,11 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,6 @@
 """Fuzzy passages that texts share, by collinear chaining of k-mer seeds.
 
-Texts that are equal are one text. Every text is cut into words; hashes of ``k`` words in a row are thinned to the
+Every text is cut into words; hashes of ``k`` words in a row are thinned to the
 smallest of each ``window``, so two texts with ``k + window - 1`` equal words in a row share a seed. Each
 occurrence of a seed is joined with its first document in table order (never all pairs). Per pair of documents the
 matches are chained in order of both texts, gaps at a cost, with a Fenwick tree over the other text's
@@ -17,7 +17,6 @@ word for word; and pairs of repeated seeds nearly ``least`` words apart, whateve
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ class Settings:
     over; a gap costs ``cost`` a word in chaining; slices start and end on multiples of ``grid`` words; at the ends
     texts may shift by ``band`` words; keys of two seeds are up to ``spread`` words longer than needed."""
     k: int = 5
-    window: int = 6
+    window: int = 8
     least: int = 50
     similarity: float = 0.8
     matches: int = 2
@@ -318,7 +317,8 @@ def _seed_rows(texts: DataFrame, s: Settings) -> DataFrame:
         for batch in (p for whole in batches for p in pieces(whole, 1)):
             made = [[], [], [], []]
             for row, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                found, at = seeds(word_hashes(text), s.k, s.window)
+                words = word_hashes(text)
+                found, at = seeds(words if len(words) >= s.least else words[:0], s.k, s.window)
                 first = np.zeros(len(found), np.int32)
                 first[np.unique(found, return_index=True)[1]] = 1
                 for column, x in zip(made, (found.view(np.int64), np.full(len(found), row, np.int64), at.astype(np.int32), first)):
@@ -387,45 +387,26 @@ def _passage_rows(ready: DataFrame, s: Settings) -> DataFrame:
 def find_passages(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Passages between rows of ``texts`` (``row`` long, unique; ``text``): ``row`` repeats what ``other`` has.
 
-    ``other`` is the first row in order of ``row`` that has the seeds, so that it is always the smaller one; a
-    text that is equal to an earlier one repeats the first such whole. ``first``/``end`` and
-    ``other_first``/``other_end`` are word positions (ends exclusive), ``equal`` counts equal words. ``texts`` is
-    read more than once and should be a written table.
+    ``other`` is the first row in order of ``row`` that has the seeds, so that it is always the smaller one.
+    ``first``/``end`` and ``other_first``/``other_end`` are word positions (ends exclusive), ``equal`` counts
+    equal words. ``texts`` is read more than once and should be a written table.
     """
     s = settings
-    texts, copies = _different(texts.select("row", "text"), s)
+    texts = texts.select("row", "text")
     rows = _seed_rows(texts, s)
-    firsts = rows.where("first = 1").groupBy("seed").agg(
-        F.min("row").alias("other"), F.max("row").alias("last"), F.min_by("at", "row").alias("there"))
+    # only what tells whether a seed repeats goes with every seed; the first place is looked up for those that do
+    firsts = rows.where("first = 1").groupBy("seed").agg(F.min("row").alias("other"), F.max("row").alias("last"))
     firsts = written(firsts.where("other < last").drop("last"), "passage-seeds")
-    held = written(rows.select("seed", "row", "at").join(firsts, "seed"), "passage-matches")
-    pairs = held.where("row <> other").groupBy("row", "other").agg(F.collect_list(F.struct("at", "there")).alias("m"))
+    held = written(rows.join(firsts, "seed"), "passage-matches")
+    begun = held.where("row = other and first = 1").select("seed", F.col("at").alias("there"))
+    pairs = held.where("row <> other").select("seed", "row", "other", "at").join(begun, "seed")
+    pairs = pairs.groupBy("row", "other").agg(F.collect_list(F.struct("at", "there")).alias("m"))
     passages = _aligned(pairs.where(F.size("m") >= s.matches), texts, s)
     places = held.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "seed"))).alias("held"))
     places = written(places.join(_known(passages), "row", "left"), "passage-places")
     exact = written(_second_look(places, texts, s), "passages")
     fuzzy = _third_look(places.drop("known").join(_known(passages.unionByName(exact)), "row", "left"), texts, s)
-    return reduce(DataFrame.unionByName, (passages, exact, fuzzy, copies))
-
-
-def _different(texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """The first row of every text, and the passages that are whole copies of it."""
-    digest = F.md5(F.col("text").cast("binary"))
-    first = texts.groupBy(digest.alias("digest")).agg(F.min("row").alias("other"), F.count(F.lit(1)).alias("n"))
-    copied = texts.join(first.where("n > 1 and digest is not null"), digest == F.col("digest")).where("row <> other")
-    copied = written(copied.select("row", "other", "text"), "passage-copies")
-
-    def run(batches):
-        for whole in batches:
-            for batch in pieces(whole, 2):
-                n = np.array([len(word_hashes(t)) for t in utf8(batch.column(2))], np.int32)
-                keep = pa.array(n >= s.least)
-                zero = np.zeros(len(n), np.int32)
-                made = [batch.column(0), batch.column(1), *(pa.array(x) for x in (zero, n, zero, n, n))]
-                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in made], names=PASSAGES.names)
-
-    left = texts.join(copied.select("row"), "row", "left_anti").where(F.length("text") >= 2 * s.least - 1)
-    return written(left, "passage-different"), copied.mapInArrow(run, PASSAGES)
+    return passages.unionByName(exact).unionByName(fuzzy)
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -463,10 +444,17 @@ def _second_look(places: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     order = Window.partitionBy("row", "other", F.col("at") - F.col("there")).orderBy("at")
     island = F.col("at") - F.row_number().over(order)
     islands = matched.select("row", "other", "at", "there", island.alias("island"))
-    return islands.groupBy("row", "other", F.col("at") - F.col("there"), "island").agg(
-        F.min("at").alias("first"), (F.max("at") + s.least).alias("end"), F.min("there").alias("other_first"),
-        (F.max("there") + s.least).alias("other_end"), (F.max("at") - F.min("at") + s.least).alias("equal"),
-    ).select("row", "other", "first", "end", "other_first", "other_end", "equal")
+    found = islands.groupBy("row", "other", F.col("at") - F.col("there"), "island").agg(
+        F.min("at").alias("first"), F.max("at").alias("last"), F.min("there").alias("other_first"))
+    # a text that goes round in circles is a passage from every word on: of such neighbours one in ``least`` will do
+    order = Window.partitionBy("row", "other", F.col("first") == F.col("last")).orderBy("first")
+    circle = found.withColumn("circle", F.col("first") - F.row_number().over(order))
+    order = Window.partitionBy("row", "other", F.col("first") == F.col("last"), "circle")
+    kept = circle.withColumns({"begin": F.min("first").over(order), "close": F.max("first").over(order)}).where(
+        (F.col("first") < F.col("last")) | ((F.col("first") - F.col("begin")) % s.least == 0) | (F.col("first") == F.col("close")))
+    size = F.col("last") - F.col("first") + s.least
+    return kept.select("row", "other", "first", (F.col("first") + size).alias("end"), "other_first",
+                       (F.col("other_first") + size).alias("other_end"), size.alias("equal"))
 
 
 def open_runs(places: list[int], known: list[tuple[int, int]], s: Settings) -> list[tuple[int, int]]:
@@ -529,18 +517,29 @@ def _run_rows(slices: DataFrame, s: Settings) -> DataFrame:
 
 def stretches(ats: np.ndarray, keys: np.ndarray, known: list[tuple[int, int]],
               s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, start, words from first to last seed) of a document's pairs of seeds outside known passages; ``ats``
-    are their positions in order."""
+    """(key, start, words from first to last seed) of a document's pairs of seeds that known passages do not
+    cover, each key once; ``ats`` are their positions in order."""
     first = np.searchsorted(ats, ats + s.apart)
     n = np.searchsorted(ats, ats + s.apart + s.spread, side="right") - first
     left = np.repeat(np.arange(len(ats)), n)
     right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
     at, last = ats[left], ats[right]
     outside = np.ones(len(at), bool)
-    for a, b in known:
+    for a, b in _merged(known):
         i, j = np.searchsorted(at, a), np.searchsorted(at, b)
         outside[i:j] &= last[i:j] + s.k > b
-    return _mix(keys[left] * _BASE + keys[right])[outside], at[outside], (last - at)[outside]
+    made, once = np.unique(_mix(keys[left] * _BASE + keys[right])[outside], return_index=True)
+    return made, at[outside][once], (last - at)[outside][once]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    made: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if made and a <= made[-1][1]:
+            made[-1] = (made[-1][0], max(b, made[-1][1]))
+        else:
+            made.append((a, b))
+    return made
 
 
 #: Bits that hold a stretch's length beside its start in one long.
@@ -592,7 +591,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     only are no rows; other columns are not read; an empty table gives no rows.
     """
     rows = written(docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-                   .withColumn("row", F.monotonically_increasing_id()), "passage-texts")
+                   .withColumn("row", F.monotonically_increasing_id()), "passage-texts", "zstd")
     found = find_passages(rows, settings)
     keys = rows.select("row", "key")
     named = found.join(keys.withColumnRenamed("key", key), "row").join(
@@ -610,7 +609,7 @@ def without_repeats(docs: DataFrame, text: str = "text", settings: Settings = Se
     """
     names = docs.columns
     rows = written(docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.col(text).alias("text"))
-                   .withColumn("row", F.monotonically_increasing_id()), "passage-texts")
+                   .withColumn("row", F.monotonically_increasing_id()), "passage-texts", "zstd")
     cuts = find_passages(rows, settings).groupBy("row").agg(
         F.collect_list(F.struct("first", "end")).alias("cuts"))
     marked = rows.join(cuts, "row", "left").select("doc", "text", "cuts")
