@@ -422,10 +422,17 @@ def _aligned(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         "row", "other", "lo", "other_lo", "here", "there", "words", "others"), s), "passages")
 
 
+#: Asked ranges up to this size (of rows and ranges in memory) go to the texts, not the texts to them.
+SENT_BYTES = 32 << 20
+
+
 def _slices(asked: DataFrame, texts: DataFrame) -> DataFrame:
     """Word hashes of the asked ranges (``row``, ``lo``, ``hi``) of the texts."""
     spans = asked.distinct().groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return written(_slice_rows(texts.join(spans, "row").select("row", "text", "spans")), "passage-slices")
+    spans = written(spans, "passage-spans")
+    held = spans.agg((64 * F.count(F.lit(1)) + 32 * F.coalesce(F.sum(F.size("spans")), F.lit(0))).alias("bytes")).first()
+    asking = F.broadcast(spans) if held["bytes"] <= SENT_BYTES else spans.hint("merge")
+    return written(_slice_rows(texts.join(asking, "row").select("row", "text", "spans")), "passage-slices")
 
 
 def _known(passages: DataFrame) -> DataFrame:
