@@ -98,9 +98,16 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Hadoop's names of schemes that pyarrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a shared folder's URI or of an absolute path."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else uri.replace(":", "://", 1))
+    if not uri.startswith("/"):
+        scheme, rest = uri.split(":", 1)
+        uri = f"{SCHEMES.get(scheme, scheme)}:{rest if rest.startswith('//') else '//' + rest}"
+    return fs.FileSystem.from_uri(uri)
 
 
 def put_file(folder: str, name: str, parts: Iterable[bytes]) -> str:
