@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bands import CREDIT_TIERS, band
 from ..functions.temporal import days_since
+from ..operators.skew import meet
 
 
 def average(total: Column, count: Column, places: int) -> Column:
@@ -69,22 +70,22 @@ def daily_collections(transactions: DataFrame) -> DataFrame:
     )
 
 
-def npa_watchlist(loans: DataFrame, customers: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Defaulted loans with their borrower; ``as_of`` defaults to today."""
+def npa_watchlist(loans: DataFrame, customers: DataFrame, as_of: Column | None = None, share: float | None = None) -> DataFrame:
+    """Defaulted loans with their borrower; ``as_of`` defaults to today. ``share``: see ``operators.skew.meet``."""
     as_of = F.current_date() if as_of is None else as_of
     borrowers = customers.select("customer_id", F.col("name").alias("borrower_name"), "city", "credit_score")
-    return loans.where("status = 'defaulted'").join(borrowers, "customer_id").select(
+    return meet(loans.where("status = 'defaulted'"), borrowers, "customer_id", share).select(
         "loan_id", "customer_id", "borrower_name", "city", "credit_score", "loan_type", "loan_amount",
         "interest_rate", "tenure_months", "disbursed_at",
         days_since(F.col("disbursed_at"), as_of).alias("days_since_disbursement"),
     )
 
 
-def default_risk_customers(customers: DataFrame, loans: DataFrame) -> DataFrame:
+def default_risk_customers(customers: DataFrame, loans: DataFrame, share: float | None = None) -> DataFrame:
     """Active loans of customers scoring below 650."""
     risky = customers.where("credit_score < 650").select("customer_id", "name", "city", "credit_score")
     active = loans.where("status = 'active'").select("customer_id", "loan_id", "loan_amount", "loan_type", "status")
-    return risky.join(active, "customer_id").select(
+    return meet(active, risky, "customer_id", share).select(
         "customer_id", "name", "city", "credit_score", "loan_id", "loan_amount", "loan_type", "status")
 
 

@@ -96,6 +96,30 @@ def npa_watchlist(b: Book) -> DataFrame:
     return gold.npa_watchlist(b.silver_loans, b.customers, b.as_of)
 
 
+_HOT_LOANS = """select s.* exclude (customer_id),
+  case when cast(substr(loan_id, 2) as bigint) % 3 = 0 then 'C1' else customer_id end customer_id from s_loans s"""
+
+
+def hot_loans(b: Book) -> DataFrame:
+    """The loans, every third of them moved to one customer."""
+    third = F.expr("cast(substr(loan_id, 2) as bigint) % 3 = 0")
+    return b.silver_loans.withColumn("customer_id", F.when(third, F.lit("C1")).otherwise(F.col("customer_id")))
+
+
+@query(f"with h_loans as ({_HOT_LOANS}) {NPA_SQL.replace('s_loans', 'h_loans')} /* s_loans */")
+def watchlist_hot_customer(b: Book) -> DataFrame:
+    """A third of all loans on one customer: its loans are salted, its row is repeated per salt."""
+    return gold.npa_watchlist(hot_loans(b), b.customers, b.as_of, share=0.05)
+
+
+@query(f"""
+with h_loans as ({_HOT_LOANS})
+select l.loan_id, c.name, c.credit_score from h_loans l join f_customers c on l.customer_id = c.customer_id
+where l.status = 'active' and c.credit_score < 640 and l.disbursed_at < date '{AS_OF}' - interval 90 day""")
+def default_candidates_hot_customer(b: Book) -> DataFrame:
+    return candidates.default_candidates(hot_loans(b), b.customers, b.as_of, share=0.05)
+
+
 @query(f"select loan_id, true counted from ({NPA_SQL}) n where disbursed_at is not null")
 def npa_today(b: Book) -> DataFrame:
     """Days count up to the current date unless one is given."""
