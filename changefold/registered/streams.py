@@ -16,7 +16,7 @@ from ..plans.refresh import Layout, land, quality_report, refresh, silver_tables
 from ..plans.silver import fixed_transactions
 from ..session import scratch
 from ..sources.bronze import bronze_events, project, read_bronze
-from ..sources.landing import landing_path, start_landing
+from ..sources.landing import hour_tasks, landing_path, start_landing
 from ..sources.registry import SchemaRegistry
 from ..sources.tables import current_table
 from ..streaming.facts import fact_changes, log_version, split_outputs, start_quarantine, start_split, start_valid
@@ -29,25 +29,30 @@ from .cdc import SCD1_SQL
 from .loanbook import NPA_SQL, PORTFOLIO_SQL, RISK_SQL
 
 _STEPS = 5
-TASKS_PER_HOUR = 1  # the test feed spreads over hundreds of hours
 
 
-def event_messages(b: Book) -> DataFrame:
+def event_messages(b: Book, hot: str | None = None) -> DataFrame:
     """The event table as a stream of change messages, spread by offset like a topic with partitions."""
-    events = b.stream("events").repartition("event_id")
+    return _messages(b.stream("events").repartition("event_id"), hot)
+
+
+def _messages(events: DataFrame, hot: str | None = None) -> DataFrame:
+    """Change messages of events; ``hot`` is a time at which every third of them arrives instead of its own."""
     op = F.expr("case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end")
     moment = F.col("ts").cast("timestamp")
+    arrived = moment if hot is None else F.when(F.col("event_id") % 3 == 0, F.lit(hot).cast("timestamp")).otherwise(moment)
     value = F.to_json(F.struct(
         "user_id", "event_type", "value", "props", op.alias("__op"), F.unix_millis(moment).alias("__ts_ms"),
         F.lit("user_events").alias("__table")))
     return events.select(
         F.lit("bank.public.user_events").alias("topic"), F.col("event_id").alias("offset"),
-        moment.alias("timestamp"), value.cast("binary").alias("value"))
+        arrived.alias("timestamp"), value.cast("binary").alias("value"))
 
 
-def land_events(b: Book, root: str) -> str:
+def land_events(b: Book, root: str, hot: str | None = None, rows_per_task: int = 1_000_000) -> str:
     start_landing(
-        event_messages(b), f"{root}/landing", f"{root}/checkpoints/landing", interval=None, tasks_per_hour=TASKS_PER_HOUR,
+        event_messages(b, hot), f"{root}/landing", f"{root}/checkpoints/landing", interval=None,
+        tasks_per_hour=hour_tasks(_messages(b.table("events"), hot), rows_per_task),
     ).awaitTermination()
     return landing_path(f"{root}/landing", "user_events")
 
@@ -77,12 +82,26 @@ def landing_partitions(b: Book) -> DataFrame:
     return landed.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("events"))
 
 
+_HOT_HOUR = "2024-01-15 12:30:00"
+_HOT_ROWS = 500
+
+
+@query(f"""
+select {_HOUR}, count(*) events, count(*) >= 2 * {_HOT_ROWS} split
+from (select case when event_id % 3 = 0 then timestamp '{_HOT_HOUR}' else ts end ts from events) e group by all""")
+def landing_hot_hour(b: Book) -> DataFrame:
+    """A third of all events arrives in one hour: several tasks write it, each other hour is one file."""
+    landed = b.spark.read.text(land_events(b, scratch(b.spark, "hot-hour"), _HOT_HOUR, _HOT_ROWS))
+    return landed.withColumn("file", F.input_file_name()).groupBy("year", "month", "day", "hour").agg(
+        F.count(F.lit(1)).alias("events"), (F.count_distinct("file") > 1).alias("split"))
+
+
 @query(f"select {_HOUR}, cast(ceil(count(*) / 20.0) as bigint) files from events group by all")
 def landing_files(b: Book) -> DataFrame:
     """A file closes after twenty events: each hour, gathered in one task, has as many as that takes."""
     root = scratch(b.spark, "files")
     start_landing(
-        event_messages(b), f"{root}/landing", f"{root}/checkpoint", interval=None, max_records=20, tasks_per_hour=TASKS_PER_HOUR,
+        event_messages(b), f"{root}/landing", f"{root}/checkpoint", interval=None, max_records=20, tasks_per_hour=1,
     ).awaitTermination()
     landed = b.spark.read.text(landing_path(f"{root}/landing", "user_events"))
     return landed.select("year", "month", "day", "hour", F.input_file_name().alias("file")).distinct().groupBy(

@@ -130,13 +130,38 @@ def read_landing(spark: SparkSession, path: str, since: str | None = None) -> Da
     return lines.where(F.struct(*PARTITIONS) >= bound)
 
 
+def hour_tasks(events: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
+    """``(table, year, month, day, hour, tasks)`` of the hours of a backlog that one task should not write alone.
+
+    ``events`` is the backlog as a batch frame of the transport's shape; values are not read, so counting is
+    cheap. Dead letters are found only when messages are parsed, so theirs go by all messages of the hour.
+    There are at most two rows for every ``rows_per_task`` messages.
+    """
+    parts = [F.date_format(F.col("timestamp"), p).alias(name) for name, p in PARTITIONS.items()]
+    counts = route(events).select("table", *parts).groupBy("table", *PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
+    dead = counts.groupBy(*PARTITIONS).agg(F.sum("n").alias("n")).withColumn("table", F.lit(DEAD_LETTERS))
+    return counts.unionByName(dead).groupBy("table", *PARTITIONS).agg(
+        F.ceil(F.max("n") / F.lit(rows_per_task)).cast("int").alias("tasks")).where("tasks > 1")
+
+
+def _salt(lines: DataFrame, tasks: int | DataFrame) -> DataFrame:
+    """Lines of one table and hour gathered in as many tasks as asked for, in equal parts."""
+    salt = F.xxhash64("value")
+    if isinstance(tasks, int):
+        return lines.repartition("table", *PARTITIONS, F.pmod(salt, F.lit(tasks)))
+    lines = lines.join(F.broadcast(tasks), ["table", *PARTITIONS], "left")  # few rows: see hour_tasks
+    partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number keeps AQE from merging shares
+    dealt = lines.repartition(partitions, "table", *PARTITIONS, F.pmod(salt, F.coalesce("tasks", F.lit(1))))
+    return dealt.select("table", "value", *PARTITIONS)
+
+
 def start_landing(
     events: DataFrame,
     root: str,
     checkpoint: str,
     interval: str | None = "30 seconds",
     max_records: int = 1_000_000,
-    tasks_per_hour: int | None = None,
+    tasks_per_hour: int | DataFrame | None = None,
 ) -> StreamingQuery:
     """Write every message below ``landing_path(root, its table)``, dead letters among them.
 
@@ -144,11 +169,12 @@ def start_landing(
     first; ``interval=None`` drains what is there and stops. Without ``tasks_per_hour`` nothing
     is shuffled and every task writes the hours it holds. A backlog spanning many hours would leave
     a file per task and hour; ``tasks_per_hour`` then gathers each hour in that many tasks, salted
-    by a hash of the event so that an hour with most of the events is split evenly too.
+    by a hash of the event so that an hour with most of the events is split evenly too. A number goes for
+    every hour; the frame ``hour_tasks`` gives several tasks to full hours only and one to each other.
     """
     lines = landing_lines(events)
-    if tasks_per_hour:
-        lines = lines.repartition("table", *PARTITIONS, F.pmod(F.xxhash64("value"), F.lit(tasks_per_hour)))
+    if tasks_per_hour is not None:
+        lines = _salt(lines, tasks_per_hour)
     writer = (
         lines.writeStream.format("text")
         .option("checkpointLocation", checkpoint)
