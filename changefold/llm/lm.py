@@ -11,6 +11,7 @@ exponentials is itself a matrix product, done once in blocks for all pairs of co
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections import Counter
@@ -70,7 +71,7 @@ class Lexicon:
     """What tasks know of the token counts: the most frequent tokens, and totals of all and of each class."""
     head: list[bytes]       # most frequent first; the first ``outcomes`` are outcomes of their own
     counts: np.ndarray
-    cut: float              # least size class of the head's counts
+    cut: int                # greatest size class that is not whole in the head
     outcomes: int
     classes: int
     total: int              # tokens
@@ -116,24 +117,54 @@ class _Endless:
 _MINUS = _Endless()
 
 
+#: Least and most outcomes of a model. The table of normalisers has a float for every pair of contexts, so 4,096
+#: outcomes with 256 classes take 76 MB in a Python worker.
+OUTCOMES = (256, 4096)
+
+
+def sizes_for(distinct: int) -> tuple[int, int]:
+    """Outcomes and classes of a model: twice the root of the number of different training tokens, and a sixteenth of that."""
+    outcomes = min(max(2 * math.isqrt(distinct), OUTCOMES[0]), OUTCOMES[1])
+    return outcomes, outcomes // 16
+
+
 def size_class():
     """64 classes to each power of e."""
     return F.floor(F.log("n") * 64).alias("size")
 
 
-def lexicon(counts: DataFrame, outcomes: int = 2048, classes: int = 128, head: int = 250_000) -> Lexicon:
+_BINS = 1 << 16
+
+
+def lexicon(counts: DataFrame, outcomes: int | None = None, classes: int | None = None, head: int = 250_000) -> Lexicon:
     """The bounded part of the counts that is sent to tasks: at most ``head`` tokens, the most frequent ones.
 
-    They are found by a histogram of the counts' logarithms, so tasks send the driver no more than these.
+    They are found by a histogram of the counts' logarithms, so tasks send the driver no more than these. Of the
+    last class of sizes, which may hold more tokens than there is room for, those with the least hashes are
+    taken. Outcomes and classes follow the number of different tokens unless given.
     """
     sizes = {r.size: r.types for r in counts.groupBy(size_class()).agg(F.count(F.lit(1)).alias("types")).collect()}
-    cut, held = float("inf"), 0
+    distinct = sum(sizes.values())
+    outcomes = sizes_for(distinct)[0] if outcomes is None else outcomes
+    classes = max(1, sizes_for(distinct)[1]) if classes is None else classes
+    cut, held = -1, 0  # all of greater size are in the head
     for size in sorted(sizes, reverse=True):
-        held += sizes[size]
-        if held > head:
+        if held + sizes[size] > head:
+            cut = size
             break
-        cut = size
-    top = counts.where(size_class() >= cut).toArrow()
+        held += sizes[size]
+    taken = size_class() > cut
+    if cut >= 0:
+        place = F.pmod(F.xxhash64("token"), F.lit(_BINS))
+        bins = {r.bin: r.types for r in counts.where(size_class() == cut).groupBy(place.alias("bin")).agg(
+            F.count(F.lit(1)).alias("types")).collect()}
+        below = 0
+        for below in range(_BINS):
+            held += bins.get(below, 0)
+            if held > head:
+                break
+        taken |= (size_class() == cut) & (place < below)
+    top = counts.where(taken).toArrow()
     share = F.pmod(F.crc32(F.expr("substring(token, -2, 2)")), F.lit(classes))
     sums = {r["class"]: (r["n"], r.types) for r in
             counts.groupBy(share.alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()}
@@ -224,19 +255,53 @@ class Scorer:
     """Normalised log-probabilities of a trained model."""
 
     def __init__(self, R: np.ndarray, Q: np.ndarray, C: np.ndarray, b: np.ndarray, log_z: np.ndarray | None = None, block: int = 256):
-        self.one, self.two, self.b = (R * C[0]) @ Q.T, (R * C[1]) @ Q.T, b
+        self.one, self.two, self.Q, self.b = R * C[0], R * C[1], Q, b
         if log_z is None:
-            top_one, top_two = self.one.max(axis=1, keepdims=True), (self.two + b).max(axis=1, keepdims=True)
-            left, right = np.exp(self.one - top_one), np.exp(self.two + b - top_two).T.copy()
-            log_z = np.empty((len(left), len(left)), np.float32)
-            for at in range(0, len(left), block):
-                sums = np.maximum(left[at:at + block] @ right, np.float32(1e-37))
-                log_z[at:at + block] = np.log(sums) + top_one[at:at + block] + top_two.T
+            right = self.two @ Q.T  # one row per second context
+            right += b
+            top_two = right.max(axis=1)
+            right -= top_two[:, None]
+            np.exp(right, out=right)
+            log_z = np.empty((len(R), len(R)), np.float32)
+            for at in range(0, len(R), block):
+                left = self.one[at:at + block] @ Q.T
+                top_one = left.max(axis=1, keepdims=True)
+                sums = np.maximum(np.exp(left - top_one) @ right.T, np.float32(1e-37))
+                log_z[at:at + block] = np.log(sums) + top_one + top_two
         self.log_z = log_z
 
     def log_probability(self, one: np.ndarray, two: np.ndarray, out: np.ndarray) -> np.ndarray:
         """Natural logarithms of the outcomes' probabilities after their two contexts."""
-        return (self.one[one, out] + self.two[two, out] + self.b[out] - self.log_z[one, two]).astype(np.float64)
+        fit = np.empty(len(out), np.float32)
+        for at in range(0, len(out), 1 << 15):
+            own = slice(at, at + (1 << 15))
+            fit[own] = np.einsum("ij,ij->i", self.one[one[own]] + self.two[two[own]], self.Q[out[own]])
+        return (fit + self.b[out] - self.log_z[one, two]).astype(np.float64)
+
+
+def draw_texts(docs: DataFrame, text: str, total: int, wanted: int, longest: int = 4 << 20) -> list[bytes]:
+    """Different texts of about ``wanted`` tokens, at most 100 bytes for each of these, in an order of their own.
+
+    Texts are drawn by their hash and made distinct, so copies count once; where that gives too little (most
+    rows are copies) or too much (few long texts), they are drawn again at another rate. Texts of more than
+    ``longest`` bytes are left to the training on all rows.
+    """
+    draw = F.shiftrightunsigned(F.xxhash64(text), 11) / F.lit(2.0 ** 53)
+    some = docs.select(text).where(F.octet_length(text).between(1, longest))
+    share, best = min(1.0, wanted / total), None
+    for _ in range(8):
+        drawn = some.where(draw < share).distinct()
+        size = drawn.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        if size > 100 * wanted:
+            share *= 8 * wanted / size
+            if best is not None:
+                break
+            continue
+        best = drawn
+        if size >= 2 * wanted or share >= 1:
+            break
+        share = min(1.0, share * 8)
+    return [] if best is None else sorted(r[0].encode() for r in best.toLocalIterator())
 
 
 def train_model(docs: DataFrame, words: Lexicon, text: str = "text", size: int = 32, sample_tokens: int = 300_000,
@@ -251,9 +316,7 @@ def train_model(docs: DataFrame, words: Lexicon, text: str = "text", size: int =
     model = Model(words.unigram, size)
     random = np.random.default_rng(11)
     if words.total:
-        draw = F.shiftrightunsigned(F.xxhash64(text), 11) / F.lit(2.0 ** 53)
-        some = [r[0] for r in docs.select(text).where(draw < min(1.0, sample_tokens / words.total)).toLocalIterator()]
-        sample = sorted(t.encode() for t in some if t)
+        sample = draw_texts(docs, text, words.total, sample_tokens)
         if sample:
             out, _, starts, _ = words.encode(sample)
             for _ in range(epochs):
@@ -302,12 +365,12 @@ PARTS = [
 
 
 def score_documents(docs: DataFrame, train: DataFrame, key: str = "doc_id", text: str = "text", head: int = 250_000,
-                    outcomes: int = 2048, classes: int = 128, size: int = 32) -> DataFrame:
+                    outcomes: int | None = None, classes: int | None = None, size: int = 32) -> DataFrame:
     """(key, other columns of ``docs`` but the text) with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Counts and model come from all of ``train``; both scores are log10 of whole texts, the end included.
     The ``head`` most frequent tokens are known to every task; counts of rarer ones are joined, one row per
-    text and token. NULL and empty texts are an end only; rows are scored one by one, whatever their
+    text and token. Outcomes and classes grow with the training tokens (``sizes_for``). NULL and empty texts are an end only; rows are scored one by one, whatever their
     key; columns named like the results are replaced; without training text every token has the base
     probability 1 of the one unseen token.
     """
@@ -354,7 +417,7 @@ def score_documents(docs: DataFrame, train: DataFrame, key: str = "doc_id", text
     parts = append_columns(rows, ["text"], PARTS, start).drop("text").withColumn("id", F.monotonically_increasing_id())
     parts = written(parts, "lm-parts")
     rare = parts.select("id", F.explode("rare").alias("r")).select("id", "r.token", "r.times")
-    found = rare.join(counts.where(size_class() < words.cut), "token", "left")
+    found = rare.join(counts.where(size_class() <= words.cut), "token", "left")
     n = F.coalesce("n", F.lit(0))
     sums = found.groupBy("id").agg(
         F.sum(F.col("times") * F.log10(n + F.lit(SMOOTH))).alias("log_counts"),
