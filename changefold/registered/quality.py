@@ -12,6 +12,8 @@ from ..operators.reconcile import (
 )
 from ..operators.rules import CHECKS, CUSTOMER_RULES, LOAN_RULES, REQUIRED, TXN_RULES
 from ..plans import gold
+from ..session import scratch
+from ..streaming.references import References
 from .book import LOAN_OK, TXN_OK, TXN_ORDER, TXN_TYPES_SQL, Book, query
 
 _TXN = ("txn_id", "loan_id", "amount", "txn_type", "txn_date")
@@ -140,13 +142,26 @@ def pk_violations(b: Book) -> DataFrame:
     return key_violations(b.transactions, ["txn_id"])
 
 
-@query("""
+_ORPHANS = """
 select t.loan_id, count(*) row_count from f_txns t where t.loan_id is not null
-  and not exists (select 1 from s_loans l where l.loan_id = t.loan_id) group by t.loan_id""")
+  and not exists (select 1 from s_loans l where l.loan_id = t.loan_id) group by t.loan_id"""
+
+
+@query(_ORPHANS)
 def fk_orphans(b: Book) -> DataFrame:
     return foreign_key_orphans(b.transactions, "loan_id", b.silver_loans, "loan_id")
 
 
+@query(_ORPHANS)
+def fk_orphans_incremental(b: Book) -> DataFrame:
+    """Payments and loans in three batches, of which a payment's may come before its loan's."""
+    references = References(b.spark, scratch(b.spark, "references"), "loan_id")
+    for n in range(3):
+        in_batch = lambda *key: F.pmod(F.xxhash64(*key), F.lit(3)) == n
+        references.apply(n + 1, b.transactions.where(in_batch("txn_id", "l_partkey", "loan_id")), b.silver_loans.where(in_batch("loan_id")))
+    return references.orphans()
+
+
 _ABSENT_ORDER = ", ".join(f"{c} asc nulls first" for c in TXN_ORDER)
 
 
