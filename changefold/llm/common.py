@@ -68,13 +68,18 @@ def held(key: tuple, build: Callable[[], object]) -> object:
     every operator. Models turn the cycle search off for their memos, so it is run here.
     """
     if key not in _HELD:
-        _HELD.clear()
-        gc.enable()
-        gc.collect()
+        let_go()
         _HELD[key] = build()
     return _HELD[key]
 
 
+def let_go() -> None:
+    """Give up the model this Python worker holds, before work that needs the room and no model."""
+    _HELD.clear()
+    gc.enable()
+    gc.collect()
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

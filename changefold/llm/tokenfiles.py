@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 import zstandard
 
 from .chunks import Memo, chunks
-from .common import held, open_fs, pieces, put_file, tasks, written
+from .common import held, let_go, open_fs, pieces, put_file, tasks, written
 
 MAGIC = b"WVMX0001"
 BLOCK, FRAME = 512, 1 << 16  # bits per rank entry, bytes per compressed frame
@@ -203,7 +203,7 @@ class LibraryEncoder:
             raise ValueError("the vocabulary needs a plain added token, and no other kind")
         self.added = [t["content"] for t in plain]
         self.mark, self.mark_id = plain[0]["content"], plain[0]["id"]
-        self.memo = Memo(self._encode, room=1_000_000)
+        self.memo = Memo(self._encode, room=300_000)  # some 60 MB a worker
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -290,6 +290,7 @@ def read_token_files(shards: DataFrame, key_type: str = "long") -> DataFrame:
     placed = shards.select("path", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("base"))
 
     def run(batches: Iterable[pa.RecordBatch]):
+        let_go()  # a worker that wrote files still has the encoder and its memo
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 system, own = open_fs(path)
