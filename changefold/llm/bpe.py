@@ -29,6 +29,8 @@ from .common import append_columns, held
 
 #: How the published byte-level vocabularies split text before merging (a fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Bytes of a word whose tokens are looked up together.
+HEAD = 4
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,7 +54,6 @@ class Automaton:
         #: For each token, the tokens its arcs stem from and the rule up to which each stood for it.
         self.stems: dict[int, tuple[tuple[int, float], ...]] = {
             t: ((t, float("inf")),) for t, label in enumerate(labels) if len(label) == 1}
-        self.arcs: dict[int, bool] = {}
         for k, (u, v, merged) in enumerate(rules):
             if merged in self.stems or u not in self.stems or v not in self.stems or not self.arc(self.target[u], v):
                 continue  # the pair never stands side by side, or the token has been made before
@@ -70,6 +71,10 @@ class Automaton:
         self.trie = {label[:i]: -1 for label in self.tokens for i in range(1, len(label))} | self.tokens
         if any(bytes([b]) not in self.tokens for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
+        #: The transition table as far as it was read: per state, the state a token leads to, -1 without an arc.
+        self.table: list[dict[int, int]] = [{} for _ in self.gadgets]
+        self.read = 0
+        self.heads: dict[bytes, tuple[tuple[tuple[int, int], ...], bool]] = {}
 
     def arc(self, state: int, token: int) -> bool:
         """Whether ``state`` has an arc ``token``: none of its gadgets dropped what that arc stems from."""
@@ -81,46 +86,81 @@ class Automaton:
                     return False
         return True
 
+    def _head(self, head: bytes) -> tuple[tuple[tuple[int, int], ...], bool]:
+        """(length, token) of the tokens ``head`` begins with, shortest first, and whether it begins longer ones."""
+        fitting, deeper = [], False
+        for size in range(1, len(head) + 1):
+            token = self.trie.get(head[:size])
+            if token is None:
+                break
+            if token >= 0:
+                fitting.append((size, token))
+        else:
+            deeper = len(head) == HEAD
+        if len(self.heads) >= 100_000:
+            self.heads.clear()
+        found = self.heads[head] = tuple(fitting), deeper
+        return found
+
+    def _lead(self, state: int, token: int) -> int:
+        """Read an arc into the table; at most 250,000 are kept."""
+        if self.read >= 250_000:
+            for row in self.table:
+                row.clear()
+            self.read = 0
+        self.read += 1
+        led = self.table[state][token] = self.target[token] if self.arc(state, token) else -1
+        return led
+
     def encode(self, word: bytes) -> list[int]:
         """The one accepted token sequence that spells ``word``: long arcs first, back where none goes on.
 
         Each prefix has one accepted sequence, so a position is never reached twice.
         """
-        trie, arcs, target = self.trie, self.arcs, self.target
+        trie, table, heads = self.trie, self.table, self.heads
         size = len(word)
         ids: list[int] = []
-        open_arcs: list[tuple[int, list[tuple[int, int]]]] = []
-        at, state = 0, 0
+        open_arcs: list[tuple[int, int, tuple, int]] = []
+        at = state = 0
         while at < size:
-            fitting = []
-            for end in range(at + 1, size + 1):
-                token = trie.get(word[at:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    fitting.append((end, token))
+            head = word[at:at + HEAD]
+            fitting, deeper = heads.get(head) or self._head(head)
+            if deeper:
+                longer = []
+                for end in range(at + HEAD + 1, size + 1):
+                    token = trie.get(word[at:end])
+                    if token is None:
+                        break
+                    if token >= 0:
+                        longer.append((end - at, token))
+                if longer:
+                    fitting = (*fitting, *longer)
+            left = len(fitting)
             while True:
-                while not fitting:
+                while not left:
                     ids.pop()
-                    state, fitting = open_arcs.pop()
-                end, token = fitting.pop()
-                key = state << 20 | token
-                there = arcs.get(key)
-                if there is None:
-                    if len(arcs) >= 250_000:
-                        arcs.clear()
-                    there = arcs[key] = self.arc(state, token)
-                if there:
+                    at, state, fitting, left = open_arcs.pop()
+                left -= 1
+                length, token = fitting[left]
+                led = table[state].get(token)
+                if led is None:
+                    led = self._lead(state, token)
+                if led >= 0:
                     break
+            open_arcs.append((at, state, fitting, left))
             ids.append(token)
-            open_arcs.append((state, fitting))
-            at, state = end, target[token]
+            at += length
+            state = led
         return ids
 
     def decode(self, ids) -> bytes:
         return b"".join([self.labels[t] for t in ids])
 
 
+#: Token ids of a piece of text, the same as decimals joined by commas, and the bytes their arcs spell.
+Encoded = tuple[array, str, bytes]
+
+
 class Tokenizer:
     """Whole texts to token ids and back by the automaton, after a vocabulary file's text."""
 
@@ -148,23 +188,29 @@ class Tokenizer:
         self.words = regex.compile(SPLIT)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self.memo = Memo(self._chunks)
-        self.known: dict[str, list[int]] = {}  # ids of pre-split words, whatever stands beside them
+        self.names = [str(i) for i in range(n)]
+        self.known: dict[str, Encoded] = {}  # pre-split words, whatever stands beside them
+
+    def _encoded(self, ids) -> Encoded:
+        return array("H" if self.small else "I", ids), ",".join([self.names[i] for i in ids]), self.automaton.decode(ids)
 
-    def _chunks(self, texts: list[str]) -> list[tuple[array, str]]:
+    def _chunks(self, texts: list[str]) -> list[Encoded]:
         encode, known, find = self.automaton.encode, self.known, self.words.findall
         if len(known) > 150_000:
             known.clear()
         made = []
         for text in texts:
-            ids: list[int] = []
+            own = []
             for word in find(text):
-                own = known.get(word)
-                if own is None:
-                    own = encode(word.encode())
+                one = known.get(word)
+                if one is None:
+                    one = self._encoded(encode(word.encode()))
                     if len(word) <= 100:
-                        known[word] = own
-                ids += own
-            made.append((array("H" if self.small else "I", ids), ",".join(map(str, ids))))
+                        known[word] = one
+                own.append(one)
+            made.append(own[0] if len(own) == 1 else (
+                array("H" if self.small else "I", list(chain.from_iterable([ids for ids, _, _ in own]))),
+                ",".join([s for _, s, _ in own]), b"".join([label for _, _, label in own])))
         return made
 
     def _parts(self, text: str) -> list[str | int]:
@@ -178,16 +224,12 @@ class Tokenizer:
             at = m.end()
         return [p for p in [*parts, text[at:]] if p != ""]
 
-    def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
-        """Ids of each whole text, and the ids as decimals joined by commas."""
+    def encode_batch(self, texts: list[str | None]) -> list[list[Encoded]]:
+        """The encoded pieces of each whole text, in order."""
         parts = [self._parts(t or "") for t in texts]
         found = iter(self.memo.lookup([chunks(p) for ps in parts for p in ps if isinstance(p, str)]))
-        encoded = []
-        for ps in parts:
-            pieces = list(chain.from_iterable(next(found) if isinstance(p, str) else [((p,), str(p))] for p in ps))
-            encoded.append((list(chain.from_iterable(ids for ids, _ in pieces)),
-                            ",".join([s for _, s in pieces if s])))
-        return encoded
+        return [
+            list(chain.from_iterable([next(found) if isinstance(p, str) else [self._encoded((p,))] for p in ps])) for ps in parts]
 
     def decode(self, ids) -> str:
         return self.automaton.decode(ids).decode("utf-8", "replace")
@@ -225,14 +267,16 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep_ids: b
 
         def apply(texts):
             encoded = own.encode_batch(texts.to_pylist())
-            decoded = [own.decode(ids) for ids, _ in encoded]
+            decoded = [b"".join([label for _, _, label in text]).decode("utf-8", "replace") for text in encoded]
+            named = [",".join([s for _, s, _ in text if s]) for text in encoded]
             made = [
-                pa.array([len(ids) for ids, _ in encoded], pa.int64()),
-                pa.array([hashlib.sha256(s.encode()).hexdigest() for _, s in encoded], pa.string()),
+                pa.array([sum([len(ids) for ids, _, _ in text]) for text in encoded], pa.int64()),
+                pa.array([hashlib.sha256(s.encode()).hexdigest() for s in named], pa.string()),
                 pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
             ]
             if keep_ids:
-                made += [pa.array([ids for ids, _ in encoded], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                made += [pa.array([list(chain.from_iterable([ids for ids, _, _ in text])) for text in encoded], pa.list_(pa.int32())),
+                         pa.array(decoded, pa.string())]
             return made
 
         return apply
