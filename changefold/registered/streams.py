@@ -154,18 +154,24 @@ def bronze_op_distribution(b: Book) -> DataFrame:
 @query("""
 select event_type, count(*) events, count(case when event_type in ('view', 'click') then 1 end) with_channel,
   cast(sum(case when event_type in ('view', 'click') then cast(value as decimal(18,2))
-    else cast(floor(value) as decimal(18,2)) end) as double) total
+    else cast(floor(value) as decimal(18,2)) end) as double) total,
+  cast(sum(case when event_type in ('view', 'click') then (cast(event_id as hugeint) + 1) * 10000000
+    else cast(event_id as hugeint) + 9007199254740993 end) as varchar) readings
 from events group by event_type""")
 def schema_evolution(b: Book) -> DataFrame:
-    """A first drop with whole amounts and no channel, a second with cents and a new field."""
+    """A first drop with whole amounts and no channel, a second with cents and a new field.
+
+    Readings are whole numbers no double keeps in the first drop, and doubles in the second.
+    """
     root = scratch(b.spark, "evolution")
     events = b.table("events")
     late = F.col("event_type").isin("view", "click")
     old = events.where(~late).select(F.to_json(F.struct(
-        F.col("event_id").alias("id"), "event_type", F.floor("value").alias("amount"))).alias("value"))
+        F.col("event_id").alias("id"), "event_type", F.floor("value").alias("amount"),
+        (F.col("event_id").cast("long") + 9007199254740993).alias("reading"))).alias("value"))
     new = events.where(late).select(F.to_json(F.struct(
         F.col("event_id").alias("id"), "event_type", F.col("value").alias("amount"),
-        F.lit("app").alias("channel"))).alias("value"))
+        F.lit("app").alias("channel"), ((F.col("event_id") + 1) * 1e7).cast("double").alias("reading"))).alias("value"))
     landing = f"{root}/landing"
     for drop in (old, new):
         drop.write.mode("append").text(landing)
@@ -173,7 +179,8 @@ def schema_evolution(b: Book) -> DataFrame:
     rows = project(bronze_events(read_bronze(b.spark, f"{root}/bronze")), registry.load())
     return rows.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"), F.count("channel").alias("with_channel"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"))
+        F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"),
+        F.sum(F.col("reading").cast("decimal(28,0)")).cast("string").alias("readings"))
 
 
 def follow_feed(b: Book, root: str, buckets: int = 16) -> Scd1Target:

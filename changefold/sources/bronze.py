@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NullType, StructType
 
 from .landing import PARTITIONS, parse_object
+from .registry import EXACT_DIGITS, measured
 from .versions import ensure_folder
 
 # Read on every pass over bronze, so kept as plain columns beside the event.
@@ -25,8 +26,11 @@ BRONZE_SCHEMA = ", ".join([
     *(f"{name} int" for name in PARTITIONS), "_ingest_ts timestamp", "_source_file string"])
 
 
-def bronze_rows(lines: DataFrame) -> DataFrame:
-    """Text lines (``value`` and path partitions) to bronze; a line that is no object stays as text."""
+def bronze_rows(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text lines (``value`` and path partitions) to bronze; a line that is no object stays as text.
+
+    ``keep`` names columns of the lines to carry along.
+    """
     event = parse_object(F.col("value"))
     partitions = [(F.col(c) if c in lines.columns else F.lit(None)).cast("int").alias(c) for c in PARTITIONS]
     parsed = lines.select(
@@ -38,6 +42,7 @@ def bronze_rows(lines: DataFrame) -> DataFrame:
         *partitions,
         F.current_timestamp().alias("_ingest_ts"),
         "_source_file",
+        *keep,
     )
 
 
@@ -54,6 +59,23 @@ def seen_schema() -> Column:
     return F.schema_of_variant_agg("event")
 
 
+def seen_long(text: Column | str) -> Column:
+    """Aggregate: a schema, as text, of just the fields with an exact number of more digits than a double keeps.
+
+    ``text`` is the event's JSON; only events where it has a long run of digits are looked into. Fields
+    inside objects and arrays are not told apart.
+    """
+    own = F.col(text) if isinstance(text, str) else text
+    fields = F.map_filter(F.col("event").cast("map<string,variant>"), lambda _, v: _many_digits(v))
+    suspect = own.rlike(f"[0-9.]{{{EXACT_DIGITS + 1}}}")
+    return F.schema_of_variant_agg(F.when(suspect, F.to_variant_object(fields)))
+
+
+def _many_digits(value: Column) -> Column:
+    digits = F.regexp_replace(F.regexp_replace(F.try_variant_get(value, "$", "string"), "[-.]", ""), "^0+", "")
+    return F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL)") & (F.length(digits) > EXACT_DIGITS)
+
+
 def parse_seen(text: str | None) -> StructType:
     """What ``seen_schema`` returned, as a type. Back-quoted names are left untouched."""
     if not text or not text.startswith("OBJECT<"):
@@ -63,7 +85,8 @@ def parse_seen(text: str | None) -> StructType:
 
 
 def discover_schema(bronze: DataFrame) -> StructType:
-    return parse_seen(bronze.agg(seen_schema()).first()[0])
+    seen, long = bronze.agg(seen_schema(), seen_long(F.col("event").cast("string"))).first()
+    return measured(parse_seen(seen), parse_seen(long))
 
 
 def variant_field(column: str, name: str, data_type: str) -> Column:
@@ -90,11 +113,12 @@ def project(bronze: DataFrame, schema: StructType, hints: StructType | None = No
     A field never seen with a value has no type yet and is left out, unless hinted. ``_misfits`` names the
     hinted fields whose value does not fit, which come out NULL.
     """
-    known = {f.name: f.dataType for f in schema.fields if not isinstance(f.dataType, NullType)}
-    known.update({f.name: f.dataType for f in hints.fields} if hints else {})
+    known = {f.name: f for f in schema.fields if not isinstance(f.dataType, NullType)}
+    known.update({f.name: f for f in hints.fields} if hints else {})
     beside = [c for c in bronze.columns if c not in ("event", "_corrupt_record")]
     return bronze.select(
-        *(variant_field("event", name, t.simpleString()).alias(name) for name, t in known.items() if name not in beside),
+        *(variant_field("event", name, f.dataType.simpleString()).alias(name, metadata=f.metadata)
+          for name, f in known.items() if name not in beside),
         *beside,
         *([misfits("event", hints).alias("_misfits")] if hints else []),
     )

@@ -82,6 +82,14 @@ class VersionedDir:
     def read_note(self, version: int) -> str:
         return self.spark.read.text(self.path(version)).first().value
 
+    def read_notes(self) -> list[str]:
+        """All notes in order of their versions, read by one job."""
+        paths = [self.path(v) for v in self.committed()]
+        if not paths:
+            return []
+        rows = self.spark.read.text(paths).select(F.regexp_extract("_metadata.file_path", f"{PREFIX}([0-9]+)", 1).cast("long").alias("v"), "value")
+        return [r.value for r in sorted(rows.collect(), key=lambda r: r.v)]
+
     def remove(self, version: int, part: str = "") -> None:
         """Delete a superseded version, or one folder of it."""
         Path, fs = self._fs()

@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..sources.bronze import bronze_rows, discover_schema, parse_seen, read_bronze, seen_schema
-from ..sources.registry import SchemaRegistry, widen
+from ..sources.bronze import bronze_rows, discover_schema, parse_seen, read_bronze, seen_long, seen_schema
+from ..sources.registry import SchemaRegistry, measured, widen
 
 _METRICS = "bronze"
 
@@ -28,12 +28,13 @@ def start_bronze(
     every batch is measured while it is written, without a second read.
     """
     lines = spark.readStream.option("maxBytesPerTrigger", max_bytes).text(landing)
-    rows = bronze_rows(lines).observe(
+    rows = bronze_rows(lines, ("value",)).observe(
         _METRICS,
         seen_schema().alias("seen"),
+        seen_long("value").alias("long"),
         F.count_if(F.col("event").isNotNull()).alias("events"),
         F.count_if(F.col("event").isNull()).alias("malformed"),
-    )
+    ).drop("value")
     writer = (
         rows.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", bronze)
@@ -44,8 +45,9 @@ def start_bronze(
 
 def remember(query: StreamingQuery, registry: SchemaRegistry) -> StructType:
     """Merge the schemas a bronze query has reported into the registry."""
-    seen = [p.observedMetrics[_METRICS].seen for p in query.recentProgress if _METRICS in p.observedMetrics]
-    return registry.merge(reduce(widen, map(parse_seen, seen), StructType([])))
+    reports = [p.observedMetrics[_METRICS] for p in query.recentProgress if _METRICS in p.observedMetrics]
+    seen = (measured(parse_seen(r.seen), parse_seen(r.long)) for r in reports)
+    return registry.merge(reduce(widen, seen, StructType([])))
 
 
 def drain_bronze(spark: SparkSession, registry: SchemaRegistry, query: StreamingQuery, bronze: str) -> None:
