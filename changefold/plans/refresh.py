@@ -15,12 +15,13 @@ from ..operators.rules import TXN_RULES
 from ..schemas import CUSTOMERS, LOANS, TABLES, TRANSACTIONS
 from ..session import prepare
 from ..sources.bronze import read_bronze, stream_bronze
-from ..sources.landing import landing_path, start_landing
+from ..sources.landing import LANDED, landing_path, start_landing
 from ..sources.registry import SchemaRegistry
 from ..sources.tables import current_table, publish
 from ..sources.versions import VersionedDir, has_entries, remove_folder
-from ..streaming.facts import fact_changes, keep_quality, kept_quality, log_version, split_outputs, start_split
-from ..streaming.ingest import drain_bronze, start_bronze
+from ..streaming import ledger
+from ..streaming.facts import FOUND, QUALITY, TAKEN, fact_changes, keep_quality, kept_quality, log_version, split_outputs, start_split
+from ..streaming.ingest import INGESTED, drain_bronze, start_bronze
 from ..streaming.scd1 import Scd1Target
 from . import gold, incremental
 from .silver import (
@@ -70,6 +71,10 @@ class Layout:
     def silver_checkpoint(self, table: str, generation: int) -> str:
         return self.checkpoint(f"silver/{generation}/{table}")
 
+    def ledger(self) -> str:
+        """Counts of landing and bronze; a build of silver has its own beside its tables."""
+        return f"{self.root}/ledger"
+
     def registry(self, spark: SparkSession, table: str) -> SchemaRegistry:
         return SchemaRegistry(spark, f"{self.root}/checkpoints/schema/{table}")
 
@@ -83,7 +88,11 @@ class Layout:
 def land(events: DataFrame | Mapping[str, DataFrame], layout: Layout, **options) -> None:
     """Drain change topics into landing files: one query for all tables, also unknown ones, and dead letters."""
     everything = reduce(DataFrame.unionByName, events.values()) if isinstance(events, Mapping) else events
-    _finish([start_landing(everything, layout.landing(), layout.checkpoint("landing"), interval=None, **options)])
+    query = start_landing(
+        everything, layout.landing(), layout.checkpoint("landing"), interval=None, tables=list(TABLES), **options)
+    _finish([query])
+    seen = ledger.notes(query, "landing", "", [LANDED])
+    ledger.keep(everything.sparkSession, layout.ledger(), [(step, name, b, "landed", n) for step, _, b, name, n in seen])
 
 
 def _finish(queries: Iterable[StreamingQuery]) -> None:
@@ -107,6 +116,10 @@ def ingest(spark: SparkSession, layout: Layout) -> None:
     _finish(started.values())
     for table, query in started.items():
         drain_bronze(spark, layout.registry(spark, table), query, layout.bronze(table))
+    names = {"events": "parsed", "malformed": "malformed"}
+    ledger.keep(spark, layout.ledger(), [
+        (step, t, b, names[m], n) for table, query in started.items()
+        for step, t, b, m, n in ledger.notes(query, "bronze", table, [INGESTED])])
 
 
 def build_silver(
@@ -128,6 +141,7 @@ def build_silver(
         facts, layout.silver_checkpoint(TRANSACTIONS.name, generation)))
     _finish(queries)
     keep_quality(queries[-1], f"{facts}_quality")
+    ledger.keep(spark, f"{facts}_ledger", ledger.notes(queries[-1], "silver", TRANSACTIONS.name, [TAKEN, QUALITY, FOUND]))
 
 
 def rebuild_silver(spark: SparkSession, layout: Layout, unit: str = "ms", buckets: int = 32) -> None:
@@ -214,6 +228,25 @@ def quality_report(spark: SparkSession, layout: Layout, threshold: float = 95.0,
         "table_name", "checked", "rejected", F.round(share, 2).alias("pass_rate"), (share < threshold).alias("breached"))
 
 
+def ledger_report(spark: SparkSession, layout: Layout, buckets: int = 32) -> DataFrame:
+    """``ledger.reconcile`` of every table, unknown topics together as ``others``, from counts taken while writing.
+
+    Landing and bronze count from the beginning; silver since its last rebuild, which takes all of bronze anew.
+    """
+    counted = ledger.totals(ledger.ledger(spark, layout.ledger())).drop("step")
+    facts = ledger.ledger(spark, f"{layout.silver(spark, TRANSACTIONS.name)}_ledger")
+    per_batch = facts.groupBy("step", "table_name", "batch").pivot("measure", ["taken", "checked", "rejected", "valid"]).agg(F.sum("n"))
+    per_batch = per_batch.withColumn("deletes", F.col("taken") - F.col("checked")).drop("taken").unpivot(
+        ["step", "table_name", "batch"], ["checked", "rejected", "valid", "deletes"], "measure", "n")
+    folds = [
+        (t.name, measure, n, 0)
+        for t, target in ((CUSTOMERS, layout.customers(spark, buckets=buckets)), (LOANS, layout.loans(spark, buckets=buckets)))
+        if target.exists()
+        for measure, n in zip(("checked", "rejected", "deletes"), (*target.quality(), target.deleted()))]
+    return ledger.reconcile(counted.unionByName(ledger.totals(per_batch).drop("step")).unionByName(
+        spark.createDataFrame(folds, "table_name string, measure string, n long, gaps long")))
+
+
 def refresh(
     spark: SparkSession,
     layout: Layout,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.fold import live, op_distribution
 from ..operators.rules import TXN_RULES, all_failures
 from ..plans import incremental
-from ..plans.refresh import Layout, land, quality_report, refresh, silver_tables
+from ..plans.refresh import Layout, land, ledger_report, quality_report, refresh, silver_tables
 from ..plans.silver import fixed_transactions
 from ..session import scratch
 from ..sources.bronze import bronze_events, project, read_bronze
@@ -450,6 +450,23 @@ _STRANGE = """case when l_partkey % 19 = 0 then 'dead_letters' when l_partkey %
 _LOST = "(l_partkey % 13 = 0 or l_partkey % 17 = 0)"
 
 
+def _strange_refreshed(b: Book) -> Layout:
+    layout = Layout(scratch(b.spark, "conservation"), views=False)
+    numbered = b.transactions.withColumn("_n", F.monotonically_increasing_id())
+    value = F.to_json(F.struct(
+        F.when(F.expr("l_partkey % 23 <> 0"), F.col("txn_id")).alias("txn_id"), "loan_id",
+        F.when(F.expr("l_partkey % 13 = 0"), F.lit(123456789012.5)).otherwise(F.col("amount").cast("double")).alias("amount"),
+        "txn_type", F.when(F.expr("l_partkey % 17 = 0"), F.lit(10 ** 9)).otherwise(F.unix_date("txn_date")).alias("txn_date"),
+        F.col("op").alias("__op"), F.lit(1).alias("__ts_ms")))
+    messages = numbered.select(
+        F.concat(F.lit("bank.public."), F.expr(_STRANGE)).alias("topic"), F.expr("cast(_n % 2 as int)").alias("partition"),
+        F.expr("_n div 2").alias("offset"), F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"),
+        F.when(F.expr("l_partkey % 19 = 0"), F.lit("{broken")).otherwise(value).cast("binary").alias("value"))
+    land(in_pieces(b, messages, f"{layout.root}/topics"), layout, tasks_per_hour=8)
+    refresh(b.spark, layout)
+    return layout
+
+
 @query(f"""
 with m as (select *, {_STRANGE} table_name, coalesce({TXN_OK}, false) and not {_LOST} and l_partkey % 23 <> 0 ok from f_txns)
 select table_name, count(*) landed, count(case when table_name = 'transactions' and op = 'd' then 1 end) deletes,
@@ -465,19 +482,7 @@ def conservation(b: Book) -> DataFrame:
     amount that does not fit or a date in a wrong unit. What has landed is valid, a copy, a delete or in
     quarantine. Copies are counted in bronze.
     """
-    layout = Layout(scratch(b.spark, "conservation"), views=False)
-    numbered = b.transactions.withColumn("_n", F.monotonically_increasing_id())
-    value = F.to_json(F.struct(
-        F.when(F.expr("l_partkey % 23 <> 0"), F.col("txn_id")).alias("txn_id"), "loan_id",
-        F.when(F.expr("l_partkey % 13 = 0"), F.lit(123456789012.5)).otherwise(F.col("amount").cast("double")).alias("amount"),
-        "txn_type", F.when(F.expr("l_partkey % 17 = 0"), F.lit(10 ** 9)).otherwise(F.unix_date("txn_date")).alias("txn_date"),
-        F.col("op").alias("__op"), F.lit(1).alias("__ts_ms")))
-    messages = numbered.select(
-        F.concat(F.lit("bank.public."), F.expr(_STRANGE)).alias("topic"), F.expr("cast(_n % 2 as int)").alias("partition"),
-        F.expr("_n div 2").alias("offset"), F.lit(f"{AS_OF} 00:00:00").cast("timestamp").alias("timestamp"),
-        F.when(F.expr("l_partkey % 19 = 0"), F.lit("{broken")).otherwise(value).cast("binary").alias("value"))
-    land(in_pieces(b, messages, f"{layout.root}/topics"), layout, tasks_per_hour=8)
-    refresh(b.spark, layout)
+    layout = _strange_refreshed(b)
     landed = b.spark.read.text(layout.landing()).groupBy(F.col("table").alias("table_name")).agg(F.count(F.lit(1)).alias("landed"))
     silver = silver_tables(b.spark, layout)
     events = fixed_transactions(read_bronze(b.spark, layout.bronze("transactions")))
@@ -491,3 +496,20 @@ def conservation(b: Book) -> DataFrame:
     counts = reduce(lambda x, y: x.join(y, "table_name"), one)
     counts = counts.select("table_name", "deletes", "valid", (F.col("passing") - F.col("valid")).alias("duplicates"), "quarantined")
     return landed.join(counts, "table_name", "left").na.fill(0)
+
+
+@query(f"""
+with m as (select *, case when l_partkey % 19 = 0 then 'dead_letters' when l_partkey % 11 = 0 then 'others' else 'transactions' end table_name,
+  coalesce({TXN_OK}, false) and not {_LOST} and l_partkey % 23 <> 0 ok from f_txns),
+c as (select table_name, count(*) landed, count(case when op = 'd' then 1 end) deletes,
+  count(case when op <> 'd' then 1 end) checked, count(case when op <> 'd' and not ok then 1 end) rejected,
+  count(distinct case when op <> 'd' and ok then txn_id end) valid from m group by table_name)
+select table_name, landed, case when table_name = 'transactions' then landed end parsed,
+  case when table_name = 'transactions' then 0 end malformed, case when table_name = 'transactions' then deletes end deletes,
+  case when table_name = 'transactions' then checked end checked, case when table_name = 'transactions' then rejected end rejected,
+  case when table_name = 'transactions' then valid end valid,
+  case when table_name = 'transactions' then checked - rejected - valid end duplicates, 0 gaps, 'OK' status
+from c""")
+def count_ledger(b: Book) -> DataFrame:
+    """The feed of ``conservation``, every layer reconciled from counts taken while it was written: no table is read."""
+    return ledger_report(b.spark, _strange_refreshed(b)).where("landed > 0")

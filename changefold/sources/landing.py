@@ -116,6 +116,11 @@ def landing_lines(events: DataFrame) -> DataFrame:
     return lines.select("line.table", "line.value", *PARTITIONS)
 
 
+#: Observation of a landing query, and the count in it of lines of tables that were not named.
+LANDED = "landed"
+OTHERS = "others"
+
+
 def landing_path(root: str, table: str) -> str:
     return f"{root}/table={table}"
 
@@ -162,6 +167,7 @@ def start_landing(
     interval: str | None = "30 seconds",
     max_records: int = 1_000_000,
     tasks_per_hour: int | DataFrame | None = None,
+    tables: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write every message below ``landing_path(root, its table)``, dead letters among them.
 
@@ -170,9 +176,13 @@ def start_landing(
     is shuffled and every task writes the hours it holds. A backlog spanning many hours would leave
     a file per task and hour; ``tasks_per_hour`` then gathers each hour in that many tasks, salted
     by a hash of the event so that an hour with most of the events is split evenly too. A number goes for
-    every hour; the frame ``hour_tasks`` gives several tasks to full hours only and one to each other.
+    every hour; the frame ``hour_tasks`` gives several tasks to full hours only and one to each other. Each batch's
+    lines are counted while they are written (``LANDED``): dead letters, those of the named ``tables``, all others.
     """
-    lines = landing_lines(events)
+    name = F.col("table")
+    known = [*tables, DEAD_LETTERS]
+    lines = landing_lines(events).observe(
+        LANDED, *(F.count_if(name == t).alias(t) for t in known), F.count_if(~name.isin(known)).alias(OTHERS))
     if tasks_per_hour is not None:
         lines = _salt(lines, tasks_per_hour)
     writer = (

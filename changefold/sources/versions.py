@@ -70,8 +70,10 @@ class VersionedDir:
         return None
 
     def parts(self, version: int) -> list[str]:
-        """Names of the folders inside a version."""
+        """Names of the folders inside a version; none where a commit had nothing to write."""
         Path, fs = self._fs()
+        if not fs.exists(Path(self.path(version))):
+            return []
         return [s.getPath().getName() for s in fs.listStatus(Path(self.path(version))) if s.isDirectory()]
 
     def write_note(self, version: int, text: str) -> None:

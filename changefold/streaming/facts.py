@@ -22,7 +22,8 @@ from ..sources.versions import PREFIX, VersionedDir, ensure_folder
 
 #: Which event of a fact is its first.
 FIRST = ("__ts_ms", *EVENT_ID)
-_QUALITY = "quality"
+#: Observations of a split: events that came, those checked and rejected, and facts that are new.
+TAKEN, QUALITY, FOUND = "taken", "quality", "found"
 _VERSION = PREFIX.rstrip("=")
 #: What the log holds beside the fact's own columns.
 _LOG = (StructField("_fact", StringType()), StructField(_VERSION, IntegerType()),
@@ -133,7 +134,8 @@ def start_split(
     key fails (``missing_key``), as no copy of it could be told. Every failing event is kept, told from the
     others by ``EVENT_ID``; where that is NULL, by all its columns and a number drawn for it.
     """
-    checked = _identified(live(events))
+    taken = _identified(events).observe(TAKEN, F.count(F.lit(1)).alias("taken"))
+    checked = live(taken)
     keyless = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
     failed = F.concat(F.when(keyless, F.array(F.lit("missing_key"))).otherwise(F.array().cast("array<string>")),
                       all_failures(checked, rules))
@@ -142,10 +144,10 @@ def start_split(
     known = F.col(EVENT_ID[0]).isNotNull() & F.col(EVENT_ID[1]).isNotNull()
     event = F.when(known, F.concat_ws(":", *(F.col(c).cast("string") for c in EVENT_ID))).otherwise(F.expr("uuid()"))
     checked = checked.observe(
-        _QUALITY, F.count(F.lit(1)).alias("checked"), F.count_if(~F.col("_valid")).alias("rejected"))
+        QUALITY, F.count(F.lit(1)).alias("checked"), F.count_if(~F.col("_valid")).alias("rejected"))
     # a valid fact is told by its keys, a failing event by itself
     fact = F.when(F.col("_valid"), _key(list(keys))).otherwise(event)
-    rows = _firsts(checked, fact)
+    rows = _firsts(checked, fact).observe(FOUND, F.count_if(F.col("_valid") & ~F.col("_again")).alias("valid"))
     return _log(rows.withColumn("_quarantined_at", F.when(~F.col("_valid"), F.current_timestamp())), path, checkpoint, interval)
 
 
@@ -205,7 +207,7 @@ def fact_changes(spark: SparkSession, path: str, since: int, schema: StructType
 
 def keep_quality(query: StreamingQuery, path: str) -> None:
     """Keep the counts a drained ``start_split`` observed, batch by batch; a repeated batch overwrites its own."""
-    seen = [(p.batchId, p.observedMetrics[_QUALITY]) for p in query.recentProgress if _QUALITY in p.observedMetrics]
+    seen = [(p.batchId, p.observedMetrics[QUALITY]) for p in query.recentProgress if QUALITY in p.observedMetrics]
     if seen:
         spark = SparkSession.active()
         rows = spark.createDataFrame([(b, m.checked, m.rejected) for b, m in seen], "batch long, checked long, rejected long")

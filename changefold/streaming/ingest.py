@@ -11,7 +11,8 @@ from pyspark.sql.types import StructType
 from ..sources.bronze import bronze_rows, discover_schema, parse_seen, read_bronze, seen_long, seen_schema
 from ..sources.registry import SchemaRegistry, measured, widen
 
-_METRICS = "bronze"
+#: Observation of a bronze query.
+INGESTED = "bronze"
 
 
 def start_bronze(
@@ -29,7 +30,7 @@ def start_bronze(
     """
     lines = spark.readStream.option("maxBytesPerTrigger", max_bytes).text(landing)
     rows = bronze_rows(lines, ("value",)).observe(
-        _METRICS,
+        INGESTED,
         seen_schema().alias("seen"),
         seen_long("value").alias("long"),
         F.count_if(F.col("event").isNotNull()).alias("events"),
@@ -45,7 +46,7 @@ def start_bronze(
 
 def remember(query: StreamingQuery, registry: SchemaRegistry) -> StructType:
     """Merge the schemas a bronze query has reported into the registry."""
-    reports = [p.observedMetrics[_METRICS] for p in query.recentProgress if _METRICS in p.observedMetrics]
+    reports = [p.observedMetrics[INGESTED] for p in query.recentProgress if INGESTED in p.observedMetrics]
     seen = (measured(parse_seen(r.seen), parse_seen(r.long)) for r in reports)
     return registry.merge(reduce(widen, seen, StructType([])))
 

@@ -128,6 +128,10 @@ class Scd1Target:
         manifest = self._manifest()
         return manifest["checked"], manifest["rejected"]
 
+    def deleted(self) -> int:
+        """Delete events since the last full refresh."""
+        return self._manifest().get("deletes", 0)
+
     def of_keys(self, keys: DataFrame) -> DataFrame:
         """State of the given keys (a column per key), from the buckets they are in only."""
         manifest = self._manifest()
@@ -194,7 +198,8 @@ class Scd1Target:
         version = (self._manifests.latest() or 0) + 1
         horizon = manifest["horizon"]
         seen = Observation()
-        counts = [F.count_if(~F.col(IS_DELETE)).alias("checked"), F.count_if(F.size("_failed_rules") > 0).alias("rejected")]
+        counts = [F.count_if(~F.col(IS_DELETE)).alias("checked"), F.count_if(F.col(IS_DELETE)).alias("deletes"),
+                  F.count_if(F.size("_failed_rules") > 0).alias("rejected")]
         checked = self._checked(events, horizon)
         good = self._usable_rows(checked.observe(seen, *counts))
         old = _schema(manifest["schema"])
@@ -264,6 +269,7 @@ class Scd1Target:
             "deltas_after": deltas_after,
             "checked": manifest["checked"] + quality["checked"],
             "rejected": manifest["rejected"] + quality["rejected"],
+            "deletes": manifest.get("deletes", 0) + quality["deletes"],
         }))
         if self.vacuum_every and version % self.vacuum_every == 0:
             self.vacuum()
