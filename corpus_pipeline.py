@@ -15,6 +15,9 @@ from changefold.llm.common import written
 RESULTS = ("n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
 VOCABULARY = registered.vocabulary_path(registered.VOCABULARY)
 
+#: Keys of dropped documents up to this number are held by every executor; more are joined by a shuffle.
+SENT_KEYS = 1 << 20
+
 
 def _packed(docs: DataFrame) -> DataFrame:
     """The texts, every other column put by in ``doc``, so that no result of an operator meets a caller's column."""
@@ -41,10 +44,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share a key are one document, and stay or go together.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = written(kept, "pipeline-kept").withColumnRenamed("doc_id", "kept_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    found = simhash.near_duplicates(docs).groupBy("doc_id").agg(
+        F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    gone = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")), "pipeline-gone")
+    # few keys are sent to the documents, so that no text is shuffled for them
+    gone = F.broadcast(gone) if gone.count() <= SENT_KEYS else gone.hint("merge")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
