@@ -8,6 +8,8 @@ import sys
 
 #: Every white space a text may hold directly before a blank; without any of them a plain split is exact.
 _BEFORE_BLANK = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace())
+#: The same as a pattern for Arrow.
+BEFORE_BLANK = "[" + "".join(f"\\x{{{ord(pair[0]):x}}}" for pair in _BEFORE_BLANK) + "] "
 _CUT = re.compile(r"(?<=\S) ")
 assert not any(c.isspace() for c in map(chr, range(0x3001, sys.maxunicode + 1)))
 

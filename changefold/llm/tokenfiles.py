@@ -19,11 +19,12 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 import zstandard
 
-from .chunks import Memo, chunks
+from .chunks import BEFORE_BLANK, Memo, chunks
 from .common import held, let_go, open_fs, pieces, put_file, tasks, written
 
 MAGIC = b"WVMX0001"
@@ -32,10 +33,12 @@ BLOCK, FRAME = 512, 1 << 16  # bits per rank entry, bytes per compressed frame
 
 def build(ids: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
     """Packed bit planes (highest first) and the zeros in each."""
-    current = ids.astype(np.uint32)
+    depth = max(1, int(ids.max(initial=0)).bit_length())
+    narrow = np.uint16 if depth <= 16 else np.uint32
+    current = ids.astype(narrow)
     planes, zeros = [], []
-    for level in reversed(range(max(1, int(current.max(initial=0)).bit_length()))):
-        bits = (current >> np.uint32(level) & np.uint32(1)).astype(bool)
+    for level in reversed(range(depth)):
+        bits = (current & narrow(1 << level)).astype(bool)
         planes.append(np.packbits(bits, bitorder="little"))
         zeros.append(len(bits) - int(np.count_nonzero(bits)))
         current = np.concatenate([current[~bits], current[bits]])
@@ -164,18 +167,19 @@ class Shard:
 
     def all(self) -> np.ndarray:
         """All tokens, by undoing the planes from the lowest up."""
-        current = np.zeros(self.tokens, np.uint32)
+        narrow = np.uint16 if len(self.zeros) <= 16 else np.uint32
+        current = np.zeros(self.tokens, narrow)
         for plane in reversed(range(len(self.zeros))):
             frames = [self._frame(plane, f) for f in range(len(self._frame_ends[plane]))]
             packed = np.concatenate(frames) if frames else np.zeros(0, np.uint8)
             bits = np.unpackbits(packed, count=self.tokens, bitorder="little").view(bool)
             level, zeros = len(self.zeros) - 1 - plane, self.zeros[plane]
             below = current
-            current = np.empty(self.tokens, np.uint32)
+            current = np.empty(self.tokens, narrow)
             current[~bits] = below[:zeros]
-            current[bits] = below[zeros:] | np.uint32(1 << level)
+            current[bits] = below[zeros:] | narrow(1 << level)
             self._open.clear()
-        return current
+        return current.astype(np.uint32)
 
     def document(self, i: int) -> list[int]:
         """Token ids of the ``i``-th document."""
@@ -187,8 +191,9 @@ class Shard:
 class LibraryEncoder:
     """Whole texts by the tokenizers library; words that texts share are given to it once.
 
-    New chunks of a batch are encoded together with an added token between them, which the library
-    cuts out before anything else.
+    A batch is cut and its different chunks are found by Arrow. New ones are encoded together: those that hold
+    only the blank in front as one text, told apart by the tokens that begin with a blank; the others with an
+    added token between them, which the library cuts out before anything else.
     """
 
     def __init__(self, content: str):
@@ -197,35 +202,99 @@ class LibraryEncoder:
         self.library = Tokenizer.from_str(content)
         self.library.no_truncation()
         self.library.no_padding()
-        added = json.loads(content).get("added_tokens", [])
+        described = json.loads(content)
+        added = described.get("added_tokens", [])
         plain = [t for t in added if not any(t.get(k) for k in ("single_word", "lstrip", "rstrip"))]
         if len(plain) != len(added) or not plain:
             raise ValueError("the vocabulary needs a plain added token, and no other kind")
         self.added = [t["content"] for t in plain]
         self.mark, self.mark_id = plain[0]["content"], plain[0]["id"]
+        self.begins = _begins(described, self.added)
         self.memo = Memo(self._encode, room=300_000)  # some 60 MB a worker
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
     def _encode(self, texts: list[str]) -> list[bytes]:
-        made = []
-        for at in range(0, len(texts), 20_000):
-            part = texts[at:at + 20_000]
-            joined = self.library.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0]
-            ids = np.array(joined.ids, np.uint32)
+        made: list[bytes | None] = [None] * len(texts)
+        if self.begins is not None:
+            alone = [i for i, t in enumerate(texts) if t.rfind(" ") == 0 and not t[-1].isspace()]
+            for at in range(0, len(alone), 20_000):
+                part = alone[at:at + 20_000]
+                ids = self._ids("".join([texts[i] for i in part]))
+                starts = np.flatnonzero(self.begins[ids])
+                if len(starts) == len(part):
+                    raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                    for i, a, b in zip(part, cuts, cuts[1:]):
+                        made[i] = raw[a:b]
+        rest = [i for i, m in enumerate(made) if m is None]
+        for at in range(0, len(rest), 20_000):
+            part = rest[at:at + 20_000]
+            ids = self._ids(self.mark.join([texts[i] for i in part]))
             cuts = np.flatnonzero(ids == self.mark_id)
             raw, starts, ends = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            made += [raw[a:b] for a, b in zip(starts, ends)]
+            for i, a, b in zip(part, starts, ends):
+                made[i] = raw[a:b]
+        return made
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = column.cast(pa.large_string())  # chunks of a batch may have more than 2 GB of text
+        size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(column), bool)
+        for a in self.added:
+            whole |= pc.fill_null(pc.match_substring(column, a), False).to_numpy(zero_copy_only=False)
+        odd = pc.fill_null(pc.match_substring_regex(column, BEFORE_BLANK), False).to_numpy(zero_copy_only=False)
+        made = [np.zeros(0, np.uint32)] * len(column)
+        for i in np.flatnonzero(whole).tolist():
+            made[i] = self._whole(column[i].as_py())
+        plain, odd = (np.flatnonzero(rows & ~whole & (size > 0)) for rows in (~odd, odd))
+        if len(plain):
+            self._place(made, plain, pc.split_pattern(column.take(pa.array(plain)), " "))
+        if len(odd):
+            self._place(made, odd, pa.array([chunks(t) for t in column.take(pa.array(odd)).to_pylist()], pa.large_list(pa.large_string())))
         return made
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        lists = [[] if not t or any(a in t for a in self.added) else chunks(t) for t in texts]
-        found = self.memo.lookup(lists)
-        return [
-            np.frombuffer(b"".join(f), np.uint32) if f else self._whole(t) if t else np.zeros(0, np.uint32)
-            for t, f in zip(texts, found)
-        ]
+    def _place(self, made: list[np.ndarray], rows: np.ndarray, lists: pa.Array) -> None:
+        """Put the ids of texts, given by their chunks (one at least), at their rows."""
+        coded = lists.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        sizes = pc.list_value_length(lists).to_numpy()
+        first = np.cumsum(sizes) - sizes
+        begin = [[words[c]] for c in codes[first].tolist()]
+        spaced = np.ones(len(codes), bool)
+        spaced[first] = False
+        used = np.flatnonzero(np.bincount(codes[spaced], minlength=len(words)))
+        found = self.memo.lookup([[begin[0][0], *(words[c] for c in used.tolist())], *begin])
+        values = [*found[0][1:], *(f[0] for f in found[1:])]
+        number = np.zeros(len(words), np.int64)
+        number[used] = np.arange(len(used))
+        codes = number[codes]
+        codes[first] = len(used) + np.arange(len(first))
+        lengths = np.array([len(v) for v in values], np.int64) // 4
+        starts = np.cumsum(lengths) - lengths
+        own = lengths[codes]
+        ends = np.cumsum(own)
+        flat = np.frombuffer(b"".join(values), np.uint32)
+        ids = flat[np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - own), own)]
+        cuts = ends[first + sizes - 1].tolist()
+        for row, a, b in zip(rows.tolist(), [0, *cuts], cuts):
+            made[row] = ids[a:b]
+
+
+def _begins(described: dict, added: list[str]) -> np.ndarray | None:
+    """Which ids begin with a blank, for vocabularies whose pre-splitter leaves a blank in front of what follows."""
+    splitter = described.get("pre_tokenizer") or {}
+    known = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+    if not known or described.get("normalizer") or any(" " in a for a in added):
+        return None
+    vocab = described["model"]["vocab"]
+    begins = np.zeros(1 + max([*vocab.values(), *(t["id"] for t in described["added_tokens"])]), bool)
+    begins[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+    return begins
 
 
 def encoder(content: str) -> LibraryEncoder:
@@ -267,7 +336,7 @@ def write_token_files(docs: DataFrame, content, folder: str, key: str = "doc_id"
                 "documents": [len(keys)], "tokens": [held]})
 
         for batch in (piece for whole in batches for piece in pieces(whole, 2)):
-            for own_key, found in zip(batch.column(0).to_pylist(), own.encode(batch.column(2).to_pylist())):
+            for own_key, found in zip(batch.column(0).to_pylist(), own.encode(batch.column(2))):
                 keys.append(own_key)
                 ids.append(np.concatenate([found, tail]))
                 held += len(ids[-1])
