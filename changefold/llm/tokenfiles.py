@@ -24,27 +24,43 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 import zstandard
 
-from .chunks import BEFORE_BLANK, Memo, chunks
+from .chunks import BEFORE_BLANK, chunks
 from .common import held, let_go, open_fs, pieces, put_file, tasks, written
 
 MAGIC = b"WVMX0001"
 BLOCK, FRAME = 512, 1 << 16  # bits per rank entry, bytes per compressed frame
+STEP = 1 << 15  # tokens moved at a time, so that they and their places stay in the CPU's cache
 
 
 def build(ids: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
     """Packed bit planes (highest first) and the zeros in each."""
     depth = max(1, int(ids.max(initial=0)).bit_length())
     narrow = np.uint16 if depth <= 16 else np.uint32
-    current = ids.astype(narrow)
+    current = ids.astype(narrow, copy=False)
     planes, zeros = [], []
     for level in reversed(range(depth)):
-        bits = (current & narrow(1 << level)).astype(bool)
+        bits = (current & narrow(1 << level)) != 0
         planes.append(np.packbits(bits, bitorder="little"))
         zeros.append(len(bits) - int(np.count_nonzero(bits)))
-        current = np.concatenate([current[~bits], current[bits]])
+        sorted_by_bit = np.empty_like(current)
+        for at, zero, one, low, high in _blocks(bits, zeros[-1]):
+            own = current[at:at + STEP]
+            sorted_by_bit[low:low + len(zero)] = own.take(zero)
+            sorted_by_bit[high:high + len(one)] = own.take(one)
+        current = sorted_by_bit
     return planes, zeros
 
 
+def _blocks(bits: np.ndarray, zeros: int) -> Iterable[tuple[int, np.ndarray, np.ndarray, int, int]]:
+    """For every ``STEP`` tokens: where they begin, places of zeros and of ones in them, and where these go in the next plane."""
+    low, high = 0, zeros
+    for at in range(0, len(bits), STEP):
+        own = bits[at:at + STEP]
+        zero, one = np.flatnonzero(~own), np.flatnonzero(own)
+        yield at, zero, one, low, high
+        low, high = low + len(zero), high + len(one)
+
+
 def ranks_of(plane: np.ndarray) -> np.ndarray:
     """Ones before each block of ``BLOCK`` bits."""
     step = BLOCK // 8
@@ -173,11 +189,13 @@ class Shard:
             frames = [self._frame(plane, f) for f in range(len(self._frame_ends[plane]))]
             packed = np.concatenate(frames) if frames else np.zeros(0, np.uint8)
             bits = np.unpackbits(packed, count=self.tokens, bitorder="little").view(bool)
-            level, zeros = len(self.zeros) - 1 - plane, self.zeros[plane]
+            value = narrow(1 << len(self.zeros) - 1 - plane)
             below = current
             current = np.empty(self.tokens, narrow)
-            current[~bits] = below[:zeros]
-            current[bits] = below[zeros:] | narrow(1 << level)
+            for at, zero, one, low, high in _blocks(bits, self.zeros[plane]):
+                own = current[at:at + STEP]
+                own[zero] = below[low:low + len(zero)]
+                own[one] = below[high:high + len(one)] | value
             self._open.clear()
         return current.astype(np.uint32)
 
@@ -188,12 +206,45 @@ class Shard:
 
 # -- encoding ------------------------------------------------------------------------------------------
 
+class Words:
+    """Ids of words in Arrow arrays: different words and, in the same order, the bytes of their ids.
+
+    ``encode(words)`` gives the ids of new ones. Of all, the ``room`` most frequent are kept, earlier counts
+    weighing less and less, and very long ones aside.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], pa.Array], room: int, longest: int = 100):
+        self.encode, self.room, self.longest = encode, room, longest
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.counts = np.zeros(0)
+
+    def lookup(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The ids of different words, and which of them each word has."""
+        if not len(words):
+            return self.ids, np.zeros(0, np.int32)
+        old = len(self.words)
+        coded = pa.chunked_array([self.words, words]).dictionary_encode()
+        coded = coded.chunk(coded.num_chunks - 1)  # one hash table for what is kept and for all words
+        known, codes = coded.dictionary, coded.indices.to_numpy()
+        ids = self.ids
+        if len(known) > old:
+            ids = pa.concat_arrays([ids, self.encode(known.slice(old))])
+        counts = np.bincount(codes, minlength=len(known)).astype(float)
+        counts[:old] += 0.7 * self.counts
+        kept = np.flatnonzero(pc.binary_length(known).to_numpy() <= self.longest)
+        if len(kept) > self.room:
+            kept = np.sort(kept[np.argpartition(-counts[kept], self.room)[:self.room]])
+        self.words, self.ids, self.counts = known.take(pa.array(kept)), ids.take(pa.array(kept)), counts[kept]
+        return ids, codes
+
+
 class LibraryEncoder:
     """Whole texts by the tokenizers library; words that texts share are given to it once.
 
-    A batch is cut and its different chunks are found by Arrow. New ones are encoded together: those that hold
-    only the blank in front as one text, told apart by the tokens that begin with a blank; the others with an
-    added token between them, which the library cuts out before anything else.
+    A batch is cut and its different chunks are found by Arrow, and stay there: no chunk becomes a Python object.
+    New ones are encoded some hundreds together: those that hold only the blank in front as one text, told apart by
+    the tokens that begin with a blank; the others with an added token between them, which the library cuts out
+    before anything else.
     """
 
     def __init__(self, content: str):
@@ -210,35 +261,43 @@ class LibraryEncoder:
         self.added = [t["content"] for t in plain]
         self.mark, self.mark_id = plain[0]["content"], plain[0]["id"]
         self.begins = _begins(described, self.added)
-        self.memo = Memo(self._encode, room=300_000)  # some 60 MB a worker
+        top = max([*described["model"]["vocab"].values(), *(t["id"] for t in added)])
+        self.narrow = np.uint16 if top < 1 << 16 else np.uint32
+        self.memo = Words(lambda words: self._encode(words, " "), room=400_000)  # some 20 MB a worker
+        self.first = Words(lambda words: self._encode(words, ""), room=50_000)
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.narrow)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        made: list[bytes | None] = [None] * len(texts)
-        if self.begins is not None:
-            alone = [i for i, t in enumerate(texts) if t.rfind(" ") == 0 and not t[-1].isspace()]
-            for at in range(0, len(alone), 20_000):
-                part = alone[at:at + 20_000]
-                ids = self._ids("".join([texts[i] for i in part]))
-                starts = np.flatnonzero(self.begins[ids])
-                if len(starts) == len(part):
-                    raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-                    for i, a, b in zip(part, cuts, cuts[1:]):
-                        made[i] = raw[a:b]
-        rest = [i for i, m in enumerate(made) if m is None]
-        for at in range(0, len(rest), 20_000):
-            part = rest[at:at + 20_000]
-            ids = self._ids(self.mark.join([texts[i] for i in part]))
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.narrow)
+
+    def _encode(self, words: pa.Array, before: str) -> pa.Array:
+        """The bytes of the ids of each word with ``before`` in front."""
+        alone = _alone(words) if before and self.begins is not None else np.zeros(len(words), bool)
+        own = np.flatnonzero(alone)
+        flat, lengths = [], []
+        for at, text in zip(range(0, len(own), TOGETHER), _joined(words.take(pa.array(own)), before)):
+            part = own[at:at + TOGETHER]
+            ids = self._ids(before + text)
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) == len(part):
+                flat.append(ids)
+                lengths.append(np.diff(starts, append=len(ids)))
+            else:
+                alone[part] = False
+        own, rest = np.flatnonzero(alone), np.flatnonzero(~alone)
+        for text in _joined(words.take(pa.array(rest)), self.mark + before):
+            ids = self._ids(before + text)
             cuts = np.flatnonzero(ids == self.mark_id)
-            raw, starts, ends = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            for i, a, b in zip(part, starts, ends):
-                made[i] = raw[a:b]
-        return made
+            flat.append(np.delete(ids, cuts))
+            lengths.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+        made = _blobs(flat, lengths, self.narrow)
+        if not len(own) or not len(rest):
+            return made
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([own, rest])] = np.arange(len(words))
+        return made.take(pa.array(place))
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -248,7 +307,7 @@ class LibraryEncoder:
         for a in self.added:
             whole |= pc.fill_null(pc.match_substring(column, a), False).to_numpy(zero_copy_only=False)
         odd = pc.fill_null(pc.match_substring_regex(column, BEFORE_BLANK), False).to_numpy(zero_copy_only=False)
-        made = [np.zeros(0, np.uint32)] * len(column)
+        made = [np.zeros(0, self.narrow)] * len(column)
         for i in np.flatnonzero(whole).tolist():
             made[i] = self._whole(column[i].as_py())
         plain, odd = (np.flatnonzero(rows & ~whole & (size > 0)) for rows in (~odd, odd))
@@ -260,31 +319,58 @@ class LibraryEncoder:
 
     def _place(self, made: list[np.ndarray], rows: np.ndarray, lists: pa.Array) -> None:
         """Put the ids of texts, given by their chunks (one at least), at their rows."""
-        coded = lists.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        words = lists.flatten()
         sizes = pc.list_value_length(lists).to_numpy()
-        first = np.cumsum(sizes) - sizes
-        begin = [[words[c]] for c in codes[first].tolist()]
-        spaced = np.ones(len(codes), bool)
+        ends = np.cumsum(sizes)
+        first = ends - sizes
+        spaced = np.ones(len(words), bool)
         spaced[first] = False
-        used = np.flatnonzero(np.bincount(codes[spaced], minlength=len(words)))
-        found = self.memo.lookup([[begin[0][0], *(words[c] for c in used.tolist())], *begin])
-        values = [*found[0][1:], *(f[0] for f in found[1:])]
-        number = np.zeros(len(words), np.int64)
-        number[used] = np.arange(len(used))
-        codes = number[codes]
-        codes[first] = len(used) + np.arange(len(first))
-        lengths = np.array([len(v) for v in values], np.int64) // 4
-        starts = np.cumsum(lengths) - lengths
-        own = lengths[codes]
-        ends = np.cumsum(own)
-        flat = np.frombuffer(b"".join(values), np.uint32)
-        ids = flat[np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - own), own)]
-        cuts = ends[first + sizes - 1].tolist()
+        values, own = self.memo.lookup(words.filter(pa.array(spaced)))
+        begun, begin = self.first.lookup(words.take(pa.array(first)))
+        codes = np.empty(len(words), np.int32)
+        codes[spaced] = own
+        codes[first] = len(values) + begin
+        found = pa.concat_arrays([values, begun]).take(pa.array(codes))
+        ids = np.frombuffer(found.buffers()[2] or b"", self.narrow)
+        cuts = (_offsets(found)[ends] // ids.itemsize).tolist()
         for row, a, b in zip(rows.tolist(), [0, *cuts], cuts):
             made[row] = ids[a:b]
 
 
+#: Words given to the library as one text: more cost it more memory and time a word.
+TOGETHER = 300
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    """Where the values of a large string or binary column begin, and where the last ends."""
+    return np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+
+
+def _alone(words: pa.Array) -> np.ndarray:
+    """Which words hold no blank and do not end in white space."""
+    offsets, size = _offsets(words), pc.binary_length(words).to_numpy()
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    last = np.zeros(len(words), np.uint8)
+    last[size > 0] = data[offsets[1:][size > 0] - 1]
+    for i in np.flatnonzero(last >= 0x80).tolist():  # the only white space of several bytes may be here
+        last[i] = 0 if words[i].as_py()[-1].isspace() else last[i]
+    return (last > 0x20) & ~pc.match_substring(words, " ").to_numpy(zero_copy_only=False)
+
+
+def _joined(words: pa.Array, between: str) -> Iterable[str]:
+    """The words as texts of ``TOGETHER`` each."""
+    cuts = pa.array([*range(0, len(words), TOGETHER), len(words)], pa.int64())
+    lists = pa.LargeListArray.from_arrays(cuts, words)
+    return pc.binary_join(lists, pa.scalar(between, pa.large_string())).to_pylist()
+
+
+def _blobs(flat: list[np.ndarray], lengths: list[np.ndarray], narrow: type) -> pa.Array:
+    """Runs of ids, given by their lengths, as bytes in an Arrow array."""
+    ends = np.cumsum(np.concatenate([[0], *lengths]), dtype=np.int64) * np.dtype(narrow).itemsize
+    data = np.concatenate([np.zeros(0, narrow), *flat])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 def _begins(described: dict, added: list[str]) -> np.ndarray | None:
     """Which ids begin with a blank, for vocabularies whose pre-splitter leaves a blank in front of what follows."""
     splitter = described.get("pre_tokenizer") or {}
@@ -327,7 +413,7 @@ def write_token_files(docs: DataFrame, content, folder: str, key: str = "doc_id"
 
         part = TaskContext.get().partitionId()
         own, keys, ids, held, seq = encoder(content.value), [], [], 0, 0
-        tail = np.array([] if end_id is None else [end_id], np.uint32)
+        tail = np.array([] if end_id is None else [end_id], own.narrow if end_id is None or end_id < 1 << 16 else np.uint32)
 
         def close():
             path = put_file(folder, f"tokens-{part:06d}-{seq:05d}-{uuid.uuid4().hex}.wm", [to_file(keys, ids)])
@@ -335,7 +421,7 @@ def write_token_files(docs: DataFrame, content, folder: str, key: str = "doc_id"
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path],
                 "documents": [len(keys)], "tokens": [held]})
 
-        for batch in (piece for whole in batches for piece in pieces(whole, 2)):
+        for batch in (piece for whole in batches for piece in pieces(whole, 2, 16 << 20)):
             for own_key, found in zip(batch.column(0).to_pylist(), own.encode(batch.column(2))):
                 keys.append(own_key)
                 ids.append(np.concatenate([found, tail]))
@@ -365,7 +451,7 @@ def read_token_files(shards: DataFrame, key_type: str = "long") -> DataFrame:
                 system, own = open_fs(path)
                 with system.open_input_file(own) as file:
                     shard = Shard(lambda at, n: file.read_at(n, at))
-                    flat = shard.all().astype("<u4")
+                    flat = shard.all().astype("<u4", copy=False)
                 ends = shard.ends.tolist()
                 starts = [0, *ends[:-1]]
                 for at in range(0, len(ends), 1000):
