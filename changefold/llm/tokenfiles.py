@@ -36,31 +36,25 @@ def build(ids: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
     """Packed bit planes (highest first) and the zeros in each."""
     depth = max(1, int(ids.max(initial=0)).bit_length())
     narrow = np.uint16 if depth <= 16 else np.uint32
-    current = ids.astype(narrow, copy=False)
+    current = ids.astype(narrow)
+    ones = np.empty_like(current)
     planes, zeros = [], []
     for level in reversed(range(depth)):
-        bits = (current & narrow(1 << level)) != 0
-        planes.append(np.packbits(bits, bitorder="little"))
-        zeros.append(len(bits) - int(np.count_nonzero(bits)))
-        sorted_by_bit = np.empty_like(current)
-        for at, zero, one, low, high in _blocks(bits, zeros[-1]):
+        plane, low, high = np.empty(-(-len(ids) // 8), np.uint8), 0, 0
+        for at in range(0, len(ids), STEP):
             own = current[at:at + STEP]
-            sorted_by_bit[low:low + len(zero)] = own.take(zero)
-            sorted_by_bit[high:high + len(one)] = own.take(one)
-        current = sorted_by_bit
+            bits = (own & narrow(1 << level)) != 0
+            plane[at // 8:(at + STEP) // 8] = np.packbits(bits, bitorder="little")
+            zero, one = own.take(np.flatnonzero(~bits)), own.take(np.flatnonzero(bits))
+            current[low:low + len(zero)] = zero  # never beyond what has been read
+            ones[high:high + len(one)] = one
+            low, high = low + len(zero), high + len(one)
+        current[low:] = ones[:high]
+        planes.append(plane)
+        zeros.append(low)
     return planes, zeros
 
 
-def _blocks(bits: np.ndarray, zeros: int) -> Iterable[tuple[int, np.ndarray, np.ndarray, int, int]]:
-    """For every ``STEP`` tokens: where they begin, places of zeros and of ones in them, and where these go in the next plane."""
-    low, high = 0, zeros
-    for at in range(0, len(bits), STEP):
-        own = bits[at:at + STEP]
-        zero, one = np.flatnonzero(~own), np.flatnonzero(own)
-        yield at, zero, one, low, high
-        low, high = low + len(zero), high + len(one)
-
-
 def ranks_of(plane: np.ndarray) -> np.ndarray:
     """Ones before each block of ``BLOCK`` bits."""
     step = BLOCK // 8
@@ -184,18 +178,19 @@ class Shard:
     def all(self) -> np.ndarray:
         """All tokens, by undoing the planes from the lowest up."""
         narrow = np.uint16 if len(self.zeros) <= 16 else np.uint32
-        current = np.zeros(self.tokens, narrow)
+        current, above = np.zeros(self.tokens, narrow), np.empty(self.tokens, narrow)
         for plane in reversed(range(len(self.zeros))):
             frames = [self._frame(plane, f) for f in range(len(self._frame_ends[plane]))]
             packed = np.concatenate(frames) if frames else np.zeros(0, np.uint8)
-            bits = np.unpackbits(packed, count=self.tokens, bitorder="little").view(bool)
-            value = narrow(1 << len(self.zeros) - 1 - plane)
-            below = current
-            current = np.empty(self.tokens, narrow)
-            for at, zero, one, low, high in _blocks(bits, self.zeros[plane]):
-                own = current[at:at + STEP]
-                own[zero] = below[low:low + len(zero)]
-                own[one] = below[high:high + len(one)] | value
+            value, low, high = narrow(1 << len(self.zeros) - 1 - plane), 0, self.zeros[plane]
+            for at in range(0, self.tokens, STEP):
+                own = above[at:at + STEP]
+                bits = np.unpackbits(packed[at // 8:(at + STEP) // 8], count=len(own), bitorder="little").view(bool)
+                zero, one = np.flatnonzero(~bits), np.flatnonzero(bits)
+                own[zero] = current[low:low + len(zero)]
+                own[one] = current[high:high + len(one)] | value
+                low, high = low + len(zero), high + len(one)
+            current, above = above, current
             self._open.clear()
         return current.astype(np.uint32)
 
